@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_filter.rule_rows(spark, URL_RULES)
-    listed = spark.createDataFrame([(u,) for u in LISTED_URLS], "url string")
+    listed = url_filter.url_rows(spark, LISTED_URLS)
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), rules, listed).drop("listed")
 
 

@@ -40,7 +40,17 @@ def canonical(host: Column, path: Column) -> Column:
 def rule_rows(spark, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """(verdict, ``host/path``) pairs as rows of verdict, rule, host, path."""
     rows = [(v, r, r.partition("/")[0], "/" + r.partition("/")[2]) for v, r in rules]
-    return spark.createDataFrame(rows, "verdict string, rule string, host string, path string")
+    if not rows:
+        return spark.range(0).select(*[F.lit("").alias(k) for k in ("verdict", "rule", "host", "path")])
+    made = [F.struct(*[F.lit(x).alias(k) for k, x in zip(("verdict", "rule", "host", "path"), r, strict=True)]) for r in rows]
+    return spark.range(1).select(F.explode(F.array(*made)).alias("r")).select("r.*")
+
+
+def url_rows(spark, urls: Sequence[str]) -> DataFrame:
+    """URLs as rows of a column url."""
+    if not urls:
+        return spark.range(0).select(F.lit("").alias("url"))
+    return spark.range(1).select(F.explode(F.array(*[F.lit(u) for u in urls])).alias("url"))
 
 
 def _small(df: DataFrame, rows: int, limit: int) -> DataFrame:
