@@ -7,11 +7,16 @@
 * The samples also flip bits of a 512-bit parity bitmap (an odd sketch). The
   population count of two bitmaps' XOR estimates the similarity precisely when it
   is high; pairs estimated below 0.5 are dropped (over five deviations below 0.8).
+* A second bitmap takes one bit from every shingle of the set. Its XOR count is
+  never above the size of the sets' symmetric difference, so a count too high for
+  the threshold rules a pair out for certain.
 * What remains is confirmed on full shingle sets, recomputed from the texts.
 * In a band's bucket, members are first held only against one centre (a star), so
-  a bucket of n copies costs n checks. Whoever is still in another component than
-  some member of its bucket is then held against all those members, behind the
-  sketch test, so that no link that joins two components is missed.
+  a bucket of n copies costs n checks; the centre is the member that shares most
+  buckets, as the original of many copies does. Whoever is still in another
+  component than some member of its bucket is then held against all those members,
+  behind the bitmaps and once for each pair (in the first bucket that it shares), so
+  that no link that joins two components is missed.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.llm import batches
@@ -29,6 +34,7 @@ from corpgraph.llm.work import WorkArea
 
 BANDS, DEPTH, SKETCH_WORDS = 32, 4, 8
 SAMPLES, SKETCH_BITS = BANDS * DEPTH, 64 * SKETCH_WORDS
+FULL_WORDS = 16
 #: XOR population count up to which a pair is confirmed on full sets: similarity 0.5 as the sketch estimates it.
 MOST_ODD = int(SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** SAMPLES) / 2)
 STARS = 2
@@ -65,7 +71,8 @@ def signature(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bands = batches.mix((wide.reshape(BANDS, DEPTH) * _BAND_KEYS).sum(axis=1) + np.arange(BANDS, dtype=np.uint64))
     bit = batches.mix(wide + _SAMPLE_KEYS) >> np.uint64(55)
     odd = np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS).astype(np.uint8) & 1
-    return bands, np.packbits(odd, bitorder="little").view(np.uint64)
+    every = np.bincount((batches.mix(values) >> np.uint64(54)).astype(np.int64), minlength=64 * FULL_WORDS).astype(np.uint8) & 1
+    return bands, np.packbits(np.concatenate([odd, every]), bitorder="little").view(np.uint64)
 
 
 FEATURES = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>"
@@ -144,11 +151,15 @@ def components(links: DataFrame, area: WorkArea, name: str) -> DataFrame:
             return labels
 
 
-def _sketches_near(a: str, b: str):
-    total = F.lit(0)
-    for i in range(SKETCH_WORDS):
-        total = total + F.bit_count(F.element_at(a, i + 1).bitwiseXOR(F.element_at(b, i + 1)))
-    return total <= MOST_ODD
+def _odd_bits(a: str, b: str, first: int, words: int) -> Column:
+    return functools.reduce(Column.__add__, [F.bit_count(F.element_at(a, i + 1).bitwiseXOR(F.element_at(b, i + 1))) for i in range(first, first + words)])
+
+
+def _possible(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and bitmaps of two rows allow the similarity."""
+    n = [F.col(f"{x}n"), F.col(f"{y}n")]
+    sketch = (f"{x}sketch", f"{y}sketch")
+    return (100 * F.least(*n) >= percent * F.greatest(*n)) & ((100 + percent) * _odd_bits(*sketch, SKETCH_WORDS, FULL_WORDS) <= (100 - percent) * (n[0] + n[1])) & (_odd_bits(*sketch, 0, SKETCH_WORDS) <= MOST_ODD)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -180,29 +191,33 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     same_id = known.select("doc_id", "d1", "d2").join(known_ids.select("doc_id"), "doc_id", "left_semi").join(classes.select("d1", "d2", "rep"), ["d1", "d2"])
     links = same_id.groupBy("doc_id").agg(F.min("rep").alias("a"), F.array_distinct(F.collect_list("rep")).alias("all")).select("a", F.explode("all").alias("b")).where("a <> b")
 
-    info = classes.groupBy("rep").agg(F.min("n").alias("n"), F.min_by("sketch", "n").alias("sketch"))
+    busy = crowded.groupBy("bucket").count().join(crowded, "bucket").groupBy("rep").agg(F.sum("count").alias("shares"))
+    crowded = area.save(crowded.join(busy, "rep"), "members")
+    info = area.save(classes.join(busy, "rep", "left_semi").groupBy("rep").agg(F.min("n").alias("n"), F.min_by("sketch", "n").alias("sketch"), F.min_by("bands", "n").alias("bands")), "info")
+    area.drop("crowded")
 
     def described(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes and sketches allow the similarity."""
-        left, right = info.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), info.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        return pairs.join(left, "a").join(right, "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & _sketches_near("sa", "sb")).select("a", "b")
+        """Pairs whose sizes and bitmaps allow the similarity."""
+        left, right = (info.select(F.col("rep").alias(k), F.col("n").alias(f"{k}_n"), F.col("sketch").alias(f"{k}_sketch")) for k in "ab")
+        return pairs.join(left, "a").join(right, "b").where(_possible("a_", "b_", percent)).select("a", "b")
 
     links = area.save(links, "links-id")
     labels, tried = None, None
     for turn in range(STARS + 1):
-        placed = crowded if labels is None else crowded.join(labels, crowded.rep == labels.node, "left").select("bucket", "rep", F.coalesce("label", "rep").alias("label"))
+        placed = crowded if labels is None else crowded.join(labels, crowded.rep == labels.node, "left").select("bucket", "rep", "shares", F.coalesce("label", "rep").alias("label"))
         if labels is None:
             placed = placed.withColumn("label", F.col("rep"))
-        mixed = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min_by("rep", F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep")).alias("centre")).where("least <> most")
+        mixed = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max_by("rep", F.struct(F.xxhash64("rep") if turn else F.col("shares"), "rep")).alias("centre")).where("least <> most")
         if turn < STARS:
             held = placed.join(mixed.select("bucket", "centre"), "bucket")
             centre = held.where("rep = centre").select("bucket", F.col("label").alias("centre_label"))
             pairs = held.join(centre, "bucket").where("label <> centre_label").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
             pairs = described(pairs)
         else:
-            full = placed.join(mixed.select("bucket"), "bucket", "left_semi").join(info, "rep").select("bucket", "rep", "label", "n", "sketch")
+            full = placed.join(mixed.select("bucket"), "bucket", "left_semi").join(info, "rep").select("bucket", "rep", "label", "n", "sketch", "bands")
             x, y = full.alias("x"), full.alias("y")
-            cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & _sketches_near("x.sketch", "y.sketch")
+            shared = F.filter(F.zip_with("x.bands", "y.bands", lambda p, q: F.when(p == q, p)), lambda p: p.isNotNull())
+            cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label")) & _possible("x.", "y.", percent) & (F.element_at(shared, 1) == F.col("x.bucket"))
             pairs = x.join(y, cond).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
