@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpgraph.llm import exact_dedup, near_dedup, url_filter
+from corpgraph.llm import bpe, exact_dedup, near_dedup, token_store, url_filter
+from corpgraph.llm.work import WorkArea
 
 #: Host and path rules of op1, and pages listed one by one.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -21,6 +24,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), rules, listed).drop("listed")
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = WorkArea(spark, "op2").path
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), store, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_store.read_tokens(spark, store).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -29,7 +38,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_exact_dedup, op4_near_dedup)}
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), full=False)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_output, op3_exact_dedup, op4_near_dedup, op10_bpe)}
 
 _RULES = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in URL_RULES)
 _LISTED = ", ".join(f"('{x}')" for x in ("listed.example.net/en/spam", "listed.example.net/de/spam"))
