@@ -1,13 +1,24 @@
-"""A training-data pipeline of five stages over ``documents``."""
+"""A training-data pipeline of five stages over ``documents``.
+
+Each stage works on all that its predecessor kept. All but the last return the
+columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpgraph.llm import exact_dedup, near_dedup
+from corpgraph.llm import bpe, exact_dedup, mixing, near_dedup, quality_model
 from corpgraph.llm.work import WorkArea
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for good and not toxic, fitted on the graded ones among them."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_model.keep_good(docs, quality_model.fit(docs, quality_model.graded(labels)))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group of equal texts: that with the smallest doc_id."""
     return exact_dedup.drop_copies(docs)
@@ -18,7 +29,18 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.keep_one_of_each(docs)
 
 
-STAGES = [("exact_dedup", exact), ("near_dedup", near)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of the sources takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text of every document of the mix."""
+    return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), full=False)
+
+
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("near dedup", near), ("mixing", mix), ("bpe", encode)]
+#: SQL can express neither the classifier nor BPE; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
@@ -28,5 +50,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = area.save(docs, name)
+            docs = area.save(docs, name.replace(" ", "-"))
     return docs
