@@ -24,7 +24,7 @@ BUCKETS = 1 << 18
 FIT_ROWS = 20_000
 #: A feature counts if so many rows of the sample have it, and if its presence goes with the highest grade or its absence: chi-squared of 10, about 1 in 600 by chance.
 LEAST_ROWS, LEAST_CHI2 = 4, 10.0
-EPOCHS, RATE, DECAY, STEP_ROWS = 12, 0.3, 1e-4, 256
+EPOCHS, RATE, DECAY, STEP_ROWS = 20, 0.3, 1e-4, 128
 
 
 @dataclass
