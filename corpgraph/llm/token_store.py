@@ -63,10 +63,14 @@ def _unpack(packed: bytes, n: int) -> np.ndarray:
 def _histogram(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1, np.int64)
     for batch in rows:
-        for n, packed in zip(batch.column("n").to_pylist(), batch.column("ids"), strict=True):
-            more = np.bincount(_unpack(packed.as_buffer(), n), minlength=len(total))
-            more[: len(total)] += total
-            total = more
+        held, size = [], 0
+        for i, (n, packed) in enumerate(zip(batch.column("n").to_pylist(), batch.column("ids"), strict=True)):
+            held.append(_unpack(packed.as_buffer(), n))
+            size += n
+            if size > 1 << 20 or i == batch.num_rows - 1:
+                more = np.bincount(np.concatenate(held), minlength=len(total))
+                more[: len(total)] += total
+                total, held, size = more, [], 0
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(total[at])], ["id", "count"])
 

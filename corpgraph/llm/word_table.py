@@ -12,7 +12,13 @@ import numpy as np
 from corpgraph.llm import batches
 from corpgraph.llm.bpe import ChunkEncoder, Generations
 
-SLOTS = 1 << 21
+SLOTS = 1 << 22
+#: Bytes of a word; texts with longer ones are encoded text by text.
+LONGEST = 30_000
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_TAIL = np.zeros(256, bool)
+_TAIL[list(b".,;:!?")] = True
 
 
 class WordTable:
@@ -20,10 +26,13 @@ class WordTable:
 
     def __init__(self, enc: ChunkEncoder):
         self.enc, self.newline = enc, np.frombuffer(enc.library(["\n"])[0], "<u4")
+        self.tails = np.zeros(256, np.uint32)
+        for b in np.flatnonzero(_TAIL):
+            self.tails[b] = np.frombuffer(enc.library([chr(b)])[0], "<u4")[0]
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.at, self.size = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        self.key, self.at, self.size = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.uint16)
         self.pool, self.used, self.entries = np.zeros(1 << 20, np.uint32), 0, 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -71,6 +80,9 @@ class WordTable:
         first[w.first[:-1][w.count > 0]] = True
         after_line = (raw[np.maximum(w.start - 1, 0)] == 10) & ~first
         bare = (first | after_line)[good]
+        # One punctuation mark after an ASCII letter is a token of its own: words are looked up without it.
+        tail = np.where(_TAIL[raw[end - 1]] & (end - start > 1) & _LETTER[raw[np.maximum(end - 2, 0)]], raw[end - 1], 0)
+        end = end - (tail > 0)
         key = batches.mix(w.hashes(start, end) + bare.astype(np.uint64)) | np.uint64(1)
         if self.entries > SLOTS // 2:
             self.clear()
@@ -86,14 +98,15 @@ class WordTable:
             self.enc.pieces = Generations(1 << 62)
             slot[unseen] = self.find(distinct[unseen])
         at, size = self.at[slot][which].astype(np.int64), self.size[slot][which].astype(np.int64)
-        # A line end's own id goes before the word that follows it.
-        line = after_line[good].astype(np.int64)
-        total = size + line
+        # A line end's own id goes before the word that follows it, a punctuation mark's after its word.
+        line, close = after_line[good].astype(np.int64), (tail > 0).astype(np.int64)
+        total = size + line + close
         ends = np.cumsum(total)
         ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
         ids[(ends - total)[line > 0]] = self.newline[0]
+        ids[ends[tail > 0] - 1] = self.tails[tail[tail > 0]]
         place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        ids[np.repeat(ends - size, size) + place] = self.pool[np.repeat(at, size) + place]
+        ids[np.repeat(ends - close - size, size) + place] = self.pool[np.repeat(at, size) + place]
         counts = np.bincount(rows[good], weights=total, minlength=len(offsets) - 1).astype(np.int64)
         if not odd.any():
             return ids, counts
@@ -110,6 +123,7 @@ class WordTable:
         size = np.diff(offsets)
         inner = np.bincount(w.rows(), weights=w.end - w.start, minlength=len(size)).astype(np.int64)
         odd |= size - inner != np.maximum(w.count - 1, 0)
+        odd[np.searchsorted(w.first, np.flatnonzero(w.end - w.start > LONGEST), "right") - 1] = True
         other = ((raw < 0x20) & (raw != 10)) | (raw == 0x7F)
         hi = np.flatnonzero((raw == 0xC2) | ((raw >= 0xE1) & (raw <= 0xE3)))
         if len(hi):

@@ -23,14 +23,14 @@ def corpus(n, seed):
 
 
 def test_held_out_accuracy_and_thresholds(spark):
-    rows = corpus(1500, 1)
+    rows = corpus(3000, 1)
     docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, kept string").repartition(4)
-    grades = spark.createDataFrame([(i, g) for i, _, g in rows if i < 900], "doc_id long, grade int")
+    grades = spark.createDataFrame([(i, g) for i, _, g in rows if i < 2000], "doc_id long, grade int")
     model = q.fit(docs, grades)
     assert (np.diff(model.thresholds) >= 0).all()
     assert np.allclose(model.grades(np.array([-3.0, 0.0, 9.0])).sum(axis=1), 1)
     got = {r.doc_id: r for r in q.score(docs, model).collect()}
-    held = [(got[i], g) for i, _, g in rows if i >= 900]
+    held = [(got[i], g) for i, _, g in rows if i >= 2000]
     assert sum(x.kept == (g == 2) for x, g in held) / len(held) > 0.95
     mean = [np.mean([x.expected_grade for x, h in held if h == g]) for g in range(3)]
     assert mean[0] < mean[1] < mean[2]
