@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpgraph.llm import bpe, chat, exact_dedup, mixing, near_dedup, quality_model, quality_rules, token_store, url_filter
+from corpgraph.llm import bpe, chat, exact_dedup, lm, mixing, near_dedup, quality_model, quality_rules, token_store, url_filter
 from corpgraph.llm.work import WorkArea
 
 #: Host and path rules of op1, and pages listed one by one.
@@ -47,6 +47,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op8_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.repair_roles(_table(spark, sf_dir, "conversations"))
 
@@ -59,7 +63,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), full=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_output, op3_exact_dedup, op4_near_dedup, op5_quality_model, op6_quality_rules, op8_chat_repair, op9_mixing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_output, op3_exact_dedup, op4_near_dedup, op5_quality_model, op6_quality_rules, op7_lm_scores, op8_chat_repair, op9_mixing, op10_bpe)}
 
 _RULES = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in URL_RULES)
 _LISTED = ", ".join(f"('{x}')" for x in ("listed.example.net/en/spam", "listed.example.net/de/spam"))
