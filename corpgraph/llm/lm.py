@@ -122,7 +122,7 @@ def contexts(unit: np.ndarray, first: np.ndarray) -> np.ndarray:
     place = np.arange(len(unit)) - np.repeat(first[:-1], np.diff(first))
     out = np.full((len(unit), CONTEXT), END_UNIT, np.int32)
     for i in range(CONTEXT):
-        out[i + 1 :, i] = unit[: len(unit) - i - 1]
+        out[i + 1 :, i] = unit[: max(0, len(unit) - i - 1)]
         out[place <= i, i] = END_UNIT
     return out
 
