@@ -1,0 +1,423 @@
+"""Registered queries of the integration engine over the star-schema tables, and their DuckDB oracles.
+
+The tables hold no companies or committees, so operators run on stand-in projections.
+"""
+
+from __future__ import annotations
+
+import base64
+import json
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpgraph.functions import brands as br
+from corpgraph.functions import companies, people, titles, web
+from corpgraph.operators import ops
+from corpgraph.plans import brands, bundles, pac
+from corpgraph.plans import people as execs
+from corpgraph.streaming import ingest
+
+
+def t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def values(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
+    """Literal rows of text."""
+    cols = names.split()
+    each = [F.struct(*[F.lit(v).cast("string").alias(c) for c, v in zip(cols, r, strict=True)]) for r in rows]
+    return spark.range(1).select(F.explode(F.array(*each)).alias("r")).select("r.*")
+
+
+def sql_values(name: str, names: str, rows: list[tuple]) -> str:
+    quote = lambda v: "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+    return f"{name}({', '.join(names.split())}) AS (VALUES " + ", ".join("(" + ", ".join(map(quote, r)) + ")" for r in rows) + ")"
+
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+# --- committees, companies, tickers -------------------------------------------------
+
+
+def _committees(spark, d):
+    sup, nat = t(spark, d, "supplier"), t(spark, d, "nation")
+    k = sup.agg(F.greatest(F.lit(1), F.floor(F.count("*") / 25)).alias("k"))
+    kept = sup.join(F.broadcast(k)).where("s_suppkey % k = 0")
+    return kept.join(nat, kept.s_nationkey == nat.n_nationkey).select(F.col("s_suppkey").alias("CMTE_ID"), F.col("s_name").alias("CMTE_NM"), F.col("n_name").alias("CONNECTED_ORG_NM"), F.lit("Q").alias("CMTE_TP"), F.lit("C").alias("ORG_TP"))
+
+
+def _activity(spark, d):
+    li = t(spark, d, "lineitem").where("l_returnflag = 'R' and l_discount >= 0.095 and l_quantity >= 49")
+    per = li.groupBy("l_suppkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("TOTAL_AMOUNT"))
+    sup = t(spark, d, "supplier")
+    return per.join(sup, per.l_suppkey == sup.s_suppkey).select(F.col("s_name").alias("COMMITTEE_NAME"), "TOTAL_AMOUNT")
+
+
+@query("""
+WITH k AS (SELECT greatest(1, count(*) // 25) AS k FROM supplier),
+act AS (SELECT l_suppkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS amount FROM lineitem WHERE l_returnflag = 'R' AND l_discount >= 0.095 AND l_quantity >= 49 GROUP BY 1),
+j AS (SELECT s_suppkey, n_name, coalesce(CAST(amount AS DOUBLE), 0) AS amount FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN act ON l_suppkey = s_suppkey, k WHERE s_suppkey % k = 0),
+s AS (SELECT n_name, count(DISTINCT s_suppkey) AS pac_count, count_if(amount > 0) AS active, bool_or(amount > 0) AS donated, sum(amount) AS total FROM j GROUP BY 1)
+SELECT 'T' || n_nationkey AS ticker, n.n_name AS company_name, s.n_name IS NOT NULL AS has_pac, coalesce(donated, false) AS has_pac_donations,
+  CAST(pac_count AS BIGINT) AS pac_count, CAST(active AS BIGINT) AS active_pac_count, round(total, 2) AS total_pac_amount,
+  CASE WHEN s.n_name IS NULL THEN 'NO_PAC' WHEN donated THEN 'PAC_DONATED' ELSE 'PAC_NO_DONATIONS' END AS pac_status
+FROM nation n LEFT JOIN s ON s.n_name = n.n_name""")
+def pac_superset(spark, d):
+    """Flagship: committees, activity, companies and tickers to each ticker's PAC status."""
+    crosswalk = t(spark, d, "nation").select(F.concat(F.lit("T"), "n_nationkey").alias("TICKER"), F.col("n_name").alias("COMPANY_NAME"))
+    status = pac.company_status(pac.with_activity(pac.corporate_pacs(_committees(spark, d)), _activity(spark, d)))
+    out = pac.superset(crosswalk, crosswalk, status)
+    return out.select(F.col("TICKER").alias("ticker"), F.col("COMPANY_NAME").alias("company_name"), "has_pac", "has_pac_donations", F.col("pac_count").cast("long").alias("pac_count"), F.col("active_pac_count").cast("long").alias("active_pac_count"), F.round("total_pac_amount", 2).alias("total_pac_amount"), "pac_status")
+
+
+@query("SELECT o_orderkey AS cmte_id, o_orderstatus AS cmte_tp, CAST(o_custkey AS VARCHAR) AS org FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' AND o_custkey IS NOT NULL")
+def corporate_filter(spark, d):
+    o = t(spark, d, "orders").select(F.col("o_orderkey").alias("CMTE_ID"), F.col("o_orderstatus").alias("CMTE_NM"), F.col("o_custkey").cast("string").alias("CONNECTED_ORG_NM"), F.when(F.col("o_orderstatus") == "O", "Q").otherwise("X").alias("CMTE_TP"), F.when(F.col("o_orderpriority") == "1-URGENT", "C").otherwise("X").alias("ORG_TP"))
+    return pac.corporate_pacs(o).select(F.col("CMTE_ID").alias("cmte_id"), F.col("CMTE_NM").alias("cmte_tp"), F.col("CONNECTED_ORG_NM").alias("org"))
+
+
+@query("SELECT c_custkey AS custkey FROM customer LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS s FROM orders GROUP BY 1) ON o_custkey = c_custkey WHERE coalesce(s, 0) = 0")
+def zero_activity(spark, d):
+    spent = t(spark, d, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("s"))
+    joined = t(spark, d, "customer").join(spent, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return pac.zero_activity(joined.withColumn("TOTAL_AMOUNT", ops.number_or_zero(F.col("s")))).select(F.col("c_custkey").alias("custkey"))
+
+
+@query("""SELECT n_name AS nation, count(DISTINCT c_custkey) AS customers, CAST(count_if(c_acctbal > 0) AS BIGINT) AS positive, bool_or(c_acctbal > 9990) AS any_rich,
+CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""")
+def org_rollup(spark, d):
+    j = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    return j.groupBy(F.col("n_name").alias("nation")).agg(F.count_distinct("c_custkey").alias("customers"), F.count_if(F.col("c_acctbal") > 0).alias("positive"), F.bool_or(F.col("c_acctbal") > 9990).alias("any_rich"), F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
+@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events WHERE TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) IN (1, 2, 3) GROUP BY 1")
+def cycle_filter(spark, d):
+    e = t(spark, d, "events").withColumn("ELECTION_CYCLE", F.get_json_object("props", "$.k"))
+    return ops.frequencies(pac.in_cycles(e, [1, 2, 3]), "event_type", name="n")
+
+
+@query("SELECT p_type AS company, array_to_string(list_sort(list(DISTINCT p_brand)), '|') AS ticker_candidates, min(p_brand) AS ticker, count(DISTINCT p_brand) > 1 AS ambiguous FROM part GROUP BY 1")
+def ticker_candidates(spark, d):
+    """Executives' companies are part types, and brands their tickers."""
+    x = t(spark, d, "part").select(F.col("p_type").alias("COMPANY_NAME"), F.col("p_brand").alias("TICKER"))
+    e = execs.with_tickers(x.select(F.col("COMPANY_NAME").alias("company")).distinct(), x)
+    return e.select("company", F.array_join("ticker_candidates", "|").alias("ticker_candidates"), F.col("TICKER").alias("ticker"), F.col("ticker_ambiguous").alias("ambiguous"))
+
+
+@query("SELECT c_name AS company, upper(trim(regexp_replace(c_name, '[^A-Za-z0-9]+', ' ', 'g'))) AS company_norm, false AS looks_like_fund_or_etf FROM customer WHERE c_custkey % 3 <> 0")
+def ticker_unmatched_log(spark, d):
+    c = t(spark, d, "customer")
+    cross = c.where("c_custkey % 3 = 0").select(F.concat(F.lit("T"), "c_custkey").alias("TICKER"), F.col("c_name").alias("COMPANY_NAME"))
+    return execs.triage(execs.unmatched(execs.with_tickers(c.select(F.col("c_name").alias("company")), cross)))
+
+
+@query("SELECT avg(CASE WHEN s_nationkey IS NULL THEN 1.0 ELSE 0.0 END) AS null_rate, CAST(count(*) AS BIGINT) AS n FROM customer LEFT JOIN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000) ON s_nationkey = c_nationkey")
+def baseline_match_rate(spark, d):
+    cross = t(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").cast("string").alias("COMPANY_NAME"), F.lit("x").alias("TICKER"))
+    j = execs.baseline_tickers(t(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("company")), cross)
+    return j.agg(ops.share_where(F.col("TICKER").isNull()).alias("null_rate"), F.count("*").alias("n"))
+
+
+@query("""WITH m AS (SELECT c_custkey % 50 AS k, min(c_name) AS name FROM customer WHERE c_custkey % 2 = 0 GROUP BY 1)
+SELECT CASE WHEN name IS NULL THEN 'NO_MATCH' ELSE 'NAME_EXACT' END AS match_method, CAST(count(*) AS BIGINT) AS rows FROM orders LEFT JOIN m ON k = o_custkey % 100 GROUP BY 1""")
+def exact_match_summary(spark, d):
+    """Receipts of committees by number; even numbers below 50 have a master row."""
+    master = t(spark, d, "customer").where("c_custkey % 2 = 0").select((F.col("c_custkey") % 50).alias("k"), "c_name")
+    one = ops.first_per(master, ["k"], ["c_name"])
+    j = t(spark, d, "orders").withColumn("k", F.col("o_custkey") % 100).join(one, "k", "left")
+    return pac.match_summary(j.withColumn("match_method", F.when(F.col("c_name").isNull(), "NO_MATCH").otherwise("NAME_EXACT")))
+
+
+@query("SELECT p_type AS committee_name, CAST(count(*) AS BIGINT) AS rows FROM part WHERE p_size > 10 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50")
+def top_unmatched(spark, d):
+    m = t(spark, d, "part").select(F.col("p_type").alias("COMMITTEE_NAME"), F.when(F.col("p_size") > 10, "NO_MATCH").otherwise("NAME_EXACT").alias("match_method"))
+    return pac.top_unmatched(m).withColumnRenamed("COMMITTEE_NAME", "committee_name")
+
+
+_RECEIPTS = [("Acme Workers PAC",), ("ACME WORKER PAC",), ("Borealis Energy Co",), ("Borealis Energie",), ("Zzz Unknown",), ("Cobalt & Sons Fund",), ("The Group Inc",), (None,)]
+_MASTER = [("C1", "ACME WORKERS PAC INC"), ("C2", "BOREALIS ENERGY"), ("C3", "COBALT SONS FUND"), ("C4", "ACME WORKERS PAC")]
+
+
+@query()
+def fuzzy_match_residuals(spark, d):
+    r = values(spark, "COMMITTEE_NAME", _RECEIPTS)
+    m = values(spark, "CMTE_ID CMTE_NM", _MASTER).withColumn("CONNECTED_ORG_NM", F.lit("x")).withColumn("CMTE_TP", F.lit("Q")).withColumn("ORG_TP", F.lit("C"))
+    return pac.match_receipts(r, m)
+
+
+@query()
+def cik_match(spark, d):
+    names = values(spark, "company_name", [("Acme & Co.",), ("Borealis Energy Corp",), ("Nothing like it",)])
+    return bundles.with_ciks(names, values(spark, "cik title", [("0000000001", "Acme Co"), ("0000000002", "BOREALIS ENERGY CORP."), ("0000000003", "Cobalt Ltd")]))
+
+
+_NAMES = [("Acme Holdings, Inc.",), ("The Acme Co",), ("A & B Corp /DE/",), ("Globex Group Holdings Ltd",), ("Initech L.L.C.",), ("PAC for the People",), ("", ), (None,), ("co-op bank",), ("  Spaced   Out LLC ",), ("Company",)]
+_NV = sql_values("v", "name", _NAMES)
+
+
+@query(f"""WITH {_NV}, a AS (SELECT name FROM v UNION ALL SELECT p_name FROM part),
+n AS (SELECT name, trim(regexp_replace(regexp_replace(replace(upper(trim(coalesce(name, ''))), '&', ' AND '), '/[A-Z]{{2,3}}/', ' ', 'g'), '[^A-Z0-9]+', ' ', 'g')) AS s FROM a)
+SELECT name, regexp_replace(s, '(?: (?:{companies.TRAILING}))+$', '') AS norm FROM n""")
+def company_norm(spark, d):
+    a = values(spark, "name", _NAMES).union(t(spark, d, "part").select("p_name"))
+    return a.select("name", companies.crosswalk_norm(F.col("name")).alias("norm"))
+
+
+def _dropped(words: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(name, '')), '[^a-z0-9\\s]', ' ', 'g'), '\\b({words})\\b', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(f"WITH {_NV}, a AS (SELECT name FROM v UNION ALL SELECT p_name FROM part) SELECT name, {_dropped(companies.COMMITTEE_WORDS)} AS committee, {_dropped(companies.COMPANY_WORDS)} AS company FROM a")
+def committee_norm(spark, d):
+    a = values(spark, "name", _NAMES).union(t(spark, d, "part").select("p_name"))
+    return a.select("name", companies.committee_norm(F.col("name")).alias("committee"), companies.company_words_norm(F.col("name")).alias("company"))
+
+
+@query(f"""WITH {_NV}, a AS (SELECT name FROM v UNION ALL SELECT c_name FROM customer)
+SELECT name, array_to_string(list_filter(string_split_regex(trim(regexp_replace(upper(coalesce(name, '')), '[^A-Z0-9 ]+', ' ', 'g')), '\\s+'), lambda x: x <> '' AND NOT list_contains({companies.MATCH_STOPWORDS}, x)), ' ') AS key,
+  CASE WHEN trim(regexp_replace(lower(coalesce(name, '')), '[^a-z0-9]+', '-', 'g'), '-') = '' THEN 'unknown-company' ELSE trim(regexp_replace(lower(coalesce(name, '')), '[^a-z0-9]+', '-', 'g'), '-') END AS slug,
+  trim(replace(replace(replace(lower(coalesce(name, '')), '&', 'and'), ',', ''), '.', '')) AS clean,
+  trim(regexp_replace(regexp_replace(regexp_replace(trim(lower(name)), '\\b({companies.SUBSIDIARY_WORDS})\\b', '', 'g'), '[.,]', '', 'g'), '\\s+', ' ', 'g')) AS subsidiary,
+  regexp_matches(lower(coalesce(name, '')), '\\b(pac|political action committee)\\b') AS pac
+FROM a""")
+def match_norm(spark, d):
+    n = F.col("name")
+    a = values(spark, "name", _NAMES).union(t(spark, d, "customer").select("c_name"))
+    return a.select("name", companies.match_norm(n).alias("key"), companies.slug(n).alias("slug"), companies.match_name(n).alias("clean"), companies.subsidiary_norm(n).alias("subsidiary"), companies.looks_like_pac(n).alias("pac"))
+
+
+@query()
+def search_names(spark, d):
+    return values(spark, "name", [*_NAMES, ("IBM CORP",), ("8X8 INC",), ("overstock.COM",), ("COCA-COLA CO",)]).select("name", companies.search_name(F.col("name")).alias("search_name"))
+
+
+# --- titles -------------------------------------------------------------------------
+
+_TITLES = ["Chief Executive Officer", "Executive Vice President", "vice president, sales", "President and CEO", "President", "CFO", "chief operating officer", "Chief Information Officer", "cmo", "General Counsel", "Director", "Treasurer", "Corporate Secretary", "Unknown", "SVP", None, "n/a"]
+_TV = sql_values("v", "i title", [(i, x) for i, x in enumerate(_TITLES)])
+_TIDY = "array_to_string(list_transform(regexp_extract_all(trim(title), '[A-Za-z]+|[^A-Za-z]+'), lambda x: upper(x[1]) || lower(x[2:])), '')"
+
+
+def _case(column: str, rules: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({column}, '{p}') THEN '{v}'" for p, v in rules) + " ELSE 'Other Executive' END"
+
+
+_BUCKETS = [(p.replace(r"(?<!vice\s)(?<!svp\s)(?<!evp\s)", ""), v) for p, v in titles.BUCKET_RULES]
+
+
+@query(f"""WITH {_TV}, p AS (SELECT CASE WHEN title IS NULL THEN 'Unknown' ELSE regexp_replace({_TIDY}, '[^a-zA-Z\\s]', '', 'g') END AS tidy FROM part JOIN v ON CAST(i AS INT) = p_partkey % {len(_TITLES)}),
+b AS (SELECT CASE WHEN trim(lower(tidy)) IN ('unknown', 'na', 'n/a', 'none', '') THEN 'Other Executive' ELSE {_case("trim(lower(tidy))", _BUCKETS)} END AS title_standard FROM p)
+SELECT title_standard, {_case("title_standard", titles.CATEGORY_RULES)} AS category, CAST(count(*) AS BIGINT) AS count FROM b GROUP BY 1, 2""")
+def title_bucket_counts(spark, d):
+    v = values(spark, "i title", [(i, x) for i, x in enumerate(_TITLES)])
+    p = t(spark, d, "part").join(F.broadcast(v), (F.col("p_partkey") % len(_TITLES)) == v.i.cast("long"))
+    return execs.title_summary(p, "title")
+
+
+@query("SELECT p_brand AS category, CAST(count(*) AS BIGINT) AS count, count(*) / sum(count(*)) OVER () AS share FROM part GROUP BY 1")
+def category_share(spark, d):
+    return execs.category_share(ops.frequencies(t(spark, d, "part").withColumnRenamed("p_brand", "category"), "category", "p_type"))
+
+
+@query("""WITH r AS (SELECT CAST(p_size AS DOUBLE) AS x FROM part), s AS (SELECT min(x) AS lo, max(x) AS hi FROM r)
+SELECT CAST(least(floor((x - lo) / ((hi - lo) / 15)) + 1, 15) AS INT) AS bin, CAST(count(*) AS BIGINT) AS count FROM r, s GROUP BY 1""")
+def freq_histogram(spark, d):
+    return ops.histogram(t(spark, d, "part"), "p_size", 15).select("bin", "count")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS total_rows, count(DISTINCT text) AS unique_executives, count(DISTINCT lang) AS unique_titles, count(DISTINCT source) AS unique_companies FROM documents")
+def dataset_summary(spark, d):
+    return execs.executive_summary(t(spark, d, "documents").select(F.col("text").alias("executive_name"), F.col("lang").alias("executive_title"), F.col("source").alias("company")))
+
+
+@query()
+def title_cleaning(spark, d):
+    return values(spark, "title", [(x,) for x in [*_TITLES, "<b>Chief Risk Officer</b>", "board member", "Head of Data & AI", "-"]]).select("title", titles.clean_title(F.col("title")).alias("clean"), titles.is_executive_title(F.col("title")).alias("executive"))
+
+
+# --- deduplication, nulls, sets ------------------------------------------------------
+
+
+@query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) WHERE r = 1")
+def first_per_key(spark, d):
+    return ops.first_per(t(spark, d, "events"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
+
+
+@query("SELECT event_type, CAST(count(*) AS BIGINT) AS count, min(ts) AS first_seen, max(ts) AS last_seen FROM events GROUP BY 1")
+def latest_first_seen(spark, d):
+    return t(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("count"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
+
+
+@query("SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 2 = 0 UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 EXCEPT SELECT o_orderkey FROM orders WHERE o_orderkey % 5 = 0")
+def union_diff_processed(spark, d):
+    k = t(spark, d, "orders").select(F.col("o_orderkey").alias("k"))
+    return ingest.unseen(k.where("k % 2 = 0").unionByName(k.where("k % 3 = 0")).distinct(), k.where("k % 5 = 0"), "k")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(TRY_CAST(event_type AS DOUBLE), 0) AS coerced, event_type IN ('1', 'true', 'yes') AS truthy FROM events")
+def json_prop(spark, d):
+    return t(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), ops.number_or_zero(F.col("event_type")).alias("coerced"), ops.truthy(F.col("event_type")).alias("truthy"))
+
+
+@query("SELECT conv_id, text AS first_text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations WHERE role = 'user') WHERE r = 1")
+def conversation_first_text(spark, d):
+    return ops.first_per(t(spark, d, "conversations").where("role = 'user'"), ["conv_id"], ["turn"]).select("conv_id", F.col("text").alias("first_text"))
+
+
+@query("""SELECT n_name AS company_name, coalesce(c_name, '') AS subsidiary_name_raw, n_nationkey % 2 = 0 AS has_exhibit21 FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 9000""")
+def master_left_join(spark, d):
+    log = t(spark, d, "nation").select(F.col("n_name").alias("company_name"), F.col("n_nationkey").cast("string").alias("cik"), (F.col("n_nationkey") % 2 == 0).alias("has_exhibit21"))
+    subs = t(spark, d, "customer").where("c_acctbal > 9000").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("parent_name"), F.col("n_nationkey").cast("string").alias("parent_cik"), F.col("c_name").alias("subsidiary_name_raw"))
+    return bundles.master(log, subs).select("company_name", "subsidiary_name_raw", "has_exhibit21")
+
+
+@query("""WITH c AS (SELECT n_name AS k, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000 GROUP BY 1), s AS (SELECT n_name AS k, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
+SELECT coalesce(c.k, s.k) AS company_name, CAST(coalesce(c.n, 0) AS INT) AS contacts_count, CAST(coalesce(s.n, 0) AS INT) AS subsidiaries_count FROM c FULL JOIN s ON c.k = s.k""")
+def bundle_counts(spark, d):
+    return bundles.bundles(*_sides(spark, d)).select("company_name", "contacts_count", "subsidiaries_count")
+
+
+def _sides(spark, d):
+    nat = t(spark, d, "nation")
+    contacts = t(spark, d, "customer").where("c_acctbal > 9000").join(nat, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("company"), "c_name")
+    return contacts, t(spark, d, "supplier").join(nat, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("company"), "s_name")
+
+
+@query("""WITH c AS (SELECT n_name AS k, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000 GROUP BY 1), s AS (SELECT n_name AS k, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1),
+b AS (SELECT trim(regexp_replace(lower(coalesce(c.k, s.k)), '[^a-z0-9]+', '-', 'g'), '-') AS slug, coalesce(c.n, 0) AS cn, coalesce(s.n, 0) AS sn FROM c FULL JOIN s ON c.k = s.k)
+SELECT 'companies/' || slug AS path FROM b UNION ALL SELECT printf('companies/%s/contacts/%05d', slug, i) FROM b, range(1, 10000) r(i) WHERE i <= cn UNION ALL SELECT printf('companies/%s/subsidiaries/%05d', slug, i) FROM b, range(1, 10000) r(i) WHERE i <= sn""")
+def bundle_paths(spark, d):
+    return bundles.documents(bundles.bundles(*_sides(spark, d))).select("path")
+
+
+# --- brands, web, mail, events -------------------------------------------------------
+
+_PHRASES = ["Acme", "Acme thanks a lot", "Stop", "www.acme.com", "Café Noir", "Acme: the best", "Acme Foods (all of them)", "i think Acme", "Globex website is nice", "A B C D E F G H I J", "", "Humanna", "Acme based in Ohio", "parent company Globex", "Globex in Texas now"]
+_PV = sql_values("v", "i phrase", [(i, x) for i, x in enumerate(_PHRASES)])
+_TRIM = "trim(regexp_replace(phrase, '\\s+', ' ', 'g'))"
+for _p in br.TAILS:
+    _TRIM = f"trim(regexp_replace(regexp_replace({_TRIM}, '(?i){_p}', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(f"""WITH {_PV}, a AS (SELECT i, trim(split_part({_TRIM}, ':', 1)) AS x FROM v), b AS (SELECT i, CASE WHEN contains(x, '(') AND length(x) > 12 THEN trim(split_part(x, '(', 1)) ELSE x END AS x FROM a),
+c AS (SELECT i, CASE x WHEN 'Humanna' THEN 'Humana' ELSE x END AS candidate FROM b),
+l AS (SELECT i, candidate, CASE WHEN candidate IN ('', 'Stop', 'Out', 'Wings', 'Cooling', 'Etc') THEN 'drop' WHEN regexp_matches(candidate, '(?i)(https?://|www\\.|\\.(com|net|org|io|co)\\b)') THEN 'drop' WHEN NOT regexp_matches(candidate, '^[A-Za-z0-9&''’\\-\\.\\s]+$') THEN 'drop' WHEN length(candidate) > 55 OR len(string_split(candidate, ' ')) > 8 THEN 'review' ELSE 'keep' END AS label FROM c)
+SELECT label, candidate, CAST(count(*) AS BIGINT) AS count FROM orders JOIN l ON CAST(i AS INT) = o_orderkey % {len(_PHRASES)} GROUP BY 1, 2""")
+def brand_post_clean(spark, d):
+    v = values(spark, "i brand_canonical", [(i, x) for i, x in enumerate(_PHRASES)])
+    seen = t(spark, d, "orders").groupBy((F.col("o_orderkey") % len(_PHRASES)).alias("m")).agg(F.count("*").alias("count"))
+    rows = brands.labelled(seen.join(v, F.col("m") == v.i.cast("long")).select("brand_canonical", "count"))
+    return rows.groupBy("label", "candidate").agg(F.sum("count").alias("count"))
+
+
+def _mail(spark):
+    def payload(body, subject, i):
+        data = base64.urlsafe_b64encode(body.encode()).decode().rstrip("=")
+        return json.dumps({"mimeType": "multipart/mixed", "headers": [{"name": "subject", "value": subject}, {"name": "Date", "value": f"Mon, 0{i} Jan 2024 10:00:00 +0000"}], "parts": [{"mimeType": "text/plain", "body": {"data": data}}]})
+
+    ask = "Hello, I'd like to know more details about: {} Thanks!"
+    rows = [(f"m{i}", str(1704103200000 + i), payload(ask.format(b) if b else "none", s, i)) for i, (b, s) in enumerate([("Acme and Globex", ""), ("Foods (Oat, Rye), acme", ""), ("", "details about: Kohls"), ("Jersy Mikes / Hyvee. Based in Ohio", ""), ("Globexx", "")], 1)]
+    return values(spark, "message_id internal_date_ms payload_json", rows)
+
+
+@query()
+def brand_mentions(spark, d):
+    return brands.mentions(ingest.decoded(_mail(spark)))
+
+
+@query()
+def brand_counts(spark, d):
+    found = brands.mentions(ingest.decoded(_mail(spark)))
+    return brands.brand_counts(found, brands.canonical_brands(found))
+
+
+@query("SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}'))), '|') AS emails FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')")
+def email_extract(spark, d):
+    e = t(spark, d, "documents").select("doc_id", web.emails(F.col("text")).alias("e"))
+    return e.where(F.size("e") > 0).select("doc_id", F.array_join("e", "|").alias("emails"))
+
+
+@query("""WITH e AS (SELECT doc_id, list_sort(list_distinct(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}'))) AS e FROM documents)
+SELECT doc_id, coalesce(list_filter(e, lambda x: regexp_matches(lower(x), 'support@|service@|help@|info@|care@'))[1], e[1]) AS email FROM e WHERE len(e) > 0""")
+def email_preferred(spark, d):
+    e = t(spark, d, "documents").select("doc_id", web.emails(F.col("text")).alias("e"))
+    return e.where(F.size("e") > 0).select("doc_id", web.preferred_email(F.col("e"), web.SERVICE_TAGS).alias("email"))
+
+
+_NOISE_SQL = " OR ".join(f"contains(lower(url), '{x}')" for x in web.NOISE)
+
+
+@query(f"SELECT page_id, {_NOISE_SQL} AS noise, contains(lower(url), 'bsky.app/profile/') AS bluesky, array_to_string(string_split(regexp_extract(lower(url), '://([^/?#]+)', 1), '.')[-2:], '.') AS domain FROM pages")
+def url_noise(spark, d):
+    u = F.col("url")
+    return t(spark, d, "pages").select("page_id", web.is_noise(u).alias("noise"), web.is_social(u, "bluesky").alias("bluesky"), web.domain(u).alias("domain"))
+
+
+@query()
+def exhibit_names(spark, d):
+    p = t(spark, d, "pages").select("page_id", F.col("url").alias("parent_name"), F.lit("0").alias("parent_cik"), F.col("url").alias("source_url"), "html")
+    return bundles.subsidiaries(p)
+
+
+_FILING = "By: /s/ Jane Q. Roe\nName: Jane Roe\nTitle: Chief Financial Officer\nDate: today\n\nAlan Poe, Vice President of it. The board, director."
+
+
+@query()
+def exec_mentions(spark, d):
+    f = values(spark, "company_name sec_filing_type raw_text ord", [("Acme Inc", "8-K", _FILING, 1), ("Acme Inc", "8-K", "later", 2), ("Globex", "8-K", "Mary Major, Director. Bob Bank, President.", 3)])
+    docs = t(spark, d, "documents").select(F.col("source").alias("company_name"), F.lit("doc").alias("sec_filing_type"), F.col("text").alias("raw_text"), F.format_string("%012d", "doc_id").alias("ord"))
+    return execs.final_executives(execs.raw_executives(f.unionByName(docs), "ord"))
+
+
+_LINES = ["Jane Roe has joined the company as Chief Risk Officer (posted on Jan 3, 2024).", "Al Poe, Head of Sales, has left the company.", "Mary Major, who was VP, is promoted to President.", "Bo Li will join the company as Director on May 2, 2024.", "Nothing happened", "Sam Sun, Treasurer, will retire on Jun 1, 2024."]
+_LV = sql_values("v", "i line", [(i, x) for i, x in enumerate(_LINES)])
+_KIND = "CASE WHEN regexp_matches(line, ' has joined the company as ') THEN 'joined' WHEN regexp_matches(line, ' will join the company as ') THEN 'will_join' WHEN regexp_matches(line, ', who was .*, is promoted to ') THEN 'promoted' WHEN regexp_matches(line, ', has left the company') THEN 'left' WHEN regexp_matches(line, ', will retire') THEN 'will_retire' ELSE 'unparsed' END"
+
+
+@query(f"WITH {_LV} SELECT i, {_KIND} AS event_type, CASE {_KIND} WHEN 'unparsed' THEN '' WHEN 'joined' THEN split_part(line, ' has joined', 1) WHEN 'will_join' THEN split_part(line, ' will join', 1) ELSE split_part(line, ',', 1) END AS executive_name, regexp_extract(line, '\\bon ([A-Z][a-z]{{2,}}\\.? \\d{{1,2}}, \\d{{4}})', 1) AS effective_date, regexp_extract(line, '\\(posted on ([^)]+)\\)', 1) AS posted_date FROM v")
+def exec_events(spark, d):
+    return execs.change_events(values(spark, "i line", [(i, x) for i, x in enumerate(_LINES)])).select("i", "event_type", "executive_name", "effective_date", "posted_date")
+
+
+@query(f"WITH {_LV} SELECT {_KIND} AS event_type, CAST(count(*) AS BIGINT) AS count FROM events JOIN v ON CAST(i AS INT) = event_id % {len(_LINES)} GROUP BY 1")
+def exec_event_counts(spark, d):
+    v = execs.change_events(values(spark, "i line", [(i, x) for i, x in enumerate(_LINES)]))
+    e = t(spark, d, "events").join(F.broadcast(v.select("i", F.col("event_type").alias("kind"))), (F.col("event_id") % len(_LINES)) == F.col("i").cast("long"))
+    return ops.frequencies(e.select(F.col("kind").alias("event_type")), "event_type")
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
+def windowed_counts(spark, d):
+    return ingest.windowed_counts(t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))).withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query()
+def person_names(spark, d):
+    n = F.col("name")
+    v = values(spark, "name", [("Jane Q. Roe",), ("JohnSmith Chief Officer",), ("O'Neil, Pat Jr",), ("IBM",), (None,), ("de la Cruz, Ana III",)])
+    return v.select("name", people.best_name(n).alias("best"), people.is_valid_name(n).alias("valid"), people.looks_like_name(n).alias("looks"), people.name_parts(n)["first"].alias("first"), people.name_parts(n)["last"].alias("last"))
+
+
+@query()
+def stream_ingest_equals_batch(spark, d):
+    """Messages read by a stream, run twice over the same files with one checkpoint."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpgraph-stream-")
+    base = f"{root}/ingest-{spark.sparkContext.applicationId}-{id(d)}"
+    _mail(spark).write.mode("overwrite").json(f"{base}/in")
+    for _ in range(2):
+        ingest.ingest(spark, f"{base}/in", f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out")

@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from corpgraph.functions import companies, web
 from corpgraph.functions.common import text_of
@@ -58,7 +59,7 @@ def names_in_exhibit(html: str | None) -> list[str]:
     return found or [x.strip() for x in "\n".join(p.text).split("\n") if ENTITY.search(x)]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def exhibit_names(html: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for h in html:
         yield h.map(names_in_exhibit)

@@ -11,8 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampType
 
-from corpgraph.schemas import MESSAGES
+from corpgraph.schemas import MESSAGES, strings
 
 PAYLOAD_HEADERS = "struct<headers array<struct<name string, value string>>>"
 
@@ -35,7 +36,7 @@ def plain_text(payload: str | None) -> str:
     return _decode(next(walk(root), (root.get("body") or {}).get("data")))
 
 
-@F.pandas_udf("struct<body string, error string>")
+@F.pandas_udf(strings("body error"))
 def message_text(payloads: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """Body of each message; what goes wrong is a value, not a failed task."""
     for batch in payloads:
@@ -48,7 +49,7 @@ def message_text(payloads: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["body", "error"])
 
 
-@F.pandas_udf("timestamp")
+@F.pandas_udf(TimestampType())
 def header_date(dates: pd.Series) -> pd.Series:
     """RFC-2822 dates; null if they can't be read."""
 
