@@ -400,6 +400,28 @@ def exec_event_counts(spark, d):
     return ops.frequencies(e.select(F.col("kind").alias("event_type")), "event_type")
 
 
+_ALERT = """THE OFFICIAL BOARD / MY ALERTS
+Acme Inc
+Software
+Subsidiary of Globex
+Appointments
+Jane Roe has joined the company as Chief Risk Officer (posted on Jan 3, 2024).
+Changes
+Al Poe, Head of Sales, has left the company. (posted on Jan 4, 2024)
+View the new org chart of Acme Inc
+Borealis
+Retail
+Changes
+Mary Major, who was VP, is promoted to President. (posted on Jan 5, 2024)
+Unsubscribe to this alert now"""
+
+
+@query()
+def alert_events(spark, d):
+    m = values(spark, "message_id date subject body", [("a1", "2024-01-06", "alert", _ALERT), ("a2", "2024-01-07", "none", "nothing"), ("a3", None, None, None)])
+    return execs.alert_events(m)
+
+
 @query("SELECT date_trunc('hour', ts) AS start, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
 def windowed_counts(spark, d):
     return ingest.windowed_counts(t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))).withColumn("start", F.col("start").cast("timestamp_ntz"))

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.functions import companies, people, titles
+from corpgraph.functions.alerts import alert_lines, alert_text
 from corpgraph.functions.common import text_of
 from corpgraph.functions.events import parse_event
 from corpgraph.operators.ops import first_per, frequencies, sorted_set
+from corpgraph.schemas import EVENT_FIELDS
 
 Tagger = Callable[[str], list[tuple[int, int]]]
 # Patterns of names and titles in filings.
@@ -133,5 +135,11 @@ def change_events(lines: DataFrame, line: str = "line") -> DataFrame:
     return lines.withColumn("e", parse_event(F.col(line))).select(*[c for c in lines.columns if c != line], "e.*")
 
 
+def alert_events(messages: DataFrame) -> DataFrame:
+    """Events of alert messages (message_id, date, subject, body), one row each."""
+    lines = messages.select("message_id", F.col("date").alias("email_date"), F.col("subject").alias("email_subject"), F.explode(alert_lines(alert_text(F.col("body")))).alias("x"))
+    return change_events(lines.select("message_id", "email_date", "email_subject", "x.*")).select(*EVENT_FIELDS)
+
+
 def failures(events: DataFrame) -> DataFrame:
     return events.where("event_type = 'unparsed'")
