@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,10 +112,10 @@ def header(role: str) -> str:
 CLOSE = "<|end|>\n"
 
 
-def repaired(rows: pd.DataFrame, path: list[int], begin: int, last: bool, at: int) -> pd.DataFrame:
-    """The output rows of a piece whose turns end in the states ``path``."""
+def repaired(rows: list[tuple], path: list[int], begin: int, last: bool, at: int) -> list[tuple]:
+    """The output rows of a piece (conv_id, turn, role, text) whose turns end in the states ``path``."""
     out, state = [], begin
-    for k, (conv, turn, role, text) in enumerate(zip(rows.conv_id, rows.turn, rows.role, rows.text, strict=True)):
+    for k, (conv, turn, role, text) in enumerate(rows):
         r = path[k] - 1
         cost, before, merged = STEPS[state][r]
         changed = role != ROLES[r]
@@ -129,56 +130,54 @@ def repaired(rows: pd.DataFrame, path: list[int], begin: int, last: bool, at: in
         action = "+".join((["relabel"] if changed else []) + (["merge"] if merged else [])) or "keep"
         out.append((conv, turn, role, ROLES[r], action, ",".join(inserted), cost + RELABEL * changed, made, at + k))
         state = path[k]
-    return pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-
-
-def _first_pass(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows in order; pieces that may go on in a neighbour carry their matrix in the first row."""
-    part, held, n_seen = TaskContext.get().partitionId(), [], 0
-
-    def emit(rows: pd.DataFrame, edge: bool) -> pd.DataFrame:
-        rows = rows.reset_index(drop=True)
-        rows["part"], rows["piece"] = part, n_seen
-        rows["seq"] = np.arange(len(rows))
-        rows["edge"] = edge
-        first = matrix(rows.role.tolist()).reshape(-1).tolist() if edge else None
-        rows["costs"] = [first] + [None] * (len(rows) - 1)
-        rows["length"] = len(rows)
-        return rows
-
-    for frame in frames:
-        frame["role"] = frame.role.astype(object).where(frame.role.notna(), None)
-        frame["text"] = frame.text.astype(object).where(frame.text.notna(), None)
-        key = frame.conv_key.to_numpy()
-        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            piece = frame.iloc[a:b]
-            if held and held[-1].conv_key.iloc[0] != piece.conv_key.iloc[0]:
-                yield emit(pd.concat(held), n_seen == 0)
-                n_seen += 1
-                held = []
-            held.append(piece)
-    if held:
-        yield emit(pd.concat(held), True)
+    return out
+
+
+LAID = SCHEMA + ", conv_key string, text string, part int, piece long, edge boolean, costs array<long>, length long"
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64())}
+_FIELDS = [x.split(" ") for x in LAID.split(", ")]
+ROWS_OUT = 2000
 
 
-LAID = "conv_key string, conv_id long, turn long, role string, text string, part int, piece long, seq long, edge boolean, costs array<long>, length long"
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(zip(*rows, strict=True), _FIELDS, strict=True)], [n for n, _ in _FIELDS])
 
 
-def _inner(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        frame = frame.astype({"role": object, "text": object})
-        for _, rows in frame.groupby(["part", "piece"], sort=False):
-            yield _solved(rows.sort_values("seq"), START, None, True, 0)
+def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Solves the conversations that lie wholly in the partition; the first and last pieces get their matrix in their first row."""
+    part, piece, out = TaskContext.get().partitionId(), 0, []
+    key, held = None, []
 
+    def finish(edge: bool) -> None:
+        if not edge:
+            out.extend((*r, key, None, part, piece, False, None, 0) for r in repaired(held, solve([r[2] for r in held]), START, True, 0))
+            return
+        costs = matrix([r[2] for r in held]).reshape(-1).tolist()
+        out.extend((c, t, role, None, None, None, None, None, k, key, text, part, piece, True, None if k else costs, len(held)) for k, (c, t, role, text) in enumerate(held))
 
-def _solved(rows: pd.DataFrame, begin: int, end: int | None, last: bool, at: int) -> pd.DataFrame:
-    rows = rows.assign(role=rows.role.astype(object).where(rows.role.notna(), None), text=rows.text.astype(object).where(rows.text.notna(), None))
-    return repaired(rows, solve(rows.role.tolist(), begin, end), begin, last, at)
+    for batch in batches:
+        for k, *row in zip(*[batch.column(c).to_pylist() for c in ("conv_key", "conv_id", "turn", "role", "text")], strict=True):
+            if held and k != key:
+                finish(piece == 0)
+                piece, held = piece + 1, []
+                if len(out) > ROWS_OUT:
+                    yield _batch(out)
+                    out = []
+            key = k
+            held.append(tuple(row))
+    if held:
+        finish(True)
+    if out:
+        yield _batch(out)
 
 
 def _edge(rows: pd.DataFrame, plan: dict) -> pd.DataFrame:
-    return _solved(rows.sort_values("seq"), *plan[int(rows.part.iloc[0]), int(rows.piece.iloc[0])])
+    """Solves one edge piece between the states that the driver found."""
+    rows = rows.sort_values("position")
+    null = lambda c: rows[c].astype(object).where(rows[c].notna(), None).tolist()
+    begin, end, last, at = plan[int(rows.part.iloc[0]), int(rows.piece.iloc[0])]
+    turns = list(zip(null("conv_id"), null("turn"), null("role"), null("text"), strict=True))
+    return pd.DataFrame(repaired(turns, solve([t[2] for t in turns], begin, end), begin, last, at), columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
 def repair_roles(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -201,7 +200,7 @@ def repair_roles(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     order = ["conv_key", "turn", "role", F.xxhash64("text")]
     # The identifier of a row in its file only parts equal rows, whose order is of no account.
     laid = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order, "row").sortWithinPartitions("conv_key", "turn", "role", "text", "row").drop("row")
-    laid = area.save(laid.mapInPandas(_first_pass, LAID), "laid")
+    laid = area.save(laid.mapInArrow(_first_pass, LAID), "laid")
     # At most two edge pieces a partition.
     edges = laid.where("costs is not null").select("conv_key", "part", "piece", "costs", "length").collect()
     chains: dict[str, list] = {}
@@ -213,12 +212,6 @@ def repair_roles(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
         for k, (r, end) in enumerate(zip(chain, borders([np.array(r.costs, np.int64).reshape(STATES, STATES) for r in chain]), strict=True)):
             plan[r.part, r.piece] = (begin, end, k == len(chain) - 1, at)
             begin, at = end, at + r.length
-    inner = laid.where("not edge").repartition("part", "piece").mapInPandas(_inner_grouped, SCHEMA)
+    inner = laid.where("not edge").select(*[c.split()[0] for c in SCHEMA.split(", ")])
     outer = laid.where("edge").groupBy("part", "piece").applyInPandas(lambda rows: _edge(rows, plan), SCHEMA)
     return inner.unionByName(outer)
-
-
-def _inner_grouped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held = list(frames)
-    if held:
-        yield from _inner(iter([pd.concat(held)]))
