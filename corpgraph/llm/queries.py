@@ -83,4 +83,14 @@ FROM q LEFT JOIN fit USING (page_id, host, path)""",
 WITH d AS (SELECT doc_id, sha256({_ASCII_LOWER.format("coalesce(text, '')")}) AS h FROM documents),
 g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM d JOIN g USING (h)""",
+    "op4_near_dedup": f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i : i + 3], ' ')) END) AS sh FROM w),
+x AS (SELECT doc_id, unnest(sh) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b WHERE 100 * c >= 80 * (len(sa.sh) + len(sb.sh) - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, label) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node),
+m AS (SELECT node, min(label) AS label FROM r GROUP BY 1)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, label AS component_id, doc_id = label AS kept FROM s JOIN m ON node = doc_id""",
 }
