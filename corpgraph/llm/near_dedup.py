@@ -189,7 +189,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     crowded = area.save(rows.join(shared, "bucket", "left_semi").distinct(), "crowded")
     known_ids = known.select("doc_id", "d1", "d2").groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("lo"), F.max(F.struct("d1", "d2")).alias("hi")).where("lo <> hi")
     same_id = known.select("doc_id", "d1", "d2").join(known_ids.select("doc_id"), "doc_id", "left_semi").join(classes.select("d1", "d2", "rep"), ["d1", "d2"])
-    links = same_id.groupBy("doc_id").agg(F.min("rep").alias("a"), F.array_distinct(F.collect_list("rep")).alias("all")).select("a", F.explode("all").alias("b")).where("a <> b")
+    least = same_id.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    links = same_id.join(least, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
 
     busy = crowded.groupBy("bucket").count().join(crowded, "bucket").groupBy("rep").agg(F.sum("count").alias("shares"))
     crowded = area.save(crowded.join(busy, "rep"), "members")

@@ -87,3 +87,8 @@ def test_filter_keeps_columns(spark):
     out = near_dedup.keep_one_of_each(df)
     assert out.columns == df.columns
     assert sorted(r.doc_id for r in out.collect()) == [1, 3]
+
+
+def test_rows_that_share_an_id_are_linked(spark):
+    df = spark.createDataFrame([(5, "a b c d e f"), (5, "u v w x y z"), (2, "U V W X Y Z"), (9, "A b c d e f")], "doc_id long, text string")
+    assert {r.component_id for r in near_dedup.near_duplicates(df).collect()} == {2}
