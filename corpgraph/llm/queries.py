@@ -94,3 +94,31 @@ r(node, label) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, r.label FROM r
 m AS (SELECT node, min(label) AS label FROM r GROUP BY 1)
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, label AS component_id, doc_id = label AS kept FROM s JOIN m ON node = doc_id""",
 }
+
+
+def _rules_sql() -> str:
+    """SQL of op6: words, lines and n-grams one row each."""
+    blank, n_all = r"[\x20\x09-\x0D]", [quality_rules.BASE_WINDOW, *quality_rules.MOST_COVERED]
+    parts = [
+        f"w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{blank.replace('[', '[^', 1)}+') AS ws FROM documents)",
+        "p AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS x FROM w)",
+        f"f AS (SELECT doc_id, line, count(*) AS c, length(regexp_replace(line, '{blank}', '', 'g')) AS k FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w) GROUP BY 1, 2)",
+        "l AS (SELECT doc_id, sum(c - 1) AS dup, sum(CASE WHEN c > 1 THEN c * k ELSE 0 END) AS chars FROM f WHERE k > 0 GROUP BY 1)",
+    ]
+    for n in n_all:
+        parts += [
+            f"g{n} AS (SELECT doc_id, i, array_to_string(ws[i : i + {n - 1}], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {n - 2})) AS i FROM w WHERE len(ws) >= {n}))",
+            f"d{n} AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g{n}) WHERE c > 1)",
+            f"c{n} AS (SELECT doc_id, sum(length(x)) AS chars, count(*) AS words FROM (SELECT DISTINCT d.doc_id, d.i + k AS i FROM d{n} d, range(0, {n}) r(k)) JOIN p USING (doc_id, i) GROUP BY 1)",
+        ]
+    cols = ["doc_id", "CAST(len(ws) AS BIGINT) AS n_words", f"CAST(length(regexp_replace(t, '{blank}', '', 'g')) AS BIGINT) AS word_chars", "CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols"]
+    cols += ["CAST(coalesce(l.dup, 0) AS BIGINT) AS n_dup_lines", f"CAST(coalesce(c{n_all[0]}.words, 0) AS BIGINT) AS n_repeat_words", "CAST(coalesce(l.chars, 0) AS BIGINT) AS line_chars"]
+    cols += [f"CAST(coalesce(c{n}.chars, 0) AS BIGINT) AS chars_{n}" for n in quality_rules.MOST_COVERED]
+    joins = "LEFT JOIN l USING (doc_id) " + " ".join(f"LEFT JOIN c{n} USING (doc_id)" for n in n_all)
+    parts.append(f"o AS (SELECT {', '.join(cols)} FROM w {joins})")
+    base = f"(n_words < {quality_rules.BASE_WORDS} OR 100 * n_repeat_words > {quality_rules.BASE_PERCENT} * n_words)"
+    over = [f"chars_{n} > CAST({most} AS DOUBLE) * word_chars" for n, most in quality_rules.MOST_COVERED.items()] + [f"line_chars > CAST({quality_rules.MOST_LINES} AS DOUBLE) * word_chars"]
+    return f"WITH {', '.join(parts)} SELECT *, {base} AS base_failed, NOT ({base} OR {' OR '.join(over)}) AS kept FROM o"
+
+
+ORACLES["op6_quality_rules"] = _rules_sql()
