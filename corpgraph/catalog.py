@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpgraph.functions import brands as br
 from corpgraph.functions import companies, people, titles, web
 from corpgraph.operators import ops
-from corpgraph.plans import brands, bundles, pac
+from corpgraph.plans import brands, bundles, contacts, pac
 from corpgraph.plans import people as execs
 from corpgraph.streaming import ingest
 
@@ -90,9 +90,9 @@ def corporate_filter(spark, d):
     return pac.corporate_pacs(o).select(F.col("CMTE_ID").alias("cmte_id"), F.col("CMTE_NM").alias("cmte_tp"), F.col("CONNECTED_ORG_NM").alias("org"))
 
 
-@query("SELECT c_custkey AS custkey FROM customer LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS s FROM orders GROUP BY 1) ON o_custkey = c_custkey WHERE coalesce(s, 0) = 0")
+@query("SELECT c_custkey AS custkey FROM customer LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS s FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) ON o_custkey = c_custkey WHERE coalesce(s, 0) = 0")
 def zero_activity(spark, d):
-    spent = t(spark, d, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("s"))
+    spent = t(spark, d, "orders").where("o_orderpriority = '1-URGENT'").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("s"))
     joined = t(spark, d, "customer").join(spent, F.col("c_custkey") == F.col("o_custkey"), "left")
     return pac.zero_activity(joined.withColumn("TOTAL_AMOUNT", ops.number_or_zero(F.col("s")))).select(F.col("c_custkey").alias("custkey"))
 
@@ -299,11 +299,82 @@ def _sides(spark, d):
 
 @query("""WITH c AS (SELECT n_name AS k, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000 GROUP BY 1), s AS (SELECT n_name AS k, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1),
 b AS (SELECT trim(regexp_replace(lower(coalesce(c.k, s.k)), '[^a-z0-9]+', '-', 'g'), '-') AS slug, coalesce(c.n, 0) AS cn, coalesce(s.n, 0) AS sn FROM c FULL JOIN s ON c.k = s.k)
-SELECT 'companies/' || slug AS path FROM b UNION ALL SELECT printf('companies/%s/contacts/%05d', slug, i) FROM b, range(1, 10000) r(i) WHERE i <= cn UNION ALL SELECT printf('companies/%s/subsidiaries/%05d', slug, i) FROM b, range(1, 10000) r(i) WHERE i <= sn""")
+SELECT 'companies/' || slug AS path FROM b UNION ALL SELECT printf('companies/%s/contacts/%05d', slug, i) FROM b, range(0, 10000) r(i) WHERE i < cn UNION ALL SELECT printf('companies/%s/subsidiaries/%05d', slug, i) FROM b, range(0, 10000) r(i) WHERE i < sn""")
 def bundle_paths(spark, d):
     return bundles.documents(bundles.bundles(*_sides(spark, d))).select("path")
 
 
+_SEARCHES = [
+    ("Acme Tools Inc official website", "1", "https://en.wikipedia.org/wiki/Acme"),
+    ("Acme Tools Inc official website", "2", "https://www.acmetools.com/about"),
+    ("Acme Tools Inc homepage", "1", "https://acme.org"),
+    ("Acme Tools Inc investor site:acmetools.com", "1", "https://acmetools.com/investors"),
+    ("Acme Tools Inc help site:acmetools.com", "1", "https://acmetools.com/help"),
+    ("Acme Tools Inc official twitter x", "1", "https://twitter.com/acme/status/1"),
+    ("Acme Tools Inc official twitter x", "2", "https://twitter.com/acme"),
+    ("Acme Tools Inc official bluesky", "1", "https://bsky.app/profile/acme"),
+    ("Globex official website", "1", "https://www.amazon.com/globex"),
+    ("globexinc.com", "3", "https://shop.globexinc.com/"),
+]
+_FETCHED = [("https://acmetools.com/investors", "ask a@acmetools.com or IR@acmetools.com"), ("https://acmetools.com/help", "none")]
+
+
+def _searched(spark):
+    names = contacts.unique_companies(values(spark, "company", [("Acme TOOLS INC",), ("Globex",), ("Initech",), ("Globex",)]))
+    return names, values(spark, "query rank url", _SEARCHES).withColumn("rank", F.col("rank").cast("int")), values(spark, "url html", _FETCHED)
+
+
+@query()
+def contact_details(spark, d):
+    """Domain, pages and e-mails of companies from search results and fetched pages."""
+    return contacts.extract_contacts(*_searched(spark)).select("company", "company_clean", "domain", "ir_page", "ir_email", "cs_page", "cs_email")
+
+
+@query()
+def social_links(spark, d):
+    names, found, _ = _searched(spark)
+    return contacts.social_links(names, found)
+
+
+@query()
+def contacts_repaired(spark, d):
+    _, found, pages = _searched(spark)
+    names = "company company_clean domain ir_page ir_email cs_page cs_email twitter_url facebook_url bluesky_url"
+    old = [("Acme TOOLS INC", "Acme Tools Inc", "x", None, "old@acme.org", "https://own", "own@acme.org", " ", None, "own"), ("Globex", "Globex", *["kept"] * 8), ("Initech", "Initech", *[None] * 8)]
+    return contacts.repair(values(spark, names, old), found, pages)
+
+
+@query(f"""WITH w AS (SELECT c_custkey, list_filter(regexp_split_to_array(lower(trim(c_name)), '\\W+'), lambda x: len(x) > 2) AS ws FROM customer),
+a AS (SELECT c_custkey, list_concat(list_transform([{", ".join(f"'{e}'" for e in web.ROOT_ENDINGS)}], lambda e: ws[1] || e), list_transform(ws, lambda x: x || '.com')) AS ds FROM w)
+SELECT c_custkey AS custkey, CAST(i AS INTEGER) AS position, ds[i + 1] AS domain FROM a, range(0, 50) r(i) WHERE i < len(ds)""")
+def fallback_domains(spark, d):
+    return t(spark, d, "customer").select(F.col("c_custkey").alias("custkey"), F.posexplode(web.fallback_domains(F.col("c_name"))).alias("position", "domain"))
+
+
+_SUBS = ["Acme Co., Ltd.", "acme l.l.c.", "Globex Corporation (Delaware)", "", "The Bank Group", None, "Umbrella Holdings plc"]
+
+
+@query(f"""WITH {sql_values("x", "name", [(v,) for v in _SUBS])}, y AS (SELECT c_custkey AS n, c_name AS name FROM customer UNION ALL SELECT -1, name FROM x)
+SELECT n, name, coalesce(nullif(trim(regexp_replace(lower(coalesce(name, '')), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unknown-company') AS slug FROM y""")
+def slug_names(spark, d):
+    names = t(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("n"), F.col("c_name").alias("name")).unionByName(values(spark, "name", [(v,) for v in _SUBS]).select(F.lit(-1).cast("long").alias("n"), "name"))
+    return names.withColumn("slug", companies.slug(F.col("name")))
+
+
+@query()
+def brand_split(spark, d):
+    """Brands named in request blocks: slashes, commas, brackets, one ``and``."""
+    blocks = values(spark, "block", [("Acme, Globex and Initech",), ("Umbrella (Red, White)",), ("Soylent/Hooli",), ("",), (None,)])
+    return blocks.select("block", F.posexplode(br.split_brands("block")).alias("position", "brand"))
+
+
+@query("SELECT p_type AS company, upper(p_type) AS company_norm, array_to_string(list_sort(list(DISTINCT p_brand)), '|') AS ticker_candidates_str, min(upper(p_brand)) AS ticker_common FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1")
+def ticker_ambiguous_log(spark, d):
+    x = t(spark, d, "part").select(F.col("p_type").alias("COMPANY_NAME"), F.col("p_brand").alias("TICKER"))
+    e = execs.ambiguous(execs.with_tickers(x.select(F.col("COMPANY_NAME").alias("company")), x))
+    return e.withColumnRenamed("TICKER_COMMON", "ticker_common")
+
+
 # --- brands, web, mail, events -------------------------------------------------------
 
 _PHRASES = ["Acme", "Acme thanks a lot", "Stop", "www.acme.com", "Café Noir", "Acme: the best", "Acme Foods (all of them)", "i think Acme", "Globex website is nice", "A B C D E F G H I J", "", "Humanna", "Acme based in Ohio", "parent company Globex", "Globex in Texas now"]

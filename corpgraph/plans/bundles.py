@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from corpgraph.functions import companies, web
+from corpgraph.functions import companies
 from corpgraph.functions.common import text_of
 from corpgraph.operators.ops import best_match
 
@@ -98,34 +98,10 @@ def with_ciks(names: DataFrame, index: DataFrame, threshold: float = 85) -> Data
     return keyed.join(good, "k", "left").drop("k")
 
 
-def find_page(results: DataFrame, keywords: list[str]) -> DataFrame:
-    """company, page: the first keyword's first hit on the company's own domain that isn't noise.
-
-    ``results``: company, domain, keyword, rank, url.
-    """
-    order = F.array_position(F.array(*[F.lit(k) for k in keywords]), F.col("keyword"))
-    good = results.where(F.contains(F.lower("url"), F.col("domain")) & ~web.is_noise(F.col("url")) & F.col("keyword").isin(keywords))
-    return good.groupBy("company").agg(F.min_by("url", F.struct(order, "rank", "url")).alias("page"))
-
-
-def contact(results: DataFrame, pages: DataFrame, keywords: list[str], tags: list[str], prefix: str) -> DataFrame:
-    """company with <prefix>_page and its preferred <prefix>_email."""
-    found = find_page(results, keywords)
-    mail = pages.select(F.col("url").alias("page"), web.preferred_email(web.emails(F.col("html")), tags).alias("email"))
-    return found.join(mail, "page", "left").select("company", F.col("page").alias(f"{prefix}_page"), F.col("email").alias(f"{prefix}_email"))
-
-
-def choose_domain(results: DataFrame) -> DataFrame:
-    """company, domain: the best-scoring domain above 0, the earliest hit of equals. ``results``: company, tokens, initials, query_no, rank, url."""
-    scored = results.where(~web.is_noise(F.col("url"))).withColumn("domain", web.domain(F.col("url"))).where("domain is not null")
-    scored = scored.withColumn("s", web.domain_score(F.col("domain"), F.col("tokens"), F.col("initials"))).where("s > 0")
-    return scored.groupBy("company").agg(F.min_by("domain", F.struct(-F.col("s"), "query_no", "rank", "domain")).alias("domain"))
-
-
 def repaired(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Old values unless blank, else the new ones."""
     joined = old.alias("o").join(new.alias("n"), key, "left")
-    fixed = {c: F.when(F.length(F.trim(text_of(F.col(f"o.{c}")))) < 3, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")) for c in columns}
+    fixed = {c: F.when(F.trim(text_of(F.col(f"o.{c}"))) == "", F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")) for c in columns}
     return joined.select(*[fixed.get(c, F.col(c if c == key else f"o.{c}")).alias(c) for c in old.columns])
 
 
@@ -141,10 +117,10 @@ def bundles(contacts: DataFrame, subs: DataFrame, company: str = "company") -> D
 
 
 def documents(rows: DataFrame) -> DataFrame:
-    """path, json: one document a company, and one for each contact and subsidiary below it."""
+    """path, json: one document a company, and one for each contact and subsidiary below it, numbered from 0."""
     base = rows.withColumn("root", F.concat(F.lit("companies/"), companies.slug(F.col("company_name"))))
     head = base.select(F.col("root").alias("path"), F.to_json(F.struct("company_name", "contacts_count", "subsidiaries_count"), {"ignoreNullFields": "true"}).alias("json"))
     for name in ("contacts", "subsidiaries"):
         each = base.select("root", F.posexplode(name).alias("at", "x"))
-        head = head.unionByName(each.select(F.format_string(f"%s/{name}/%05d", "root", F.col("at") + 1).alias("path"), F.to_json("x", {"ignoreNullFields": "true"}).alias("json")))
+        head = head.unionByName(each.select(F.format_string(f"%s/{name}/%05d", "root", "at").alias("path"), F.to_json("x", {"ignoreNullFields": "true"}).alias("json")))
     return head

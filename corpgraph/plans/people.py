@@ -48,6 +48,7 @@ def mentions_in(text: str, tagger: Tagger) -> list[tuple[str, str, str]]:
         name = name.strip() if two(name) else signer.strip()
         if two(name) and titled(title):
             out.append((name, title.strip(), "high"))
+    text = text.replace("\xa0", " ")
     for a, b in tagger(text):
         name, around = text[a:b].strip(), text[max(0, a - 150) : b + 150].lower()
         if two(name) and not re.search("item|section|exhibit|entry", name.lower()) and WINDOW_WORDS.search(around):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from corpgraph.operators import ops
-from corpgraph.plans import brands, bundles, pac, people
+from corpgraph.plans import brands, bundles, contacts, pac, people
 from corpgraph.sources import io
 from corpgraph.streaming import ingest
 
@@ -41,10 +41,10 @@ def test_canonical_fold(spark):
 
 
 def test_contacts_and_repair(spark):
-    res = spark.createDataFrame([("A", "acme.com", "investor", 1, "https://acme.com/i"), ("A", "acme.com", "investor relations", 2, "https://acme.com/ir"), ("A", "acme.com", "investor relations", 1, "https://yahoo.com/acme.com")], "company string, domain string, keyword string, rank int, url string")
+    res = spark.createDataFrame([("A investor site:acme.com", 1, "https://acme.com/i"), ("A investor relations site:acme.com", 2, "https://acme.com/ir"), ("A investor relations site:acme.com", 1, "https://yahoo.com/acme.com")], "query string, rank int, url string")
     pages = spark.createDataFrame([("https://acme.com/ir", "a@x.com ir@acme.com")], "url string, html string")
-    got = bundles.contact(res, pages, ["investor relations", "investor", "ir"], ["ir@"], "ir").first()
-    assert (got.company, got.ir_page, got.ir_email) == ("A", "https://acme.com/ir", "ir@acme.com")
+    got = contacts.contact_pages(spark.createDataFrame([("A", "acme.com")], "company_clean string, domain string"), res, pages).first()
+    assert (got.company_clean, got.ir_page, got.ir_email) == ("A", "https://acme.com/ir", "ir@acme.com")
     old = spark.createDataFrame([("A", None, "x"), ("B", "page", "")], "company string, page string, mail string")
     new = spark.createDataFrame([("A", "new", "n"), ("B", "other", None)], "company string, page string, mail string")
     assert sorted(map(tuple, bundles.repaired(old, new, "company", ["page"]).collect())) == [("A", "new", "x"), ("B", "page", "")]
