@@ -89,6 +89,13 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """``docs`` with one row of each group of equal texts; all columns stay. Null cases: as in ``exact_groups``; a row that repeats id and text of a kept row stays too."""
-    gone = exact_groups(docs, id_col=id_col, text_col=text_col, keep=keep).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """``docs`` with one row of each group of equal texts; all columns stay.
+
+    Rows go by id and text, so another text under a dropped row's id stays, and a row
+    with a null id goes where an equal text has an id. Rows that repeat id and text of
+    a kept row stay too, as do all rows of a group without any id.
+    """
+    gone = exact_groups(docs, id_col=id_col, text_col=text_col, keep=keep).where("not kept")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_text")).distinct()
+    same = docs[id_col].cast("long").eqNullSafe(gone["gone_id"]) & (sha256(normalise(docs[text_col])) == gone["gone_text"])
+    return docs.join(gone, same, "left_anti")

@@ -153,5 +153,6 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", **options) -> Da
     """
     took = mix(docs, id_col=id_col, **options).where("size > 0").groupBy("doc_id").agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("copies")).where("copies > 0")
     names = docs.columns
+    number = max(names, key=len) + "_copy"
     keyed = docs.alias("d").join(took.alias("t"), F.col(f"d.{id_col}") == F.col("t.doc_id"))
-    return keyed.select(*[F.col(f"d.{c}") for c in names], F.explode(F.sequence(F.lit(1), F.col("t.copies"))).alias("_copy")).select(*names)
+    return keyed.select(*[F.col(f"d.`{c}`") for c in names], F.explode(F.sequence(F.lit(1), F.col("t.copies"))).alias(number)).select(*[F.col(f"`{c}`") for c in names])

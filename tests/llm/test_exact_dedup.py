@@ -45,3 +45,11 @@ def test_null_ids_repeats_and_empty(spark):
     assert got == sorted([(None, 4, 3, False), (4, 4, 3, True), (4, 4, 3, True), (None, None, 1, True)], key=str)
     assert exact_dedup.exact_groups(df.limit(0)).count() == 0
     assert exact_dedup.drop_copies(df.where("doc_id = 4")).columns == ["doc_id", "text"]
+
+
+def test_rows_go_by_id_and_text(spark):
+    rows = [(1, "a"), (2, "A"), (2, "b"), (None, "a"), (None, "c"), (3, None), (4, ""), (3, None)]
+    docs = spark.createDataFrame([(*r, "x", 9, "y") for r in rows], "doc_id long, text string, gone_id string, digest int, kept string")
+    got = exact_dedup.drop_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, "a"), (2, "b"), (None, "c"), (3, None), (3, None)], key=str)

@@ -54,3 +54,10 @@ def test_mix(spark):
     assert mixing.mix(df.limit(0)).count() == 0
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
+
+
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame([(i, "w " * 50, "a", "c", "k", "n") for i in range(20)], "doc_id long, text string, source string, _copy string, copies string, `a.b` string")
+    got = mixing.mixed_documents(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r)[3:] for r in got.collect()} == {("c", "k", "n")}
