@@ -97,5 +97,8 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     gone = exact_groups(docs, id_col=id_col, text_col=text_col, keep=keep).where("not kept")
     gone = gone.select(F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_text")).distinct()
-    same = docs[id_col].cast("long").eqNullSafe(gone["gone_id"]) & (sha256(normalise(docs[text_col])) == gone["gone_text"])
-    return docs.join(gone, same, "left_anti")
+    # The keys are columns of their own: as expressions of the join they would be hashed again in every comparison of the sort.
+    names, key = docs.columns, max(docs.columns, key=len)
+    keyed = docs.withColumn(f"{key}_id", docs[id_col].cast("long")).withColumn(f"{key}_sha", sha256(normalise(docs[text_col])))
+    same = keyed[f"`{key}_id`"].eqNullSafe(gone["gone_id"]) & (keyed[f"`{key}_sha`"] == gone["gone_text"])
+    return keyed.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in names])
