@@ -4,7 +4,9 @@ Each source's documents are dealt to shards by a hash. A shard's documents, in a
 seeded order, are one stream of tokens that is cut into equal blocks. The blocks of
 the mix go to the sources by highest quotients (target / odd numbers), and each
 source's blocks to its shards in the same way, which gives integer quotas. A shard
-takes its quota as whole passes over its blocks and a seeded choice of the rest.
+takes its quota as whole passes over its blocks and, for the rest, one run of blocks
+from a seeded start, past the last block on to the first. A run holds whole documents
+but at its two ends, so the mix can be rounded to documents without a drift.
 """
 
 from __future__ import annotations
@@ -81,14 +83,6 @@ def targets(sizes: Sequence[int], weights: Sequence[float], share: float, repeat
     return out
 
 
-def _stride(n: int, seed: int) -> int:
-    """A step coprime to n, near the golden section of n, so that multiples of it visit all residues in a scattered order."""
-    a = max(1, int(n * 0.6180339887) + seed % 7)
-    while math.gcd(a, n) != 1:
-        a += 1
-    return a % n if n > 1 else 0
-
-
 def _quotas(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
     """Integer quotas of one source's shards, and how each shard meets its quota."""
     rows = rows.sort_values("shard").reset_index(drop=True)
@@ -99,27 +93,13 @@ def _quotas(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
     rows["blocks"] = blocks
     rows["passes"] = [g // b if b else 0 for g, b in zip(got, blocks, strict=True)]
     rows["extra"] = [g % b if b else 0 for g, b in zip(got, blocks, strict=True)]
-    rows["stride"] = [_stride(b, seed) for b in blocks]
     rows["shift"] = [(seed * 7919 + int(s) * 104729) % max(b, 1) for s, b in zip(rows.shard, blocks, strict=True)]
-    return rows[["source_no", "shard", "blocks", "passes", "extra", "stride", "shift"]]
-
+    return rows[["source_no", "shard", "blocks", "passes", "extra", "shift"]]
 
-def mix(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, source, size, source_size, target, taken.
 
-    Sources in code-point order, null last, have ``weights`` in turn and share
-    ``share`` times all words; a target stops at ``repeats`` times its source's size
-    and the excess is reshared by weight until none is above. taken is the number of
-    words that the mix takes from the document, repeats counted: its parts of the
-    blocks of its shard that were chosen. No document is taken more than ``repeats``
-    times (rounded up). Reruns on the same rows agree.
-
-    Null and empty texts have size 0 and nothing is taken. Null ids are ordered first.
-    Rows that repeat id and source stand next to each other, longer last. Empty tables
-    give no rows. Other columns are not read. Only a shard's document numbers and
-    sizes meet in one task; shards are small whatever a source's share of the rows.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words_in(F.col(text_col)).alias("size"))
+def _taken(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``mix``, with text_hash and the words of the shard's run and of the gap beside it."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words_in(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     spark = docs.sparkSession
     sums = rows.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
     if len(sums) > MAX_SOURCES:
@@ -134,25 +114,53 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float =
     # At most MAX_SOURCES rows of about 60 bytes.
     placed = rows.join(F.broadcast(plan), rows.source.eqNullSafe(plan.source)).drop(plan.source).withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("shards")).cast("int"))
     shards = placed.groupBy("source_no", "shard").agg(F.sum("size").alias("tokens"), F.first("seats").alias("seats")).withColumn("block", F.lit(block)).withColumn("repeats", F.lit(float(repeats)))
-    quotas = shards.groupBy("source_no").applyInPandas(lambda pdf: _quotas(pdf, seed), "source_no int, shard int, blocks long, passes long, extra long, stride long, shift long")
-    order = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    quotas = shards.groupBy("source_no").applyInPandas(lambda pdf: _quotas(pdf, seed), "source_no int, shard int, blocks long, passes long, extra long, shift long")
+    order = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spread = placed.withColumn("to", F.sum("size").over(order)).withColumn("from", F.col("to") - F.col("size"))
     joined = spread.join(quotas, ["source_no", "shard"])
     extra = F.expr(
-        f"""aggregate(sequence(`from` div {block}, (`to` - 1) div {block}), 0L, (sum, j) ->
-        sum + IF((j * stride + shift) % blocks < extra, least(`to`, (j + 1) * {block}) - greatest(`from`, j * {block}), 0L))"""
+        f"""greatest(0L, least(`to`, least(shift + extra, blocks) * {block}) - greatest(`from`, shift * {block}))
+        + greatest(0L, least(`to`, (shift + extra - blocks) * {block}) - `from`)"""
     )
     taken = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("size") * F.col("passes") + F.when(F.col("extra") > 0, extra).otherwise(F.lit(0)))
-    return joined.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    run, gap = (F.col("extra") * block).alias("run"), ((F.col("blocks") - F.col("extra")) * block).alias("gap")
+    return joined.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), "text_hash", run, gap)
 
 
-def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+def mix(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row for each row of ``docs``: doc_id, source, size, source_size, target, taken.
+
+    Sources in code-point order, null last, have ``weights`` in turn and share
+    ``share`` times all words; a target stops at ``repeats`` times its source's size
+    and the excess is reshared by weight until none is above. taken is the number of
+    words that the mix takes from the document, repeats counted: its parts of the
+    blocks of its shard that were chosen. No document is taken more than ``repeats``
+    times (rounded up). Reruns on the same rows agree.
+
+    Null and empty texts have size 0 and nothing is taken. Null ids are ordered first.
+    Rows that repeat id and source stand next to each other, longer last, then by a hash of the text. Empty tables
+    give no rows. Other columns are not read. Only a shard's document numbers and
+    sizes meet in one task; shards are small whatever a source's share of the rows.
+    """
+    return _taken(docs, weights=weights, share=share, repeats=repeats, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col).drop("text_hash", "run", "gap")
+
+
+def mixed_documents(docs: DataFrame, *, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """``docs`` with each document as often as the mix takes it: taken / size, rounded half up; documents without words go. All columns stay.
 
-    Rows must have distinct ids; a null id is not taken.
+    Most documents are wholly inside or outside their shard's run, and rounding those
+    at its ends evens out. It does not where a document has more than twice the words
+    of the run or of the gap beside it: there the fraction is the chance of a seeded draw.
+
+    Rows must differ in id, source or text; null ids and sources are taken like others.
     """
-    took = mix(docs, id_col=id_col, **options).where("size > 0").groupBy("doc_id").agg(F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("copies")).where("copies > 0")
+    took = _taken(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **options).where("size > 0")
+    share = F.col("taken") / F.col("size")
+    drawn = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed + 2)), F.lit(1 << 32)) / float(1 << 32)
+    up = F.when(F.col("size") > 2 * F.least("run", "gap"), drawn).otherwise(0.5)
+    took = took.groupBy("doc_id", "source", "text_hash").agg(F.max(F.floor(share + up)).cast("int").alias("copies")).where("copies > 0")
     names = docs.columns
     number = max(names, key=len) + "_copy"
-    keyed = docs.alias("d").join(took.alias("t"), F.col(f"d.{id_col}") == F.col("t.doc_id"))
+    same = F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("t.doc_id")) & F.col(f"d.{source_col}").cast("string").eqNullSafe(F.col("t.source")) & (F.xxhash64(f"d.{text_col}") == F.col("t.text_hash"))
+    keyed = docs.alias("d").join(took.alias("t"), same)
     return keyed.select(*[F.col(f"d.`{c}`") for c in names], F.explode(F.sequence(F.lit(1), F.col("t.copies"))).alias(number)).select(*[F.col(f"`{c}`") for c in names])

@@ -61,3 +61,18 @@ def test_clashing_columns_stay(spark):
     got = mixing.mixed_documents(docs)
     assert got.columns == docs.columns
     assert {tuple(r)[3:] for r in got.collect()} == {("c", "k", "n")}
+
+
+def test_whole_documents_meet_targets(spark):
+    r = random.Random(9)
+    rows = [(i, f"t{i} " + "w " * r.randint(20, 200), r.choice(["a", "b", "b", "b", "c", "c", None])) for i in range(6000)]
+    rows += [(None, f"n{i} " + "w " * r.randint(20, 200), "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    target = {x.source: x.target for x in mixing.mix(df).collect()}
+    kept, words, no_id = dict.fromkeys(target, 0), {x[1]: len(x[1].split()) for x in rows}, 0
+    for x in mixing.mixed_documents(df.repartition(5)).collect():
+        kept[x.source] += words[x.text]
+        no_id += x.doc_id is None
+    assert no_id > 0
+    for s, t in target.items():
+        assert abs(kept[s] - t) <= 0.02 * t, (s, kept[s], t)
