@@ -8,8 +8,11 @@ class's training tokens, one share being left for words never seen:
 
     P(word | context) = softmax(q . S + b)[unit] * P(word | unit),  q = sum_i C_i * R[unit_i]
 
-Counts cover all training texts and training passes once over every training token:
-each partition trains a copy of the model, and the copies are averaged by tokens.
+Counts cover all training texts and training passes over every training token. The
+texts are dealt by a hash of id and text to rounds and copies, whose numbers follow
+the training tokens and never the input's partitions. In a round each copy starts
+from the last average and takes its texts in a seeded order; then the copies, and
+their step sizes, are averaged by tokens.
 """
 
 from __future__ import annotations
@@ -31,7 +34,11 @@ UNITS = HEAD_UNITS + CLASSES + 1
 END_UNIT = UNITS - 1
 #: Words whose counts every task holds (16 bytes each); the counts of rarer ones are joined.
 TABLE_WORDS = 400_000
-NOISE, STEP_TOKENS, RATE = 32, 1024, 0.2
+NOISE, STEP_TOKENS, RATE, FIRST_SQUARE = 32, 1024, 0.2, 1e-3
+#: Training tokens for each copy of the model, copies at most, rounds of a pass, and passes over all training tokens.
+COPY_TOKENS, MAX_COPIES, ROUNDS, PASSES = 1_000_000, 16, 4, 1
+#: Tokens whose contexts are held at once in training.
+PIECE_TOKENS = 1 << 18
 END_HASH = np.uint64(1)
 FOLDS, HELD = 7, 2
 
@@ -134,9 +141,10 @@ def _scatter(index: np.ndarray, values: np.ndarray) -> np.ndarray:
 class Trainer:
     """AdaGrad on the noise-contrastive objective, noise shared by a step's tokens."""
 
-    def __init__(self, model: Model, seed: int):
+    def __init__(self, model: Model, seed: int, squares: np.ndarray | None = None):
         self.m, self.rng = model, np.random.default_rng(seed)
-        self.sq = [np.full_like(x, 1e-3) for x in (model.R, model.S, model.C, model.b)]
+        sq = Model(model.share, np.full_like(model.values(), FIRST_SQUARE) if squares is None else squares)
+        self.sq = [sq.R, sq.S, sq.C, sq.b]
         self.log_noise = np.log(NOISE * model.share).astype(np.float32)
         self.edges = np.cumsum(model.share)
 
@@ -161,20 +169,76 @@ class Trainer:
             x -= np.float32(RATE) * g / np.sqrt(sq)
 
 
-def _train(rows: Iterator[pa.RecordBatch], shared, share: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _encode(rows: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Each text's units as 16-bit integers."""
     vocabulary: Vocabulary = shared.value
-    trainer, seen = Trainer(Model(share), 11), 0
     for batch in rows:
-        for _, raw, offsets in batches.slices(batch, "text"):
+        for part, raw, offsets in batches.slices(batch, "text"):
             h, cls, first = tokens(raw, offsets)
-            _, unit = vocabulary.look_up(h, cls)
-            ctx = contexts(unit, first)
-            seen += len(unit)
-            for a in range(0, len(unit), STEP_TOKENS):
-                trainer.step(ctx[a : a + STEP_TOKENS], unit[a : a + STEP_TOKENS])
-    if seen:
-        v = trainer.m.values().astype(np.float64) * seen
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v), dtype=np.int32)), pa.array(v), pa.array(np.full(len(v), seen, np.int64))], ["i", "v", "n"])
+            packed = vocabulary.look_up(h, cls)[1].astype("<i2").tobytes()
+            edges = (first * 2).tolist()
+            yield pa.RecordBatch.from_arrays([part.column("dealt"), pa.array([packed[a:b] for a, b in zip(edges, edges[1:], strict=False)], pa.binary())], ["dealt", "units"])
+
+
+def _pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Units of some texts, and where each text's begin."""
+    part = column.cast(pa.large_binary())
+    offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
+    unit = np.frombuffer(part.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view("<i2")
+    first, at = (offsets - offsets[0]) // 2, 0
+    while at < len(part):
+        to = max(at + 1, int(np.searchsorted(first, first[at] + PIECE_TOKENS, "right")) - 1)
+        yield unit[first[at] : first[to]], first[at : to + 1] - first[at]
+        at = to
+
+
+def _train(rows: Iterator[pa.RecordBatch], share: np.ndarray, values: np.ndarray, squares: np.ndarray, seed: int) -> Iterator[pa.RecordBatch]:
+    """Of each copy whose texts are met, the model and squared gradients after them; rows come copy by copy."""
+    copy, trainer, seen, ctx, unit = -1, None, 0, np.zeros((0, CONTEXT), np.int32), np.zeros(0, np.int16)
+
+    def result():
+        if len(unit):
+            trainer.step(ctx, unit)
+        after = [trainer.m.values(), np.concatenate([x.reshape(-1) for x in trainer.sq])]
+        return pa.RecordBatch.from_arrays([pa.array([copy], pa.int32()), pa.array([seen], pa.int64()), *[pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in after]], ["copy", "n", "v", "q"])
+
+    for batch in rows:
+        copies = batch.column("copy").to_numpy()
+        cuts = [0, *(np.flatnonzero(copies[1:] != copies[:-1]) + 1).tolist(), len(copies)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b and copies[a] != copy:
+                if trainer:
+                    yield result()
+                copy, seen, ctx, unit = int(copies[a]), 0, ctx[:0], unit[:0]
+                trainer = Trainer(Model(share, values), seed + copy, squares)
+            for more, first in _pieces(batch.column("units").slice(a, b - a)) if a < b else ():
+                seen += len(more)
+                ctx, unit = np.concatenate([ctx, contexts(more, first)]), np.concatenate([unit, more])
+                # Steps follow the copy's tokens, not the batches; what is left waits for the next texts.
+                whole = len(unit) // STEP_TOKENS * STEP_TOKENS
+                for i in range(0, whole, STEP_TOKENS):
+                    trainer.step(ctx[i : i + STEP_TOKENS], unit[i : i + STEP_TOKENS])
+                ctx, unit = ctx[whole:], unit[whole:]
+    if trainer:
+        yield result()
+
+
+def _learn(coded: DataFrame, share: np.ndarray, n: int) -> np.ndarray:
+    """The model's values after all rounds over ``coded``: dealt (a hash of the row), units."""
+    values = Model(share).values()
+    squares = np.full_like(values, FIRST_SQUARE)
+    copies = min(MAX_COPIES, max(1, n // COPY_TOKENS))
+    slot = F.pmod("dealt", F.lit(copies * ROUNDS))
+    slots = coded.select((slot / ROUNDS).cast("int").alias("copy"), (slot % ROUNDS).alias("round"), "dealt", "units")
+    for k in range(PASSES * ROUNDS if n else 0):
+        # More partitions than copies, so that few share a task; a copy's texts are in one.
+        texts = slots.where(F.col("round") == k % ROUNDS).drop("round").repartition(4 * copies, "copy").sortWithinPartitions("copy", "dealt", "units")
+        train = functools.partial(_train, share=share, values=values, squares=squares, seed=11 + k * copies)
+        made = sorted(texts.mapInArrow(train, "copy int, n long, v binary, q binary").collect(), key=lambda r: r.copy)
+        if made:
+            weights = [r.n for r in made]
+            values, squares = (np.average([np.frombuffer(r[c], "<f4") for r in made], axis=0, weights=weights).astype(np.float32) for c in ("v", "q"))
+    return values
 
 
 def _score(rows: Iterator[pa.RecordBatch], shared, values: np.ndarray, share: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -259,10 +323,9 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         h, c, unit, order = np.zeros(1, np.uint64), np.full(1, -1), np.full(1, -1), np.zeros(1, np.int64)
     shared = spark.sparkContext.broadcast(Vocabulary(h[order], c[order], unit[order], mass))
 
-    learned = train.mapInArrow(functools.partial(_train, shared=shared, share=share), "i int, v double, n long").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect()
-    values = np.zeros(len(Model(share).values()))
-    for r in learned:
-        values[r.i] = r.v
+    dealt = texts.where("not held_out").select(F.xxhash64("doc_id", "text", F.lit(11)).alias("dealt"), "text")
+    values = _learn(area.save(dealt.mapInArrow(functools.partial(_encode, shared=shared), "dealt long, units binary"), "coded"), share, n)
+    area.drop("coded")
     scored = area.save(texts.mapInArrow(functools.partial(_score, shared=shared, values=values, share=share), SCORED).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
     counted = rare.join(words.where(F.col("c") < least).select("h", "c"), "h").groupBy("row").agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("logs"))

@@ -69,3 +69,12 @@ def test_empty(spark):
     alone = [i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2][0]
     r = lm.lm_scores(spark.createDataFrame([(alone, "a b")], "doc_id long, text string")).first()
     assert (r.train_tokens, r.n_known, r.score) == (0, 0, r.base_score)
+
+
+def test_scores_do_not_follow_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "COPY_TOKENS", 60_000)  # so that a small corpus has several copies
+    df = spark.createDataFrame(corpus(6000), "doc_id long, text string")
+    one, many = ({r.doc_id: r for r in lm.lm_scores(df.repartition(n)).collect()} for n in (1, 200))
+    assert all(math.isclose(r.score, many[i].score, rel_tol=1e-4) for i, r in one.items())
+    out = [r for r in many.values() if r.held_out]
+    assert sum(r.score for r in out) > 0.95 * sum(r.base_score for r in out)
