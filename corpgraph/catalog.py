@@ -450,7 +450,8 @@ _FILING = "By: /s/ Jane Q. Roe\nName: Jane Roe\nTitle: Chief Financial Officer\n
 @query()
 def exec_mentions(spark, d):
     f = values(spark, "company_name sec_filing_type raw_text ord", [("Acme Inc", "8-K", _FILING, 1), ("Acme Inc", "8-K", "later", 2), ("Globex", "8-K", "Mary Major, Director. Bob Bank, President.", 3)])
-    docs = t(spark, d, "documents").select(F.col("source").alias("company_name"), F.lit("doc").alias("sec_filing_type"), F.col("text").alias("raw_text"), F.format_string("%012d", "doc_id").alias("ord"))
+    # Each document is the one filing of a company of its own, so that every text is read.
+    docs = t(spark, d, "documents").select(F.concat(F.lit("doc "), "doc_id").alias("company_name"), F.lit("doc").alias("sec_filing_type"), F.col("text").alias("raw_text"), F.format_string("%012d", "doc_id").alias("ord"))
     return execs.final_executives(execs.raw_executives(f.unionByName(docs), "ord"))
 
 
