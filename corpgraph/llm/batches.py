@@ -38,12 +38,18 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        size = max(n, SLICE_BYTES + 4096)
-        for name, base in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+    """Powers of the hash's base and of its inverse. Those of a slice are kept; longer ones, for one long text, are not."""
+
+    def table(base: int, size: int) -> np.ndarray:
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        return np.multiply.accumulate(steps)
+
+    bases = {"up": _STEP, "down": pow(_STEP, -1, 1 << 64)}
+    if n > SLICE_BYTES + 4096:
+        return table(bases["up"], n), table(bases["down"], n)
+    if not _powers:
+        _powers.update({name: table(base, SLICE_BYTES + 4096) for name, base in bases.items()})
     return _powers["up"], _powers["down"]
 
 

@@ -10,7 +10,8 @@ WORDS = ("w0", "w1", "w2", "w3")
 
 
 def block_count(keys: int) -> int:
-    return max(1, -(-keys * BITS_PER_KEY // BLOCK_BITS))
+    """A power of two: a key's block in a smaller filter is its block in a larger one, modulo the smaller's size."""
+    return 1 << max(0, -(-keys * BITS_PER_KEY // BLOCK_BITS) - 1).bit_length()
 
 
 def block_of(key: Column, blocks: int) -> Column:

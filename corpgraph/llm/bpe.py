@@ -15,7 +15,6 @@ generation, which hits are copied from, and a new one starts.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import os
 import re
@@ -27,8 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of the piece and chunk tables of a Python worker, each generation.
-PIECES, CHUNKS = 250_000, 4_000
+from corpgraph.llm.work import releasing
+
+#: Entries of the piece and chunk tables of a task, each generation: some 25 MB and 4 MB.
+PIECES, CHUNKS = 120_000, 4_000
 #: Words in a chunk, on average: a candidate cut counts for chunks when these bits of the rolling hash are 0.
 CHUNK_MASK = 0x3F
 WINDOW = 16
@@ -39,7 +40,6 @@ _LEANING = re.compile(r"\s |\s$| \s|^\s").search
 #: One pre-token of Latin letters, and punctuation that is a pre-token of its own.
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-įıĲ-ɏ]+)([.,;:!?]*)").fullmatch
 _LINES = re.compile(r"[^\s\0]+\n\S+").fullmatch
-_loaded: dict[tuple, ChunkEncoder] = {}
 
 
 class Generations(dict):
@@ -219,14 +219,6 @@ class ChunkEncoder:
         return " ".join(map(self.names.__getitem__, ids.tolist()))
 
 
-def encoder(path: str, spaces_stay: bool) -> ChunkEncoder:
-    """The encoder of this Python worker; its tables live as long as the worker."""
-    key = (path, spaces_stay)
-    if key not in _loaded:
-        _loaded[key] = ChunkEncoder(path, spaces_stay)
-    return _loaded[key]
-
-
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Rows and texts of a batch in slices of about ``limit`` bytes, one row at least; null texts are empty."""
     texts = pc.fill_null(batch.column(column), "")
@@ -239,7 +231,8 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 2
 
 
 def _round_trip(rows: Iterator[pa.RecordBatch], path: str, spaces_stay: bool, full: bool) -> Iterator[pa.RecordBatch]:
-    enc = encoder(path, spaces_stay)
+    # Tables live as long as the task: workers that wait for their next task hold none.
+    enc = ChunkEncoder(path, spaces_stay)
     for batch in rows:
         for part, texts in text_slices(batch):
             n, digest, decoded, ids, back = [], [], [], [], []
@@ -270,4 +263,4 @@ def encode_decode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_co
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * full
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(functools.partial(_round_trip, path=path, spaces_stay=spaces_stay, full=full), schema)
+    return texts.mapInArrow(releasing(_round_trip, path=path, spaces_stay=spaces_stay, full=full), schema)

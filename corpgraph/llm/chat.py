@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpgraph.llm.work import WorkArea
+from corpgraph.llm.work import WorkArea, releasing
 
 ROLES = ("system", "user", "assistant")
 START, STATES = 0, 4  # state r + 1: after a turn of role r
@@ -183,7 +183,8 @@ def _edge(rows: pd.DataFrame, plan: dict) -> pd.DataFrame:
 def repair_roles(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row for each turn: conv_id, turn, role, new_role, action, inserted, cost, rendered, position.
 
-    Turns are ordered by number (nulls first), then role and text. A turn is kept,
+    Turns are ordered by number (nulls first), then role and a hash of the text, whatever
+    the partitions. A turn is kept,
     relabelled (cost 2), merged into the turn before (1), or both; an empty turn costs
     3. ``inserted`` names the roles of empty turns before it, and with a plus sign
     those after the last turn. ``rendered`` is the turn's part of the conversation's
@@ -199,8 +200,8 @@ def repair_roles(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     rows = turns.select(F.coalesce(F.col(conv_col).cast("string"), F.lit("")).alias("conv_key"), F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     order = ["conv_key", "turn", "role", F.xxhash64("text")]
     # The identifier of a row in its file only parts equal rows, whose order is of no account.
-    laid = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order, "row").sortWithinPartitions("conv_key", "turn", "role", "text", "row").drop("row")
-    laid = area.save(laid.mapInArrow(_first_pass, LAID), "laid")
+    laid = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order, "row").sortWithinPartitions(*order, "text", "row").drop("row")
+    laid = area.save(laid.mapInArrow(releasing(_first_pass), LAID), "laid")
     # At most two edge pieces a partition.
     edges = laid.where("costs is not null").select("conv_key", "part", "piece", "costs", "length").collect()
     chains: dict[str, list] = {}

@@ -17,7 +17,6 @@ their step sizes, are averaged by tokens.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.llm import batches
-from corpgraph.llm.work import WorkArea
+from corpgraph.llm.work import WorkArea, releasing
 
 HEAD_UNITS, CLASSES, CONTEXT, WIDTH = 191, 64, 4, 16
 UNITS = HEAD_UNITS + CLASSES + 1
@@ -233,7 +232,7 @@ def _learn(coded: DataFrame, share: np.ndarray, n: int) -> np.ndarray:
     for k in range(PASSES * ROUNDS if n else 0):
         # More partitions than copies, so that few share a task; a copy's texts are in one.
         texts = slots.where(F.col("round") == k % ROUNDS).drop("round").repartition(4 * copies, "copy").sortWithinPartitions("copy", "dealt", "units")
-        train = functools.partial(_train, share=share, values=values, squares=squares, seed=11 + k * copies)
+        train = releasing(_train, share=share, values=values, squares=squares, seed=11 + k * copies)
         made = sorted(texts.mapInArrow(train, "copy int, n long, v binary, q binary").collect(), key=lambda r: r.copy)
         if made:
             weights = [r.n for r in made]
@@ -290,7 +289,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     held = F.pmod(F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == HELD
     texts = docs.select(ids.alias("doc_id"), F.col(text_col).cast("string").alias("text"), held.alias("held_out"))
     train = texts.where("not held_out").select("text")
-    words = area.save(train.mapInArrow(_counts, "h long, cls int, c long").groupBy("h").agg(F.first("cls").alias("cls"), F.sum("c").alias("c")), "words")
+    words = area.save(train.mapInArrow(releasing(_counts), "h long, cls int, c long").groupBy("h").agg(F.first("cls").alias("cls"), F.sum("c").alias("c")), "words")
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = total.n, total.v
 
@@ -324,9 +323,9 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     shared = spark.sparkContext.broadcast(Vocabulary(h[order], c[order], unit[order], mass))
 
     dealt = texts.where("not held_out").select(F.xxhash64("doc_id", "text", F.lit(11)).alias("dealt"), "text")
-    values = _learn(area.save(dealt.mapInArrow(functools.partial(_encode, shared=shared), "dealt long, units binary"), "coded"), share, n)
+    values = _learn(area.save(dealt.mapInArrow(releasing(_encode, shared=shared), "dealt long, units binary"), "coded"), share, n)
     area.drop("coded")
-    scored = area.save(texts.mapInArrow(functools.partial(_score, shared=shared, values=values, share=share), SCORED).withColumn("row", F.monotonically_increasing_id()), "scored")
+    scored = area.save(texts.mapInArrow(releasing(_score, shared=shared, values=values, share=share), SCORED).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
     counted = rare.join(words.where(F.col("c") < least).select("h", "c"), "h").groupBy("row").agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("logs"))
     out = scored.drop("rare", "times").join(counted, "row", "left")

@@ -19,7 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Tokens of a block at most; small corpora have smaller blocks, so that there are some thousands of them.
+from corpgraph.llm.work import WorkArea
+
+#: Tokens of a block.
 BLOCK_TOKENS = 64
 #: Tokens of a shard; a source has at most ``MAX_SHARDS``.
 SHARD_TOKENS, MAX_SHARDS = 50_000, 65_536
@@ -34,26 +36,30 @@ def words_in(text):
 def sainte_lague(votes: Sequence[float], seats: int, most: Sequence[int] | None = None) -> list[int]:
     """``seats`` seats by highest quotients votes / (2s + 1), none above ``most``; ties go to the earlier party.
 
-    Seats that the quotients surely give are given at once; only the last few are
-    handed out one by one.
+    A common divisor d that hands out no more than ``seats``, when each party gets
+    round(votes / d), is found by bisection; what is left is handed out one by one.
     """
     most = [seats] * len(votes) if most is None else list(most)
     open_ = [i for i, v in enumerate(votes) if v > 0 and most[i] > 0]
-    got = [0] * len(votes)
     left = min(seats, sum(most[i] for i in open_))
-    while left > 2 * len(open_) and open_:
-        total = sum(votes[i] for i in open_)
-        base = sum(got[i] for i in open_) + left
-        moved = 0
-        for i in open_:
-            sure = min(most[i], max(got[i], math.floor(votes[i] * base / total) - 1))
-            moved += sure - got[i]
-            got[i] = sure
-        left -= moved
-        full = [i for i in open_ if got[i] == most[i]]
+    got = [0] * len(votes)
+    if open_ and left > len(open_):
+        # Quotients votes / (2s + 1) above 1 / (2d) are those of a party's first round(votes * d) seats.
+        seats_at = lambda d: [min(most[i], math.ceil(votes[i] * d - 0.5)) for i in open_]
+        low, high = 0.0, (left + len(open_)) / sum(votes[i] for i in open_)
+        while sum(seats_at(high)) < left:
+            low, high = high, 2 * high
+        for _ in range(100):
+            middle = (low + high) / 2
+            if sum(seats_at(middle)) <= left:
+                low = middle
+            else:
+                high = middle
+        # A little below the divisor found, so that rounding of floats gives no seat too many.
+        for i, n in zip(open_, seats_at(low * (1 - 1e-12)), strict=True):
+            got[i] = max(0, n)
+        left -= sum(got)
         open_ = [i for i in open_ if got[i] < most[i]]
-        if not moved and not full:
-            break
     heap = [(-votes[i] / (2 * got[i] + 1), i) for i in open_]
     heapq.heapify(heap)
     while left > 0 and heap:
@@ -99,23 +105,24 @@ def _quotas(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
 
 def _taken(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, repeats: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``mix``, with text_hash and the words of the shard's run and of the gap beside it."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words_in(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     spark = docs.sparkSession
+    # One pass over the texts; everything else reads these few bytes a row.
+    rows = WorkArea(spark, "mixing").save(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words_in(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("text_hash")), "sizes")
     sums = rows.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
     if len(sums) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     sums = sorted(sums, key=lambda r: (r.source is None, (r.source or "").encode("utf-8", "surrogatepass")))
     sizes, weight = [r["size"] for r in sums], [float(weights[i % len(weights)]) for i in range(len(sums))]
     aims = targets(sizes, weight, share, repeats)
-    block = max(1, min(BLOCK_TOKENS, sum(sizes) // 20_000))
+    block = BLOCK_TOKENS
     seats = sainte_lague(aims, round(sum(aims) / block), [math.ceil(repeats * s / block) for s in sizes])
     plan = [(r.source, i, s, a, n, min(MAX_SHARDS, max(1, -(-s // SHARD_TOKENS)))) for i, (r, s, a, n) in enumerate(zip(sums, sizes, aims, seats, strict=True))]
     plan = spark.createDataFrame(plan, "source string, source_no int, source_size long, target double, seats long, shards int")
     # At most MAX_SOURCES rows of about 60 bytes.
-    placed = rows.join(F.broadcast(plan), rows.source.eqNullSafe(plan.source)).drop(plan.source).withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("shards")).cast("int"))
+    placed = rows.join(F.broadcast(plan), rows.source.eqNullSafe(plan.source)).drop(plan.source).withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.col("shards")).cast("int"))
     shards = placed.groupBy("source_no", "shard").agg(F.sum("size").alias("tokens"), F.first("seats").alias("seats")).withColumn("block", F.lit(block)).withColumn("repeats", F.lit(float(repeats)))
     quotas = shards.groupBy("source_no").applyInPandas(lambda pdf: _quotas(pdf, seed), "source_no int, shard int, blocks long, passes long, extra long, shift long")
-    order = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64("doc_id", "text_hash", F.lit(seed + 1)), "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spread = placed.withColumn("to", F.sum("size").over(order)).withColumn("from", F.col("to") - F.col("size"))
     joined = spread.join(quotas, ["source_no", "shard"])
     extra = F.expr(
@@ -137,9 +144,10 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float =
     blocks of its shard that were chosen. No document is taken more than ``repeats``
     times (rounded up). Reruns on the same rows agree.
 
-    Null and empty texts have size 0 and nothing is taken. Null ids are ordered first.
-    Rows that repeat id and source stand next to each other, longer last, then by a hash of the text. Empty tables
-    give no rows. Other columns are not read. Only a shard's document numbers and
+    Null and empty texts have size 0 and nothing is taken. Rows
+    are dealt and ordered by hashes of id and text, so null or repeated ids are rows like
+    others; rows that repeat id and text stand next to each other. Empty tables give no
+    rows. Other columns are not read. Only a shard's document numbers and
     sizes meet in one task; shards are small whatever a source's share of the rows.
     """
     return _taken(docs, weights=weights, share=share, repeats=repeats, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col).drop("text_hash", "run", "gap")

@@ -16,7 +16,11 @@
   buckets, as the original of many copies does. Whoever is still in another
   component than some member of its bucket is then held against all those members,
   behind the bitmaps and once for each pair (in the first bucket that it shares), so
-  that no link that joins two components is missed.
+  that no link that joins two components is missed. A bucket's members are cut into
+  slices for that, so that no task holds more than a slice against the bucket.
+
+Everything up to the last step goes by classes of equal sets, numbered when their
+table is written; documents come in again with the components' smallest doc_id.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.llm import batches
-from corpgraph.llm.work import WorkArea
+from corpgraph.llm.work import WorkArea, left_join, releasing
 
 BANDS, DEPTH, SKETCH_WORDS = 32, 4, 8
 SAMPLES, SKETCH_BITS = BANDS * DEPTH, 64 * SKETCH_WORDS
@@ -38,6 +42,8 @@ FULL_WORDS = 16
 #: XOR population count up to which a pair is confirmed on full sets: similarity 0.5 as the sketch estimates it.
 MOST_ODD = int(SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** SAMPLES) / 2)
 STARS = 2
+#: Members of a bucket's slice in the last turn.
+SLICE_MEMBERS = 64
 _rng = np.random.default_rng(7_2024)
 _XOR = _rng.integers(0, 2**32, SAMPLES, dtype=np.uint32)[:, None]
 _MUL = (_rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -85,24 +91,29 @@ def _lists(rows: list[np.ndarray | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values))
 
 
+def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Two 64-bit digests of each set, of which the first is 0 for the empty set."""
+    d1 = np.array([int(s.sum(dtype=np.uint64)) if len(s) else 0 for s in sets], np.uint64)
+    d2 = np.array([int(np.bitwise_xor.reduce(batches.mix(s))) if len(s) else 0 for s in sets], np.uint64)
+    return [pa.array(batches.mix(d1).view(np.int64)), pa.array(d2.view(np.int64))]
+
+
 def _features(rows: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         for part, raw, offsets in batches.slices(batch, "text"):
             sets = shingle_sets(raw, offsets, width)
-            d1 = np.array([int(s.sum(dtype=np.uint64)) if len(s) else 0 for s in sets], np.uint64)
-            d2 = np.array([int(np.bitwise_xor.reduce(batches.mix(s))) if len(s) else 0 for s in sets], np.uint64)
             made = [signature(s) if len(s) else (None, None) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(batches.mix(d1).view(np.int64)), pa.array(d2.view(np.int64)), _lists([m[0] for m in made]), _lists([m[1] for m in made])],
+                [part.column("doc_id"), pa.array(np.array([len(s) for s in sets], np.int64)), *_digests(sets), _lists([m[0] for m in made]), _lists([m[1] for m in made])],
                 ["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"],
             )
 
 
 def _sets(rows: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        for part, raw, offsets in batches.slices(batch, "text"):
+        for _, raw, offsets in batches.slices(batch, "text"):
             sets = shingle_sets(raw, offsets, width)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "members"])
+            yield pa.RecordBatch.from_arrays([*_digests(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["d1", "d2", "members"])
 
 
 def _confirm(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -117,14 +128,21 @@ def _confirm(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, area: WorkArea, name: str, width: int, percent: int) -> DataFrame:
-    """Those (a, b) of ``pairs`` whose full sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    members = area.save(docs.join(ids, "doc_id", "left_semi").mapInArrow(functools.partial(_sets, width=width), "doc_id long, members binary").dropDuplicates(["doc_id"]), f"{name}-sets")
-    left = members.select(F.col("doc_id").alias("a"), F.col("members").alias("left_members"))
-    right = members.select(F.col("doc_id").alias("b"), F.col("members").alias("right_members"))
-    links = area.save(pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(functools.partial(_confirm, percent=percent), "a long, b long"), f"{name}-links")
-    area.drop(f"{name}-sets")
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, area: WorkArea, name: str, width: int, percent: int) -> DataFrame:
+    """Those (a, b) of ``pairs`` of classes whose full sets are similar enough; b is the centre in a star.
+
+    The members of a are fetched first, one row a pair; a centre's set then comes to
+    them, so that only its own row is shuffled, whatever the number of its pairs.
+    """
+    needed = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+    of = area.save(classes.join(needed, "class", "left_semi").select("class", "d1", "d2", "rep"), f"{name}-of")
+    texts = docs.join(of.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    sets = texts.mapInArrow(releasing(_sets, width=width), "d1 long, d2 long, members binary").dropDuplicates(["d1", "d2"])
+    members = area.save(sets.join(of.select("d1", "d2", "class"), ["d1", "d2"]).select("class", "members"), f"{name}-sets")
+    left = members.select(F.col("class").alias("a"), F.col("members").alias("left_members"))
+    right = members.select(F.col("class").alias("b"), F.col("members").alias("right_members"))
+    links = area.save(pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(releasing(_confirm, percent=percent), "a long, b long"), f"{name}-links")
+    area.drop(f"{name}-sets", f"{name}-of")
     return links
 
 
@@ -180,64 +198,68 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         raise ValueError("percent must be 80 or more: the bands are laid out for that")
     area = WorkArea(docs.sparkSession, "near-dedup")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    feats = area.save(texts.mapInArrow(functools.partial(_features, width=width), FEATURES), "features")
+    feats = area.save(texts.mapInArrow(releasing(_features, width=width), FEATURES), "features")
 
     known = feats.where("n_shingles > 0 and doc_id is not null")
-    classes = area.save(known.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
-    rows = classes.select("rep", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least <> most").select("bucket")
+    classes = known.groupBy("d1", "d2").agg(F.count("*").alias("rows"), F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = area.save(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    rows = classes.select("class", F.explode("bands").alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most").select("bucket")
     crowded = area.save(rows.join(shared, "bucket", "left_semi").distinct(), "crowded")
-    known_ids = known.select("doc_id", "d1", "d2").groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("lo"), F.max(F.struct("d1", "d2")).alias("hi")).where("lo <> hi")
-    same_id = known.select("doc_id", "d1", "d2").join(known_ids.select("doc_id"), "doc_id", "left_semi").join(classes.select("d1", "d2", "rep"), ["d1", "d2"])
-    least = same_id.groupBy("doc_id").agg(F.min("rep").alias("a"))
-    links = same_id.join(least, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
-
-    busy = crowded.groupBy("bucket").count().join(crowded, "bucket").groupBy("rep").agg(F.sum("count").alias("shares"))
-    crowded = area.save(crowded.join(busy, "rep"), "members")
-    info = area.save(classes.join(busy, "rep", "left_semi").groupBy("rep").agg(F.min("n").alias("n"), F.min_by("sketch", "n").alias("sketch"), F.min_by("bands", "n").alias("bands")), "info")
+    # Texts of one id are one document: its classes are linked to the least of them.
+    known_ids = known.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("lo"), F.max(F.struct("d1", "d2")).alias("hi")).where("lo <> hi")
+    same_id = known.select("doc_id", "d1", "d2").join(known_ids.select("doc_id"), "doc_id", "left_semi").distinct().join(classes.select("d1", "d2", "class"), ["d1", "d2"])
+    least = same_id.groupBy("doc_id").agg(F.min("class").alias("a"))
+    links = area.save(same_id.join(least, "doc_id").select("a", F.col("class").alias("b")).where("a <> b").distinct(), "links-id")
+
+    sizes = crowded.groupBy("bucket").count()
+    busy = sizes.join(crowded, "bucket").groupBy("class").agg(F.sum("count").alias("shares"))
+    crowded = area.save(crowded.join(busy, "class"), "members")
+    info = area.save(classes.join(busy, "class", "left_semi").select("class", "n", "sketch", "bands"), "info")
     area.drop("crowded")
 
     def described(pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and bitmaps allow the similarity."""
-        left, right = (info.select(F.col("rep").alias(k), F.col("n").alias(f"{k}_n"), F.col("sketch").alias(f"{k}_sketch")) for k in "ab")
+        left, right = (info.select(F.col("class").alias(k), F.col("n").alias(f"{k}_n"), F.col("sketch").alias(f"{k}_sketch")) for k in "ab")
         return pairs.join(left, "a").join(right, "b").where(_possible("a_", "b_", percent)).select("a", "b")
 
-    links = area.save(links, "links-id")
     labels, tried = None, None
     for turn in range(STARS + 1):
-        placed = crowded if labels is None else crowded.join(labels, crowded.rep == labels.node, "left").select("bucket", "rep", "shares", F.coalesce("label", "rep").alias("label"))
-        if labels is None:
-            placed = placed.withColumn("label", F.col("rep"))
-        mixed = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max_by("rep", F.struct(F.xxhash64("rep") if turn else F.col("shares"), "rep")).alias("centre")).where("least <> most")
+        placed = crowded.withColumn("label", F.col("class")) if labels is None else crowded.join(labels, F.col("class") == F.col("node"), "left").select("bucket", "class", "shares", F.coalesce("label", "class").alias("label"))
+        mixed = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most"), F.max_by("class", F.struct(F.xxhash64("class") if turn else F.col("shares"), "class")).alias("centre")).where("least <> most")
         if turn < STARS:
             held = placed.join(mixed.select("bucket", "centre"), "bucket")
-            centre = held.where("rep = centre").select("bucket", F.col("label").alias("centre_label"))
-            pairs = held.join(centre, "bucket").where("label <> centre_label").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+            centre = held.where(F.col("class") == F.col("centre")).select("bucket", F.col("label").alias("centre_label"))
+            pairs = held.join(centre, "bucket").where("label <> centre_label").select(F.col("class").alias("a"), F.col("centre").alias("b")).distinct()
             pairs = described(pairs)
         else:
-            full = placed.join(mixed.select("bucket"), "bucket", "left_semi").join(info, "rep").select("bucket", "rep", "label", "n", "sketch", "bands")
-            x, y = full.alias("x"), full.alias("y")
+            full = placed.join(mixed.select("bucket", F.ceil(F.col("size") / SLICE_MEMBERS).alias("slices")), "bucket").join(info, "class").select("bucket", "class", "label", "n", "sketch", "bands", "slices")
+            # Each member is in one slice of its bucket, and meets those of every slice.
+            x = full.withColumn("slice", F.pmod(F.xxhash64("class"), F.col("slices"))).alias("x")
+            y = full.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))).alias("y")
             shared = F.filter(F.zip_with("x.bands", "y.bands", lambda p, q: F.when(p == q, p)), lambda p: p.isNotNull())
-            cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label")) & _possible("x.", "y.", percent) & (F.element_at(shared, 1) == F.col("x.bucket"))
-            pairs = x.join(y, cond).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+            cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.slice") == F.col("y.slice")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.label") != F.col("y.label")) & _possible("x.", "y.", percent) & (F.element_at(shared, 1) == F.col("x.bucket"))
+            pairs = x.join(y, cond).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         pairs = area.save(pairs, f"pairs-{turn}")
         if pairs.isEmpty() and turn:
             if turn < STARS:
                 continue
             break
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = links.unionByName(_confirmed(texts, pairs, area, f"turn-{turn}", width, percent))
+        links = links.unionByName(_confirmed(texts, classes, pairs, area, f"turn-{turn}", width, percent))
         labels = components(links, area, f"components-{turn}")
     if labels is None:
         labels = components(links, area, "components")
 
-    lead = classes.select("d1", "d2", "rep").join(labels, classes.rep == labels.node, "left").select("d1", "d2", F.coalesce("label", "rep").alias("component"))
-    out = feats.select("doc_id", "n_shingles", "d1", "d2").join(lead, ["d1", "d2"], "left")
-    own = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    component = F.when(own, F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    led = classes.select("d1", "d2", "class", "rep", "rows").join(labels, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class"))
+    joined = led.where("node is not null")
+    first = joined.groupBy("label").agg(F.min("rep").alias("first"))
+    lead = joined.join(first, "label").select("d1", "d2", F.col("first").alias("component"), "rows").unionByName(led.where("node is null").select("d1", "d2", F.col("rep").alias("component"), "rows"))
+    out = left_join(known.select("doc_id", "n_shingles", "d1", "d2"), lead, ["d1", "d2"], "rows", feats.count()).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    own = feats.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.unionByName(own).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:

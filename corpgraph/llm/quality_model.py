@@ -8,7 +8,6 @@ and of its share of distinct words.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.llm import batches
+from corpgraph.llm.work import releasing
 
 BUCKETS = 1 << 18
-#: Labelled rows that the model is fitted on: at most so many, the least hashes of their ids.
-FIT_ROWS = 20_000
+#: The sample that the model is fitted on: labelled rows by the least hashes of their ids, so many and so many bytes of text at most.
+FIT_ROWS, FIT_BYTES = 20_000, 256 << 20
 #: A feature counts if so many rows of the sample have it, and if its presence goes with the highest grade or its absence: chi-squared of 10, about 1 in 600 by chance.
 LEAST_ROWS, LEAST_CHI2 = 4, 10.0
 EPOCHS, RATE, DECAY, STEP_ROWS = 20, 0.3, 1e-4, 128
@@ -113,15 +113,26 @@ def graded(labels: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     return labels.select(F.col(id_col).cast("long").alias("doc_id"), grade.alias("grade")).where("doc_id is not null and grade between 0 and 2").groupBy("doc_id").agg(F.min("grade").alias("grade"))
 
 
-def fit(docs: DataFrame, grades: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", levels: int = 3, most_rows: int = FIT_ROWS) -> OrdinalModel | None:
-    """Fits on at most ``most_rows`` rows of ``grades`` (doc_id, grade from 0 to levels - 1). None where no two grades occur."""
+def fit(docs: DataFrame, grades: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", levels: int = 3, most_rows: int = FIT_ROWS, most_bytes: int = FIT_BYTES) -> OrdinalModel | None:
+    """Fits on a sample of ``grades`` (doc_id, grade from 0 to levels - 1). None where no two grades occur.
+
+    The sample holds at most ``most_rows`` rows, and no more than ``most_bytes`` of
+    their texts: the first rows, in order of a hash of the id, that stay within both.
+    """
     picked = grades.where(F.col("grade").between(0, levels - 1)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(picked), "doc_id").select("grade", "text").mapInArrow(_featured, "grade int, features binary").collect()
-    found = sorted((r.grade, bytes(r.features)) for r in rows)
-    if len({g for g, _ in found}) < 2:
+    found = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "grade", "text")
+    # At most most_rows rows of three numbers; their order is that of the ids' hashes.
+    sizes = found.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).orderBy("h", "doc_id", "n").limit(most_rows).collect()
+    ends = np.cumsum([r.n for r in sizes])
+    if len(ends) and ends[-1] > most_bytes:
+        last = sizes[int(np.searchsorted(ends, most_bytes, "right"))]
+        found = found.where((F.xxhash64("doc_id") < last.h) | ((F.xxhash64("doc_id") == last.h) & (F.col("doc_id") < last.doc_id)))
+    rows = found.select("grade", "text").mapInArrow(releasing(_featured), "grade int, features binary").collect()
+    sample = sorted((r.grade, bytes(r.features)) for r in rows)
+    if len({g for g, _ in sample}) < 2:
         return None
-    return fit_rows([(g, np.frombuffer(x, np.int32)) for g, x in found], levels)
+    return fit_rows([(g, np.frombuffer(x, np.int32)) for g, x in sample], levels)
 
 
 SCORES = [("expected_grade", "double"), ("tail_probability", "double"), ("kept", "boolean")]
@@ -155,9 +166,10 @@ def score(docs: DataFrame, model: OrdinalModel | None, *, least: float = 0.5, id
     count, of any length; nothing is shuffled.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(functools.partial(_scored, model=model, least=least, text="text", filtering=False), "doc_id long, " + ", ".join(f"{k} {t}" for k, t in SCORES))
+    return texts.mapInArrow(releasing(_scored, model=model, least=least, text="text", filtering=False), "doc_id long, " + ", ".join(f"{k} {t}" for k, t in SCORES))
 
 
 def keep_good(docs: DataFrame, model: OrdinalModel | None, *, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``score`` keeps, with all their columns."""
-    return docs.mapInArrow(functools.partial(_scored, model=model, least=least, text=text_col, filtering=True), docs.schema)
+    """The rows of ``docs`` that ``score`` keeps, with all their columns; the text column becomes a string if it isn't one."""
+    docs = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    return docs.mapInArrow(releasing(_scored, model=model, least=least, text=text_col, filtering=True), docs.schema)

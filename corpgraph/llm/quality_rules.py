@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.llm import batches
+from corpgraph.llm.work import releasing
 
 #: Largest share of word characters inside repeated n-grams, by n, and inside repeated lines.
 MOST_COVERED = {4: 0.30, 6: 0.25, 8: 0.20, 10: 0.15}
@@ -97,7 +98,7 @@ def apply_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     measured, of any length; nothing is shuffled. N-grams are compared by 64-bit hashes.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    got = texts.mapInArrow(_measured, "doc_id long, " + ", ".join(f"{c} long" for c in COLUMNS))
+    got = texts.mapInArrow(releasing(_measured), "doc_id long, " + ", ".join(f"{c} long" for c in COLUMNS))
     base = (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > BASE_PERCENT * F.col("n_words"))
     over = [F.col(f"chars_{n}") > most * F.col("word_chars") for n, most in MOST_COVERED.items()]
     over.append(F.col("line_chars") > MOST_LINES * F.col("word_chars"))

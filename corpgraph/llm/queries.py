@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from corpgraph.llm import bpe, chat, exact_dedup, lm, mixing, near_dedup, quality_model, quality_rules, token_store, url_filter
 from corpgraph.llm.work import WorkArea
 
-#: Host and path rules of op1, and pages listed one by one.
+#: Host and path rules of op1, and the hosts whose pages are listed one by one.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
-LISTED_URLS = ["https://listed.example.net/en/spam", "http://www.listed.example.net/de/spam/"]
+LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills|adult-x|ads-track)\."
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = url_filter.rule_rows(spark, URL_RULES)
-    listed = url_filter.url_rows(spark, LISTED_URLS)
-    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), rules, listed).drop("listed")
+    """The list holds the URL of every page on a listed host, so it grows with the table."""
+    pages = _table(spark, sf_dir, "pages")
+    listed = pages.where(url_filter.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
+    return url_filter.filter_urls(pages, url_filter.rule_rows(spark, URL_RULES), listed)
 
 
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,19 +67,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_output, op3_exact_dedup, op4_near_dedup, op5_quality_model, op6_quality_rules, op7_lm_scores, op8_chat_repair, op9_mixing, op10_bpe)}
 
 _RULES = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in URL_RULES)
-_LISTED = ", ".join(f"('{x}')" for x in ("listed.example.net/en/spam", "listed.example.net/de/spam"))
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
     "op1_url_filter": f"""
-WITH rules(verdict, rule, rhost, rpath) AS (VALUES {_RULES}), listed(u) AS (VALUES {_LISTED}),
+WITH rules(verdict, rule, rhost, rpath) AS (VALUES {_RULES}),
 p AS (SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
-q AS (SELECT page_id, {_ASCII_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
-fit AS (SELECT q.page_id, q.host, q.path, max(struct_pack(n := length(rule), rule := rule, verdict := verdict)) AS best
-  FROM q JOIN rules ON (q.host = rhost OR ends_with(q.host, '.' || rhost)) AND starts_with(q.path, rpath) GROUP BY ALL)
-SELECT q.page_id, q.host, q.path, fit.best.rule AS rule,
-  coalesce(fit.best.verdict, CASE WHEN EXISTS (SELECT 1 FROM listed WHERE u = regexp_replace(regexp_replace(q.host, '^www\\.|:\\d*$', ''), '$', '') || regexp_replace(q.path, '/+$', '')) THEN 'block' ELSE 'allow' END) AS verdict
-FROM q LEFT JOIN fit USING (page_id, host, path)""",
+q AS (SELECT page_id, {_ASCII_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_replace(regexp_extract(rest, '^[^?#]*(\\?[^#]*)', 1), '^\\?$', '') AS query FROM p),
+c AS (SELECT *, regexp_replace(host, '^www\\.|:\\d*$', '', 'g') || regexp_replace(path, '/+$', '') || query AS canonical FROM q),
+listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '{LISTED_HOSTS}')),
+fit AS (SELECT c.page_id, c.host, c.path, max(struct_pack(n := length(rule), rule := rule, verdict := verdict)) AS best
+  FROM c JOIN rules ON (c.host = rhost OR ends_with(c.host, '.' || rhost)) AND starts_with(c.path, rpath) GROUP BY ALL)
+SELECT c.page_id, c.host, c.path, fit.best.rule AS rule, l.canonical IS NOT NULL AS listed, coalesce(fit.best.verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN fit USING (page_id, host, path) LEFT JOIN listed l ON l.canonical = c.canonical AND c.host <> ''""",
     "op3_exact_dedup": f"""
 WITH d AS (SELECT doc_id, sha256({_ASCII_LOWER.format("coalesce(text, '')")}) AS h FROM documents),
 g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h)

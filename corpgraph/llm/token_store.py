@@ -14,7 +14,6 @@ Each text is tokenised once. Ids wait in a work table for the global counts.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 
@@ -26,20 +25,12 @@ from pyspark.sql import functions as F
 
 from corpgraph.llm import batches, bpe, huffman
 from corpgraph.llm.word_table import WordTable
-from corpgraph.llm.work import WorkArea
+from corpgraph.llm.work import WorkArea, releasing
 
 BLOCK_TOKENS = 1 << 16
-_tables: dict[str, WordTable] = {}
-
-
-def _table(path: str) -> WordTable:
-    if path not in _tables:
-        _tables[path] = WordTable(bpe.ChunkEncoder(path, True))
-    return _tables[path]
-
 
 def _tokenise(rows: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    table, part, pos = _table(path), TaskContext.get().partitionId(), 0
+    table, part, pos = WordTable(bpe.ChunkEncoder(path, True)), TaskContext.get().partitionId(), 0
     for batch in rows:
         for piece, raw, offsets in batches.slices(batch, "text"):
             ids, counts = table.encode(raw, offsets)
@@ -75,7 +66,7 @@ def _histogram(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(total[at])], ["id", "count"])
 
 
-BLOCK = "start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, bits binary, offsets array<int>, part int"
+BLOCK = "start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, bits binary, offsets array<long>, part int"
 
 
 def _blocks(rows: Iterator[pa.RecordBatch], lengths: np.ndarray, bases: dict[int, int]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +78,7 @@ def _blocks(rows: Iterator[pa.RecordBatch], lengths: np.ndarray, bases: dict[int
         bits, offsets = code.encode(np.concatenate([h[4] for h in held]))
         n = sum(h[3] for h in held)
         cols = [[start], [n], [[h[2] for h in held]], [[h[3] for h in held]], [bits], [offsets.tolist()], [part]]
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int32()), pa.int32()]
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.int32()]
         out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["start", "n_tokens", "doc_ids", "doc_tokens", "bits", "offsets", "part"])
         held.clear()
         return out
@@ -115,20 +106,21 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, *, id_col: str = "do
     area = WorkArea(spark, "token-store")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # One shuffle puts the documents in order; the ids leave it in the same order.
-    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    made = ordered.mapInArrow(functools.partial(_tokenise, path=tokenizer, end_id=end_id), "part int, pos long, doc_id long, n long, ids binary")
+    # Rows of one id (or none) are parted by how their texts begin, which agrees with their order.
+    ordered = texts.repartitionByRange("doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
+    made = ordered.mapInArrow(releasing(_tokenise, path=tokenizer, end_id=end_id), "part int, pos long, doc_id long, n long, ids binary")
     made.write.option("compression", "zstd").parquet(f"{area.path}/ids")
     ids = spark.read.schema(made.schema).parquet(f"{area.path}/ids")
     sums = ids.groupBy("part").agg(F.sum("n").alias("n")).collect()
     bases, total = {}, 0
     for r in sorted(sums, key=lambda r: r.part):
         bases[r.part], total = total, total + r.n
-    found = ids.select("n", "ids").mapInArrow(_histogram, "id long, count long").groupBy("id").agg(F.sum("count").alias("count")).collect()
+    found = ids.select("n", "ids").mapInArrow(releasing(_histogram), "id long, count long").groupBy("id").agg(F.sum("count").alias("count")).collect()
     counts = np.zeros(max((r.id for r in found), default=0) + 1, np.int64)
     for r in found:
         counts[r.id] = r["count"]
     lengths = huffman.code_lengths(counts)
-    ids.mapInArrow(functools.partial(_blocks, lengths=lengths, bases=bases), BLOCK).write.mode("overwrite").option("compression", "none").partitionBy("part").parquet(f"{out}/blocks")
+    ids.mapInArrow(releasing(_blocks, lengths=lengths, bases=bases), BLOCK).write.mode("overwrite").option("compression", "none").partitionBy("part").parquet(f"{out}/blocks")
     spark.sql("SELECT unhex(:h) AS lengths, cast(:n AS long) AS tokens", {"h": zlib.compress(lengths.tobytes()).hex(), "n": total}).write.mode("overwrite").parquet(f"{out}/code")
     area.drop("ids")
 
@@ -157,4 +149,4 @@ def read_tokens(spark: SparkSession, store: str) -> DataFrame:
     head = spark.read.parquet(f"{store}/code").first()
     lengths = np.frombuffer(zlib.decompress(bytes(head.lengths)), np.uint8)
     blocks = spark.read.schema(BLOCK).parquet(f"{store}/blocks").drop("part")
-    return blocks.mapInArrow(functools.partial(_read, lengths=lengths), "doc_id long, start long, n_tokens long, ids binary")
+    return blocks.mapInArrow(releasing(_read, lengths=lengths), "doc_id long, start long, n_tokens long, ids binary")

@@ -2,11 +2,17 @@
 
 Applies where a text's white space is single spaces and single line ends between
 words, for then every word, with the space before it, is encoded on its own. All
-other texts go through ``ChunkEncoder``.
+other texts go through ``ChunkEncoder``, and so do all texts where the tokenizer
+isn't byte-level BPE over the usual split into words.
+
+Words are found by 64-bit hashes and compared byte by byte: a text with a word whose
+hash stands for another word goes through ``ChunkEncoder`` too.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 
 from corpgraph.llm import batches
@@ -26,14 +32,19 @@ class WordTable:
 
     def __init__(self, enc: ChunkEncoder):
         self.enc, self.newline = enc, np.frombuffer(enc.library(["\n"])[0], "<u4")
+        made = json.loads(enc.tokenizer.to_str())
+        before = made["pre_tokenizer"] or {}
+        self.usual = made["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and len(self.newline) == 1 and all(len(enc.library([chr(b)])[0]) == 4 for b in np.flatnonzero(_TAIL))
         self.tails = np.zeros(256, np.uint32)
         for b in np.flatnonzero(_TAIL):
-            self.tails[b] = np.frombuffer(enc.library([chr(b)])[0], "<u4")[0]
+            self.tails[b] = np.frombuffer(enc.library([chr(b)])[0], "<u4")[:1].sum()
         self.clear()
 
     def clear(self) -> None:
         self.key, self.at, self.size = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.uint16)
         self.pool, self.used, self.entries = np.zeros(1 << 20, np.uint32), 0, 0
+        self.name_at, self.name_size = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.uint16)
+        self.names, self.named = np.zeros(1 << 20, np.uint8), 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Slots of ``keys``, -1 for those not there."""
@@ -48,8 +59,8 @@ class WordTable:
             slot[todo] = slot[todo] + 1 & SLOTS - 1
         return out
 
-    def put(self, keys: np.ndarray, values: list[bytes]) -> None:
-        """Distinct new keys and their ids."""
+    def put(self, keys: np.ndarray, values: list[bytes], names: list[bytes]) -> None:
+        """Distinct new keys, their ids and the words that they stand for."""
         flat = np.frombuffer(b"".join(values), "<u4")
         size = np.fromiter(map(len, values), np.int64, len(values)) // 4
         if self.used + len(flat) > len(self.pool):
@@ -58,6 +69,13 @@ class WordTable:
         at = self.used + np.cumsum(size) - size
         self.used += len(flat)
         self.entries += len(keys)
+        text = np.frombuffer(b"".join(names), np.uint8)
+        name_size = np.fromiter(map(len, names), np.int64, len(names))
+        if self.named + len(text) > len(self.names):
+            self.names = np.concatenate([self.names, np.zeros(max(len(self.names), len(text)), np.uint8)])
+        self.names[self.named : self.named + len(text)] = text
+        name_at = self.named + np.cumsum(name_size) - name_size
+        self.named += len(text)
         slot = (keys >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
         todo = np.arange(len(keys))
         while len(todo):
@@ -66,11 +84,16 @@ class WordTable:
             mine = free & (self.key[slot[todo]] == keys[todo])
             self.at[slot[todo[mine]]] = at[todo[mine]]
             self.size[slot[todo[mine]]] = size[todo[mine]]
+            self.name_at[slot[todo[mine]]], self.name_size[slot[todo[mine]]] = name_at[todo[mine]], name_size[todo[mine]]
             todo = todo[~mine]
             slot[todo] = slot[todo] + 1 & SLOTS - 1
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice of texts (no end tokens) and the number of ids of each text."""
+        if not self.usual:
+            data, edges = raw.tobytes(), offsets.tolist()
+            parts = [np.frombuffer(x, "<u4") for x in self.enc.library([data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(edges, edges[1:], strict=False)])]
+            return np.concatenate([np.zeros(0, np.uint32), *parts]), np.array([len(p) for p in parts], np.int64)
         w = batches.Words(raw, offsets, lower=False)
         odd = self._odd(raw, offsets, w)
         rows = w.rows()
@@ -84,7 +107,7 @@ class WordTable:
         tail = np.where(_TAIL[raw[end - 1]] & (end - start > 1) & _LETTER[raw[np.maximum(end - 2, 0)]], raw[end - 1], 0)
         end = end - (tail > 0)
         key = batches.mix(w.hashes(start, end) + bare.astype(np.uint64)) | np.uint64(1)
-        if self.entries > SLOTS // 2:
+        if self.entries > SLOTS // 2 or max(self.used, self.named) > 1 << 30:
             self.clear()
         distinct, where, which = np.unique(key, return_index=True, return_inverse=True)
         slot = self.find(distinct)
@@ -94,9 +117,11 @@ class WordTable:
             pieces = ["\0" * b + data[s:e].decode("utf-8", "surrogatepass") for s, e, b in zip(start[pick].tolist(), end[pick].tolist(), bare[pick].tolist(), strict=True)]
             self.enc.pieces = Generations(1 << 62)
             self.enc.learn(list(set(pieces)))
-            self.put(distinct[unseen], [self.enc.pieces[p] for p in pieces])
+            self.put(distinct[unseen], [self.enc.pieces[p] for p in pieces], [p.encode("utf-8", "surrogatepass") for p in pieces])
             self.enc.pieces = Generations(1 << 62)
             slot[unseen] = self.find(distinct[unseen])
+        clash = self._clashes(raw, start, end, bare, slot[which])
+        odd[rows[good][clash]] = True
         at, size = self.at[slot][which].astype(np.int64), self.size[slot][which].astype(np.int64)
         # A line end's own id goes before the word that follows it, a punctuation mark's after its word.
         line, close = after_line[good].astype(np.int64), (tail > 0).astype(np.int64)
@@ -117,6 +142,20 @@ class WordTable:
             counts[i] = len(parts[i])
         return np.concatenate(parts), counts
 
+    def _clashes(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray, bare: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Which words aren't, byte for byte, those of their slots."""
+        size = end - start
+        name, lead = self.name_at[slot].astype(np.int64), bare.astype(np.int64)
+        out = self.name_size[slot] != size + lead
+        out |= bare != (self.names[np.minimum(name, len(self.names) - 1)] == 0)
+        sure = np.flatnonzero(~out)
+        if len(sure):
+            n = size[sure]
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            differ = raw[np.repeat(start[sure], n) + step] != self.names[np.repeat(name[sure] + lead[sure], n) + step]
+            out[sure[np.repeat(np.arange(len(sure)), n)[differ]]] = True
+        return out
+
     def _odd(self, raw: np.ndarray, offsets: np.ndarray, w: batches.Words) -> np.ndarray:
         """Texts with other white space than single spaces and line ends between words, or with an added token's content."""
         odd = np.zeros(len(offsets) - 1, bool)
@@ -130,14 +169,12 @@ class WordTable:
             a, b, c = raw[hi], raw[np.minimum(hi + 1, len(raw) - 1)], raw[np.minimum(hi + 2, len(raw) - 1)]
             space = (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE3) & (b == 0x80) & (c == 0x80) | (a == 0xE2) & ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F))
             other[hi] |= space
-        opens = np.flatnonzero(raw == ord("<"))
-        if len(opens):
-            data = raw.tobytes()
-            for a in self.enc.added:
-                n = len(a.encode())
-                for i in opens[raw[np.minimum(opens + 1, len(raw) - 1)] == a.encode()[1]] if a[0] == "<" else []:
-                    if data[i : i + n] == a.encode():
-                        other[i] = True
+        data = raw.tobytes() if self.enc.added else b""
+        for a in map(str.encode, self.enc.added):
+            at = data.find(a)
+            while at >= 0:
+                other[at] = True
+                at = data.find(a, at + 1)
         hit = np.flatnonzero(other)
         odd[np.searchsorted(offsets, hit, "right") - 1] = True
         return odd

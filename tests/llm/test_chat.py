@@ -73,3 +73,19 @@ def test_pieces_equal_whole():
             state = s
         assert cost + chat.ENDS[state][0] == least
         assert np.array(path).min() >= 1
+
+
+def test_tied_turns_keep_their_order_whatever_the_partitions(spark):
+    rows = [(1, 0, "user", f"text {i % 50}") for i in range(60)] + [(1, 1, "assistant", f"a{i}") for i in range(40)] + [(2, None, None, f"n{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in (1, 4, 9):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got.append(sorted(map(tuple, chat.repair_roles(df.repartition(n)).collect()), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)

@@ -53,3 +53,34 @@ def test_rows_go_by_id_and_text(spark):
     got = exact_dedup.drop_copies(docs)
     assert got.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, "a"), (2, "b"), (None, "c"), (3, None), (3, None)], key=str)
+
+
+def test_extreme_ids(spark):
+    low, high = -(2**63), 2**63 - 1
+    df = spark.createDataFrame([(low, "a"), (high, "A"), (0, "a"), (low, "b")], "doc_id long, text string")
+    for keep, stays in (("smallest", low), ("largest", high)):
+        got = {(r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.exact_groups(df, keep=keep).collect()}
+        assert got == {(low, stays, 3), (high, stays, 3), (0, stays, 3), (low, low, 1)}
+
+
+def test_index_grows_by_batches_and_levels(spark, tmp_path):
+    def log(pairs):
+        return spark.createDataFrame(pairs, "doc_id long, text string").select("doc_id", exact_dedup.sha256(F.col("text")).alias("digest"))
+
+    r = random.Random(8)
+    seen, path = {}, f"{tmp_path}/index"
+    for batch in range(9):
+        pairs = [(batch * 100 + i, f"t{r.randrange(120)}") for i in range(60)]
+        for i, t in pairs:
+            seen.setdefault(t, []).append(i)
+        index = exact_dedup.MergeIndex(spark, path)  # opened again for every batch
+        index.add(log(pairs))
+        index.compact()
+    index = exact_dedup.MergeIndex(spark, path)
+    assert [x.level for x in index.runs].count(0) == 1 and [x.level for x in index.runs].count(1) == 2
+    asked = [f"t{i}" for i in range(0, 160, 2)]
+    got = {bytes(x.digest): (x.first, x.last, x.copies) for x in index.look_up(log([(0, t) for t in asked])).collect()}
+    assert got == {hashlib.sha256(t.encode()).digest(): (min(seen[t]), max(seen[t]), len(seen[t])) for t in asked if t in seen}
+    index.compact(whole=True)
+    assert len(index.runs) == 1 and index.entries().count() == len(seen) == index.runs[0].entries
+    assert exact_dedup.MergeIndex(spark, f"{tmp_path}/none").look_up(log([(0, "x")])).count() == 0

@@ -1,5 +1,7 @@
 import random
+import re
 
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -76,3 +78,58 @@ def test_whole_documents_meet_targets(spark):
     assert no_id > 0
     for s, t in target.items():
         assert abs(kept[s] - t) <= 0.02 * t, (s, kept[s], t)
+
+
+def test_many_parties_near_half_a_seat():
+    votes = [2000.0] + [0.51] * 1000
+    got = mixing.sainte_lague(votes, 2510)
+    assert got == by_quotients(votes, 2510, [2510] * 1001) and sum(got) == 2510
+    r = random.Random(6)
+    votes = [r.choice([0.49, 0.5, 0.51, 3.0, 700.0]) for _ in range(800)]
+    most = [r.randint(0, 900) for _ in votes]
+    assert mixing.sainte_lague(votes, 5000, most) == by_quotients(votes, 5000, most)
+
+
+def spark_hash(*values):
+    """xxhash64 of Spark over longs, texts and ints (given as pairs), nulls left out."""
+    h = 42
+    for kind, v in values:
+        if v is not None:
+            raw = v.encode() if kind == "text" else v.to_bytes(8 if kind == "long" else 4, "little", signed=True)
+            h = xxhash.xxh64_intdigest(raw, seed=h)
+    return h - (1 << 64) * (h >= 1 << 63)
+
+
+def brute_taken(rows, seed=17):
+    """(doc_id, text) -> words taken, block by block."""
+    count = lambda t: len(re.findall("[^\x20\x09-\x0d]+", t or ""))
+    order = sorted({s for _, _, s in rows}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = [sum(count(t) for _, t, s in rows if s == x) for x in order]
+    aims = mixing.targets(sizes, [[5, 2, 1][i % 3] for i in range(len(order))], 1.5, 2)
+    seats = by_quotients(aims, round(sum(aims) / mixing.BLOCK_TOKENS), [-(-2 * n // mixing.BLOCK_TOKENS) for n in sizes])
+    out = {}
+    for source, size, seat in zip(order, sizes, seats):
+        shards: dict = {}
+        n_shards = max(1, -(-size // mixing.SHARD_TOKENS))
+        for i, t, s in rows:
+            if s == source:
+                text = spark_hash(("text", t))
+                shards.setdefault(spark_hash(("long", i), ("long", text), ("int", seed)) % n_shards, []).append((spark_hash(("long", i), ("long", text), ("int", seed + 1)), i, t))
+        names = sorted(shards)
+        words = {k: [(i, t) for _, i, t in sorted(shards[k], key=lambda x: x[0]) for _ in range(count(t))] for k in names}
+        blocks = {k: [words[k][a : a + mixing.BLOCK_TOKENS] for a in range(0, len(words[k]), mixing.BLOCK_TOKENS)] for k in names}
+        for k, quota in zip(names, by_quotients([len(words[k]) for k in names], seat, [2 * len(blocks[k]) for k in names])):
+            shift = (seed * 7919 + k * 104729) % max(1, len(blocks[k]))
+            for j in range(quota):  # the run goes on past the last block; a whole round is a pass
+                for word in blocks[k][(shift + j) % len(blocks[k])]:
+                    out[word] = out.get(word, 0) + 1
+    return out
+
+
+def test_taken_equals_blocks_counted_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_TOKENS", 3000)
+    r = random.Random(14)
+    rows = [(i if r.random() < 0.9 else None, f"u{i} " + "w " * r.randint(0, 150), r.choice(["a", "b", "b", "c", "c", "d", None])) for i in range(900)] + [(5000, None, "a"), (5001, "", "b")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4))
+    want = brute_taken(rows)
+    assert sorted((str(x.doc_id), str(x.source), x["size"], x.taken) for x in got.collect()) == sorted((str(i), str(s), len((t or "").split()), want.get((i, t), 0)) for i, t, s in rows)

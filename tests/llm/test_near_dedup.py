@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from corpgraph.llm import near_dedup
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -92,3 +94,21 @@ def test_filter_keeps_columns(spark):
 def test_rows_that_share_an_id_are_linked(spark):
     df = spark.createDataFrame([(5, "a b c d e f"), (5, "u v w x y z"), (2, "U V W X Y Z"), (9, "A b c d e f")], "doc_id long, text string")
     assert {r.component_id for r in near_dedup.near_duplicates(df).collect()} == {2}
+
+
+def test_texts_under_one_id_link_its_neighbours(spark):
+    t = [f"t{i}" for i in range(40)]
+    near = " ".join([*t[:39], "other"])
+    rows = [(5, " ".join(f"s{i}" for i in range(30))), (5, " ".join(t)), (9, near), (11, " ".join(t)), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for part in (df, df.repartition(4), df.orderBy(F.desc("text")).coalesce(1)):
+        assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(part).collect()} == {(5, 5), (9, 5), (11, 5), (7, 7)}
+
+
+def test_last_turn_finds_links_that_stars_miss(spark, monkeypatch):
+    """Without any star round, every link comes from the sliced bucket join."""
+    monkeypatch.setattr(near_dedup, "STARS", 0)
+    monkeypatch.setattr(near_dedup, "SLICE_MEMBERS", 3)
+    docs = corpus()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df).collect()} == brute(docs, 5, 80)

@@ -1,7 +1,10 @@
+import math
 import random
+import re
 
 import numpy as np
 
+from corpgraph.llm import batches
 from corpgraph.llm import quality_model as q
 
 
@@ -47,3 +50,62 @@ def test_edge_rows(spark):
     assert all(r.kept and r.expected_grade is None for r in q.score(df, None).collect())
     assert q.keep_good(df, None).columns == df.columns
     assert q.score(df.limit(0), model).count() == 0
+
+
+def plain_features(text):
+    """Feature numbers of one text, word by word."""
+    t = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", t)
+    low = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words]
+
+    def number(data):
+        raw = np.frombuffer(data, np.uint8)
+        w = batches.Words(raw, np.array([0, len(raw)]), lower=False)
+        return int(w.hashes(np.array([0]), np.array([len(raw)]))[0])
+
+    size = q.BUCKETS // 4
+    own = {number(w.encode()) % (3 * size) for w in low}
+    ends = {3 * size + number(w.encode()[-2:]) % (size - 64) for w in words}
+    share = min(len(own) * 16 // max(len(words), 1), 15)
+    return own | ends | {q.BUCKETS - 64 + share, q.BUCKETS - 32 + min(int(np.log2(len(words) + 1)), 31)}
+
+
+def test_scores_equal_brute_force(spark):
+    rows = corpus(300, 5) + [(900, None, 2), (901, "", 2), (902, "x " * 3000, 0)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(3)
+    model = q.fit(docs, spark.createDataFrame([(i, g) for i, _, g in rows], "doc_id long, grade int"))
+    got = {r.doc_id: r for r in q.score(docs, model).collect()}
+    for i, t, _ in rows:
+        value = sum(float(model.weights[f]) for f in plain_features(t))
+        below = [1 / (1 + math.exp(value - c)) for c in model.thresholds]
+        assert abs(got[i].tail_probability - (1 - below[1])) < 1e-6
+        assert abs(got[i].expected_grade - ((below[1] - below[0]) + 2 * (1 - below[1]))) < 1e-6
+        assert got[i].kept == (got[i].tail_probability >= 0.5)
+
+
+def test_fit_climbs_the_likelihood():
+    """Against the likelihood written out: the fitted model beats grade shares alone, and thresholds can hardly better it."""
+    sample = [(g, np.array(sorted(plain_features(t)), np.int32)) for _, t, g in corpus(600, 7)]
+    model = q.fit_rows(sample, 3)
+
+    def loss(thresholds, weights):
+        total = 0.0
+        for g, x in sample:
+            v = float(np.sum(weights[x], dtype=np.float64))
+            edges = [0.0, *[1 / (1 + math.exp(v - c)) for c in thresholds], 1.0]
+            total -= math.log(max(edges[g + 1] - edges[g], 1e-12))
+        return total / len(sample)
+
+    share = np.cumsum(np.bincount([g for g, _ in sample]))[:-1] / len(sample)
+    fitted = loss(model.thresholds, model.weights)
+    assert fitted < 0.5 * loss(np.log(share / (1 - share)), np.zeros(q.BUCKETS))
+    for step in ([0.2, 0], [-0.2, 0], [0, 0.2], [0, -0.2]):
+        assert loss(model.thresholds + np.array(step), model.weights) > fitted - 0.02
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    rows = corpus(400, 3)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    grades = spark.createDataFrame([(i, g) for i, _, g in rows], "doc_id long, grade int")
+    few, same = q.fit(docs, grades, most_bytes=20_000), q.fit(docs.repartition(5), grades, most_bytes=20_000)
+    assert np.array_equal(few.weights, same.weights) and not np.array_equal(few.weights, q.fit(docs, grades).weights)

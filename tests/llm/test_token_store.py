@@ -7,7 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from corpgraph.llm import huffman, token_store
+from corpgraph.llm import batches, bpe, huffman, token_store
+from corpgraph.llm.word_table import WordTable
 from corpgraph.llm.work import WorkArea
 from tests.llm.test_bpe import texts
 
@@ -50,3 +51,27 @@ def test_store_equals_library(spark, monkeypatch):
     assert sorted(((r.doc_id, r.start, r.n_tokens, zlib.crc32(bytes(r.ids))) for r in got), key=lambda r: r[1]) == want
     token_store.write_tokens(df.limit(0), out + "-none", PATH)
     assert token_store.read_tokens(spark, out + "-none").count() == 0
+
+
+def encoded(table, rows):
+    raw = np.frombuffer("".join(rows).encode(), np.uint8)
+    ids, counts = table.encode(raw, np.append(0, np.cumsum([len(t.encode()) for t in rows])))
+    return [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_words_that_share_a_hash_keep_their_own_ids(monkeypatch):
+    """With two-bit hashes nearly all words clash."""
+    tk, rows = Tokenizer.from_file(PATH), ["one two three", "four one five", "six\nseven eight, nine", "ab ba"]
+    plain = batches.Words.hashes
+    monkeypatch.setattr(batches.Words, "hashes", lambda self, *a: plain(self, *a) & np.uint64(3))
+    table = WordTable(bpe.ChunkEncoder(PATH, True))
+    for _ in range(2):
+        assert encoded(table, rows) == [tk.encode(t, add_special_tokens=False).ids for t in rows]
+
+
+def test_other_tokenizers_are_not_cut_into_words():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tk, rows = Tokenizer.from_file(path), ["One two  three", "four\none", "ü É 漢字 [UNK] <unk>"]
+    tk.no_padding()
+    tk.no_truncation()
+    assert encoded(WordTable(bpe.ChunkEncoder(path, True)), rows) == [tk.encode(t, add_special_tokens=False).ids for t in rows]
