@@ -8,7 +8,7 @@ relabel it, or insert an empty turn.
 Conversations are laid out by range partitioning, so one that holds a third of all
 rows lies in many partitions. A partition solves the conversations that lie wholly
 in it. For the at most two pieces that may go on in a neighbour it gives the least
-cost between any two states (a small min-plus matrix); from these the driver finds
+cost between any two states (a small min-plus matrix, and how ties rank); from these the driver finds
 the states at the pieces' borders, and each piece is then solved on its own.
 """
 
@@ -53,8 +53,8 @@ def _price(role):
     return _PRICES[role if role in ROLES else None]
 
 
-def solve(roles: list, begin: int = START, end: int | None = None) -> list[int]:
-    """The states after each turn on a cheapest way from ``begin`` to ``end`` (None: any legal end). Ties: the lesser state, latest first."""
+def _forward(roles: list, begin: int) -> tuple[list[int], list[list[int]]]:
+    """Least cost of each state after the last turn, and after each turn the least state before it on a cheapest way."""
     cost = [FAR] * STATES
     cost[begin] = 0
     back = []
@@ -66,35 +66,49 @@ def solve(roles: list, begin: int = START, end: int | None = None) -> list[int]:
                     new[t], link[t] = cost[s] + c, s
         back.append(link)
         cost = new
-    state = end if end is not None else min(ENDS, key=lambda s: (cost[s] + ENDS[s][0], s))
+    return cost, back
+
+
+def _backward(back: list[list[int]], state: int) -> list[int]:
+    """States from the last to the first."""
     path = []
     for link in reversed(back):
         path.append(state)
         state = link[state]
-    return path[::-1]
+    return path
+
+
+def solve(roles: list, begin: int = START, end: int | None = None) -> list[int]:
+    """The states after each turn on a cheapest way from ``begin`` to ``end`` (None: any legal end). Ties: the lesser state, latest first."""
+    cost, back = _forward(roles, begin)
+    return _backward(back, end if end is not None else min(ENDS, key=lambda s: (cost[s] + ENDS[s][0], s)))[::-1]
 
 
 def matrix(roles: list) -> np.ndarray:
-    """Least cost from each state to each state over these turns."""
-    out = np.full((STATES, STATES), FAR, np.int64)
-    out[range(STATES), range(STATES)] = 0
-    for role in roles:
-        new = np.full((STATES, STATES), FAR, np.int64)
-        for s, ways in enumerate(_price(role)):
-            for t, c in ways:
-                new[:, t] = np.minimum(new[:, t], out[:, s] + c)
-        out = np.minimum(new, FAR)
+    """Least cost from each state to each state over these turns, and each way's rank among those to the same state.
+
+    Ways are ranked as ``solve`` breaks ties, so pieces can be joined to the very way
+    that the whole conversation would take.
+    """
+    out = np.zeros((2, STATES, STATES), np.int64)
+    made = [_forward(roles, s) for s in range(STATES)]
+    for e in range(STATES):
+        ways = [_backward(back, e) for _, back in made]
+        order = sorted(map(tuple, ways))
+        out[0, :, e] = [min(cost[e], FAR) for cost, _ in made]
+        out[1, :, e] = [order.index(tuple(w)) for w in ways]
     return out
 
 
 def borders(pieces: list[np.ndarray]) -> list[int]:
-    """States between the pieces of one conversation on a cheapest way, the end state last."""
+    """States between the pieces of one conversation on the way that ``solve`` finds for the whole, the end state last."""
     cost, back = np.full(STATES, FAR), []
     cost[START] = 0
-    for m in pieces:
-        total = cost[:, None] + m
-        back.append(total.argmin(axis=0))
-        cost = total.min(axis=0)
+    for costs, ranks in pieces:
+        total = cost[:, None] + costs
+        # The least of cost, then of rank, then of the state itself.
+        back.append(np.array([min(range(STATES), key=lambda s: (total[s, e], ranks[s, e], s)) for e in range(STATES)]))  # noqa: B023
+        cost = np.minimum(total.min(axis=0), FAR)
     state, out = min(ENDS, key=lambda s: (cost[s] + ENDS[s][0], s)), []
     for link in reversed(back):
         out.append(int(state))
@@ -210,7 +224,7 @@ def repair_roles(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     plan = {}
     for chain in chains.values():
         begin, at = START, 0
-        for k, (r, end) in enumerate(zip(chain, borders([np.array(r.costs, np.int64).reshape(STATES, STATES) for r in chain]), strict=True)):
+        for k, (r, end) in enumerate(zip(chain, borders([np.array(r.costs, np.int64).reshape(2, STATES, STATES) for r in chain]), strict=True)):
             plan[r.part, r.piece] = (begin, end, k == len(chain) - 1, at)
             begin, at = end, at + r.length
     inner = laid.where("not edge").select(*[c.split()[0] for c in SCHEMA.split(", ")])

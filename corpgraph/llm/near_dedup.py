@@ -13,11 +13,11 @@
 * What remains is confirmed on full shingle sets, recomputed from the texts.
 * In a band's bucket, members are first held only against one centre (a star), so
   a bucket of n copies costs n checks; the centre is the member that shares most
-  buckets, as the original of many copies does. Whoever is still in another
-  component than some member of its bucket is then held against all those members,
-  behind the bitmaps and once for each pair (in the first bucket that it shares), so
-  that no link that joins two components is missed. A bucket's members are cut into
-  slices for that, so that no task holds more than a slice against the bucket.
+  buckets, as the original of many copies does. Whoever is still outside the largest
+  component of its bucket is then held against all members of other components, behind
+  the bitmaps and once for each pair (in the first bucket that it shares), so that no
+  link that joins two components is missed. A bucket's members are cut into slices for
+  that, and each slice meets those few.
 
 Everything up to the last step goes by classes of equal sets, numbered when their
 table is written; documents come in again with the components' smallest doc_id.
@@ -233,13 +233,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             pairs = held.join(centre, "bucket").where("label <> centre_label").select(F.col("class").alias("a"), F.col("centre").alias("b")).distinct()
             pairs = described(pairs)
         else:
-            full = placed.join(mixed.select("bucket", F.ceil(F.col("size") / SLICE_MEMBERS).alias("slices")), "bucket").join(info, "class").select("bucket", "class", "label", "n", "sketch", "bands", "slices")
-            # Each member is in one slice of its bucket, and meets those of every slice.
+            # Only members outside their bucket's largest component are held against all of it.
+            per = placed.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+            slices = mixed.select("bucket", F.ceil(F.col("size") / SLICE_MEMBERS).alias("slices"))
+            full = placed.join(slices, "bucket").join(per, "bucket").join(info, "class").select("bucket", "class", "label", "main", "n", "sketch", "bands", "slices")
             x = full.withColumn("slice", F.pmod(F.xxhash64("class"), F.col("slices"))).alias("x")
-            y = full.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))).alias("y")
+            y = full.where("label <> main").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))).alias("y")
             shared = F.filter(F.zip_with("x.bands", "y.bands", lambda p, q: F.when(p == q, p)), lambda p: p.isNotNull())
-            cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.slice") == F.col("y.slice")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.label") != F.col("y.label")) & _possible("x.", "y.", percent) & (F.element_at(shared, 1) == F.col("x.bucket"))
-            pairs = x.join(y, cond).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+            cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.slice") == F.col("y.slice")) & (F.col("x.label") != F.col("y.label")) & _possible("x.", "y.", percent) & (F.element_at(shared, 1) == F.col("x.bucket"))
+            pairs = x.join(y, cond).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         pairs = area.save(pairs, f"pairs-{turn}")

@@ -65,7 +65,8 @@ def test_pieces_equal_whole():
         for p, end in zip(pieces, ends):
             path += chat.solve(p, begin, end)
             begin = end
-        whole = chat.matrix(roles)[0]
+        whole = chat.matrix(roles)[0][0]
+        assert path == chat.solve(roles)
         least = min(whole[s] + chat.ENDS[s][0] for s in chat.ENDS)
         state, cost = 0, 0
         for role, s in zip(roles, path):
