@@ -1,23 +1,6 @@
-"""``python -m corpgraph QUERY DATA_DIR [OUT]``: runs a registered query; shows its rows or writes them as Parquet."""
-
-from __future__ import annotations
-
-import argparse
-
-from pyspark.sql import SparkSession
-
-from corpgraph import catalog
-
-
-def main() -> None:
-    p = argparse.ArgumentParser(prog="corpgraph")
-    p.add_argument("query", choices=sorted(catalog.QUERIES))
-    p.add_argument("data_dir")
-    p.add_argument("out", nargs="?")
-    args = p.parse_args()
-    df = catalog.QUERIES[args.query](SparkSession.builder.appName("corpgraph").getOrCreate(), args.data_dir)
-    df.write.mode("overwrite").parquet(args.out) if args.out else df.show(50, truncate=80)
+"""``python -m corpgraph COMMAND ...``"""
 
+from corpgraph.cli import main
 
 if __name__ == "__main__":
     main()

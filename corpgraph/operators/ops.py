@@ -4,16 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpgraph.functions.similarity import SCORERS
-
-#: Choices of a fuzzy join that are sent to every worker; more are matched in blocks of so many.
-BLOCK_CHOICES = 20_000
-
 
 def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in a total order."""
@@ -59,29 +52,18 @@ def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
     return rows.withColumn("bin", at.cast("int")).groupBy("bin", "lo", "hi").agg(F.count("*").alias("count")).select("bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("low"), (F.col("lo") + F.col("bin") * width).alias("high"), "count")
 
 
-def best_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *, scorer: str = "token_set") -> DataFrame:
-    """For each distinct non-blank ``left_key``: the best ``right_key`` and its score; ties go to the first in order.
-
-    Keys are scored once each. The right side's distinct keys are cut into blocks of
-    ``BLOCK_CHOICES``; each left key meets each block once, and the best of the blocks
-    is taken by ``max_by``, so neither side has to fit one worker.
-    """
-    keys = left.select(F.col(left_key).alias("k")).where("k <> ''").distinct()
-    choices = right.select(F.col(right_key).alias("c")).where("c <> ''").distinct()
-    blocks = max(1, -(-choices.count() // BLOCK_CHOICES))
-    packed = choices.groupBy(F.pmod(F.xxhash64("c"), F.lit(blocks)).alias("b")).agg(F.array_sort(F.collect_list("c")).alias("cs"))
-    score = SCORERS[scorer]
-
-    @F.pandas_udf("struct<best string, score double>")
-    def best(k: pd.Series, cs: pd.Series) -> pd.DataFrame:
-        out = []
-        for key, options in zip(k, cs, strict=True):
-            scores = np.fromiter((score(key, c) for c in options), float, len(options))
-            i = int(scores.argmax())
-            out.append((options[i], float(scores[i])))
-        return pd.DataFrame(out, columns=["best", "score"])
-
-    # A stated query set (the residual keys) against all choices, block by block.
-    pairs = keys.select("k", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b")).withColumn("b", F.col("b").cast("long")).join(packed, "b")
-    scored = pairs.select("k", best("k", "cs").alias("m"))
-    return scored.groupBy("k").agg(F.min(F.struct((-F.col("m.score")).alias("s"), F.col("m.best").alias("best"))).alias("m")).select(F.col("k").alias(left_key), F.col("m.best").alias("best_norm"), (-F.col("m.s")).alias("fuzzy_score"))
+def most_common(df: DataFrame, *keys: str, first: Column, name: str = "count") -> DataFrame:
+    """Frequencies, largest first; of equals the key that was seen first."""
+    return df.groupBy(*keys).agg(F.count("*").alias(name), F.min(first).alias("_first")).orderBy(F.desc(name), "_first").drop("_first")
+
+
+def capped(df: DataFrame, most: int | None, order: Sequence[str | Column]) -> DataFrame:
+    """The first ``most`` rows in a total order; all of them for None."""
+    return df if most is None else df.orderBy(*order).limit(most)
+
+
+def not_done(rows: DataFrame, done: DataFrame | None, key: str, done_key: str | None = None) -> DataFrame:
+    """Rows whose key an earlier run's output lacks; a null key is never done."""
+    if done is None:
+        return rows
+    return rows.join(done.select(F.col(done_key or key).alias(key)).where(F.col(key).isNotNull()).distinct(), key, "left_anti").select(*rows.columns)

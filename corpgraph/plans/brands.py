@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpgraph.functions import brands
 from corpgraph.functions.similarity import token_set_ratio
+from corpgraph.operators.fuzzy import Choices, all_matches
 from corpgraph.operators.ops import number_or_zero
 
 
@@ -21,38 +22,72 @@ def mentions(messages: DataFrame) -> DataFrame:
     return out.withColumn("brand_clean", F.when(brands.clean_candidate(F.col("brand_raw")).isNotNull(), clean)).where("brand_clean is not null")
 
 
-def canonical_brands(found: DataFrame, *, merge: float = 90, review: float = 80) -> DataFrame:
-    """brand_canonical, suggested and score for each mention, in message order.
+class _Names:
+    """A growing set of names that is searched for one that is similar enough: full blocks with bounds, and a short rest."""
+
+    def __init__(self, block: int = 256):
+        self.block, self.full, self.rest, self.lower = block, [], [], set()
+
+    def add(self, name: str) -> None:
+        self.lower.add(name.lower())
+        self.rest.append(name)
+        if len(self.rest) == self.block:
+            self.full.append(Choices(self.rest))
+            self.rest = []
+        if len(self.full) == 8:  # eight blocks become one of the eightfold size
+            self.full, self.block = [Choices([n for c in self.full for n in c.names])], self.block * 8
+
+    def has_like(self, name: str, least: float) -> bool:
+        return name.lower() in self.lower or any(token_set_ratio(name, n) >= least for n in self.rest) or any(c.best(name, "token_set", least) for c in self.full)
+
+
+def canonical_names(found: DataFrame, *, merge: float = 90) -> DataFrame:
+    """name, added: brands that were unlike every canonical name before them, with their first mention (date, message_id, position).
 
-    A mention is the canonical name it equals but for case, or that it is most like
-    (``merge`` or more), or a new one, with a suggestion from ``review`` on. The set of
-    names grows as mentions come, so one task folds over them in order; it holds the
-    names, not the rows.
+    A name joins the set only at its first mention, so the fold that decides it, in
+    one task by its nature, goes over distinct names alone.
     """
-    schema = "message_id string, position int, brand_canonical string, suggested string, score double"
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names: dict[str, str] = {}
+        names = _Names()
         for frame in frames:
-            out = []
-            for key, pos, brand in zip(frame.message_id, frame.position, frame.brand_clean, strict=True):
-                name, hint, score = names.get(brand.lower()), None, None
-                if name is None:
-                    ranked = [(token_set_ratio(brand, n), -i, n) for i, n in enumerate(names.values())]
-                    best = max(ranked, default=(0.0, 0, None))
-                    name = best[2] if best[0] >= merge else brand
-                    if review <= best[0] < merge:
-                        hint, score = best[2], best[0]
-                    names.setdefault(name.lower(), name)
-                out.append((key, pos, name, hint, score))
-            yield pd.DataFrame(out, columns=["message_id", "position", "brand_canonical", "suggested", "score"])
-
-    ordered = found.select("message_id", "position", "brand_clean", "date").repartition(1).sortWithinPartitions("date", "message_id", "position").drop("date")
-    return ordered.mapInPandas(fold, schema)
+            new = []
+            for brand in frame.name:
+                if not names.has_like(brand, merge):
+                    names.add(brand)
+                    new.append(brand)
+            yield pd.DataFrame({"name": new})
+
+    first = found.groupBy(F.col("brand_clean").alias("name")).agg(F.min(F.struct("date", "message_id", "position")).alias("added"))
+    made = first.repartition(1).sortWithinPartitions("added").select("name").mapInPandas(fold, "name string")
+    return first.join(made, "name")
+
+
+def canonical_brands(found: DataFrame, *, merge: float = 90, review: float = 80) -> DataFrame:
+    """message_id, position, brand_canonical, suggested, score of each mention, in message order.
+
+    A mention is the canonical name it equals but for case, or the one it is most like
+    (``merge`` or more; the first added of equals), or a new one, with a suggestion from
+    ``review`` on. Only names added before it count. Every pair of a brand and a name
+    that is similar enough is found once; a mention then takes the best of its time.
+    """
+    names = canonical_names(found, merge=merge)
+    like = all_matches(found, names, "brand_clean", "name", at_least=review).join(names.withColumnRenamed("name", "match"), "match")
+    ranked = like.groupBy("brand_clean").agg(F.array_sort(F.collect_list(F.struct((-F.col("fuzzy_score")).alias("s"), "added", F.col("match").alias("name")))).alias("ranked"))
+    equal = names.select(F.lower("name").alias("low"), F.col("name").alias("equal"), F.col("added").alias("equal_added"))
+    rows = found.withColumn("at", F.struct("date", "message_id", "position")).withColumn("low", F.lower("brand_clean")).join(ranked, "brand_clean", "left").join(equal, "low", "left")
+    best = F.get(F.filter("ranked", lambda r: r["added"] < F.col("at")), F.lit(0))
+    rows = rows.withColumn("best", best).withColumn("same", F.when(F.col("equal_added") < F.col("at"), F.col("equal")))
+    hint = F.col("same").isNull() & (F.col("best.s") > -merge)
+    name = F.coalesce("same", F.when(F.col("best.s") <= -merge, F.col("best.name")), F.col("brand_clean"))
+    return rows.select("message_id", "position", name.alias("brand_canonical"), F.when(hint, F.col("best.name")).alias("suggested"), F.when(hint, -F.col("best.s")).alias("score"))
 
 
 def brand_counts(found: DataFrame, canonical: DataFrame) -> DataFrame:
-    return found.join(canonical, ["message_id", "position"]).groupBy("brand_canonical").agg(F.count("*").alias("count"), F.min("date").alias("first_seen"), F.max("date").alias("last_seen"))
+    """brand_canonical, count, first_seen, last_seen: most common first, of equals the one mentioned first."""
+    joined = found.join(canonical, ["message_id", "position"])
+    counts = joined.groupBy("brand_canonical").agg(F.count("*").alias("count"), F.min("date").alias("first_seen"), F.max("date").alias("last_seen"), F.min(F.struct("date", "message_id", "position")).alias("_first"))
+    return counts.orderBy(F.desc("count"), "_first").drop("_first")
 
 
 def labelled(counts: DataFrame) -> DataFrame:

@@ -7,13 +7,14 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from corpgraph.functions import companies
 from corpgraph.functions.common import text_of
-from corpgraph.operators.ops import best_match
+from corpgraph.operators.fuzzy import best_match
+from corpgraph.operators.ops import first_per, not_done
 
 # Words that mark a legal entity, and header cells.
 ENTITY = re.compile(r"\b(inc|llc|ltd|corp|co|company|bank|group)\b", re.I)
@@ -72,9 +73,12 @@ def subsidiaries(exhibits: DataFrame) -> DataFrame:
 
 
 def exhibit_reason(rows: DataFrame) -> DataFrame:
-    """has_exhibit21 and reason from nullable cik, accession and exhibit_url."""
+    """has_exhibit21 and reason from nullable cik, accession and exhibit_url, and error where there is such a column."""
+    reason = F.when(no_cik(F.col("cik")), "Missing CIK")
+    if "error" in rows.columns:
+        reason = reason.when(F.col("error").isNotNull(), F.concat(F.lit("Error: "), "error"))
     reason = (
-        F.when(F.coalesce(F.col("cik"), F.lit("")).isin("", "nan"), "Missing CIK")
+        reason
         .when(F.col("accession").isNull(), "No 10-K found")
         .when(F.col("exhibit_url").isNull(), "10-K found, but Exhibit-21 missing")
         .otherwise("Exhibit-21 found")
@@ -92,7 +96,7 @@ def with_ciks(names: DataFrame, index: DataFrame, threshold: float = 85) -> Data
     """company_name with the cik of the most similar index title, if similar enough."""
     keyed = names.withColumn("k", companies.match_name(F.col("company_name")))
     titled = index.withColumn("t", companies.index_title(F.col("title")))
-    best = best_match(keyed, titled, "k", "t", scorer="weighted")
+    best = best_match(keyed, titled, "k", "t", scorer="weighted", at_least=threshold)
     ciks = titled.groupBy("t").agg(F.min("cik").alias("cik"))
     good = best.where(F.col("fuzzy_score") >= threshold).join(ciks, F.col("best_norm") == ciks.t).select("k", "cik", "fuzzy_score")
     return keyed.join(good, "k", "left").drop("k")
@@ -116,11 +120,47 @@ def bundles(contacts: DataFrame, subs: DataFrame, company: str = "company") -> D
     return out.withColumn("contacts_count", F.coalesce(F.size("contacts"), F.lit(0))).withColumn("subsidiaries_count", F.coalesce(F.size("subsidiaries"), F.lit(0)))
 
 
-def documents(rows: DataFrame) -> DataFrame:
-    """path, json: one document a company, and one for each contact and subsidiary below it, numbered from 0."""
-    base = rows.withColumn("root", F.concat(F.lit("companies/"), companies.slug(F.col("company_name"))))
-    head = base.select(F.col("root").alias("path"), F.to_json(F.struct("company_name", "contacts_count", "subsidiaries_count"), {"ignoreNullFields": "true"}).alias("json"))
-    for name in ("contacts", "subsidiaries"):
-        each = base.select("root", F.posexplode(name).alias("at", "x"))
-        head = head.unionByName(each.select(F.format_string(f"%s/{name}/%05d", "root", "at").alias("path"), F.to_json("x", {"ignoreNullFields": "true"}).alias("json")))
-    return head
+def _children(df: DataFrame, company: str) -> DataFrame:
+    """company_name and x, the rest of the row, of rows with a company."""
+    return df.where(F.col(company).isNotNull()).select(F.trim(F.col(company)).alias("company_name"), F.struct(*[c for c in df.columns if c != company]).alias("x"))
+
+
+def summaries(contacts: DataFrame, subs: DataFrame, company: str = "company") -> DataFrame:
+    """company_name, contacts_count, subsidiaries_count of companies of either side, without gathering their rows."""
+    sides = _children(contacts, company).select("company_name", F.lit(1).alias("c"), F.lit(0).alias("s")).unionByName(_children(subs, company).select("company_name", F.lit(0).alias("c"), F.lit(1).alias("s")))
+    return sides.groupBy("company_name").agg(F.sum("c").cast("int").alias("contacts_count"), F.sum("s").cast("int").alias("subsidiaries_count"))
+
+
+def documents(contacts: DataFrame, subs: DataFrame, company: str = "company") -> DataFrame:
+    """path, json: one document a company, and one for each contact and subsidiary below it, numbered from 0 in order of their fields."""
+    root = F.concat(F.lit("companies/"), companies.slug(F.col("company_name")))
+    plain = {"ignoreNullFields": "true"}
+    out = summaries(contacts, subs, company).select(root.alias("path"), F.to_json(F.struct("company_name", "contacts_count", "subsidiaries_count"), plain).alias("json"))
+    for name, side in (("contacts", contacts), ("subsidiaries", subs)):
+        at = F.row_number().over(Window.partitionBy("company_name").orderBy("x")) - 1
+        out = out.unionByName(_children(side, company).withColumn("at", at).select(F.format_string(f"%s/{name}/%05d", root, F.col("at")).alias("path"), F.to_json("x", plain).alias("json")))
+    return out
+
+
+def no_cik(cik: Column) -> Column:
+    return F.trim(F.coalesce(cik.cast("string"), F.lit(""))).isin("", "nan")
+
+
+def add_ciks(names: DataFrame, index: DataFrame, threshold: float = 85) -> DataFrame:
+    """company_name, cik, ...: rows that have a cik stay as they are, the others are matched with the index."""
+    if "cik" not in names.columns:
+        return with_ciks(names, index, threshold).drop("fuzzy_score")
+    lost = with_ciks(names.where(no_cik(F.col("cik"))).drop("cik"), index, threshold).drop("fuzzy_score")
+    return names.where(~no_cik(F.col("cik"))).unionByName(lost.select(*names.columns))
+
+
+def extract_all(exhibits: DataFrame, done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Subsidiaries of companies (parent_name, parent_cik, source_url, html, error) and the rows that failed.
+
+    Each cik counts once, its first parent by name; rows without a cik and those with
+    one among ``done`` (parent_cik) are skipped. Rows with an error are failures.
+    """
+    rows = exhibits.withColumn("parent_cik", F.trim(F.replace(F.col("parent_cik").cast("string"), F.lit(".0"), F.lit("")))).where(~no_cik(F.col("parent_cik")))
+    one = first_per(not_done(rows, done, "parent_cik"), ["parent_cik"], ["parent_name", "source_url"])
+    failed = one.where("error is not null").select("parent_name", "parent_cik", "error")
+    return subsidiaries(one.where("error is null")), failed

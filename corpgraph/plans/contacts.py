@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpgraph.functions import companies, web
 from corpgraph.functions.common import text_of
+from corpgraph.operators.ops import not_done
 from corpgraph.schemas import require_columns
 
 # Search words of contact pages in order with the preferred e-mail tags, and of social sites.
@@ -48,7 +49,11 @@ def found_domains(names: DataFrame, results: DataFrame) -> DataFrame:
     """
     c = F.col("company_clean")
     named = names.select("company_clean").distinct().where(F.size(web.name_words(c)) > 0).withColumn("tokens", web.brand_words(c))
-    asks = [F.transform(f(c), lambda q, k=k: F.struct(F.lit(k).alias("spare"), q.alias("query"))) for k, f in enumerate((web.domain_queries, web.fallback_domains))]
+
+    def kind(queries: Column, spare: int) -> Column:
+        return F.transform(queries, lambda q: F.struct(F.lit(spare).alias("spare"), q.alias("query")))
+
+    asks = [kind(web.domain_queries(c), 0), kind(web.fallback_domains(c), 1)]
     asked = named.select("company_clean", "tokens", F.posexplode(F.concat(*asks)).alias("query_no", "q")).select("company_clean", "tokens", "query_no", "q.*")
     seen = asked.join(hits(results, SITE_HITS), "query").withColumn("domain", web.domain(F.col("url"))).where("domain is not null")
     own = ~web.is_noise(F.col("url")) & ~F.col("domain").isin(web.BAD_DOMAINS)
@@ -75,11 +80,26 @@ def contact_pages(named: DataFrame, results: DataFrame, pages: DataFrame) -> Dat
     return mail.groupBy("company_clean").agg(*out)
 
 
-def extract_contacts(names: DataFrame, results: DataFrame, pages: DataFrame) -> DataFrame:
-    """One row for each of ``names`` (company, company_clean); what wasn't found is null."""
+def extract_contacts(names: DataFrame, results: DataFrame, pages: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """One row for each of ``names`` (company, company_clean) not among ``done``; what wasn't found is null.
+
+    error: the least error of the company's failed searches and page fetches, where
+    ``results`` or ``pages`` say so in a column error.
+    """
+    names = not_done(names, done, "company")
     found = found_domains(names, results)
     out = names.join(found, "company_clean", "left").join(contact_pages(found, results, pages), "company_clean", "left")
-    return out.select("company", "company_clean", "domain", "ir_page", "ir_email", "cs_page", "cs_email", F.lit(None).cast("string").alias("error"))
+    failed = F.lit(None).cast("string")
+    if "error" in results.columns:
+        asks = names.select("company_clean").distinct().withColumn("query", F.explode(F.concat(web.domain_queries(F.col("company_clean")), web.fallback_domains(F.col("company_clean")))))
+        errors = asks.join(results.where("error is not null").select("query", "error"), "query").groupBy("company_clean").agg(F.min("error").alias("_searching"))
+        out, failed = out.join(errors, "company_clean", "left"), F.col("_searching")
+    if "error" in pages.columns:
+        lost = pages.where("error is not null").groupBy("url").agg(F.min("error").alias("e"))
+        for kind in CONTACT_PAGES:
+            out = out.join(lost.select(F.col("url").alias(f"{kind}_page"), F.col("e").alias(f"_{kind}")), f"{kind}_page", "left")
+            failed = F.coalesce(failed, f"_{kind}")
+    return out.select("company", "company_clean", "domain", "ir_page", "ir_email", "cs_page", "cs_email", failed.alias("error"))
 
 
 def social_links(names: DataFrame, results: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.functions.companies import committee_norm, company_words_norm, looks_like_pac, match_norm
-from corpgraph.operators.ops import best_match, first_per, number, number_or_zero, top_n, truthy
+from corpgraph.operators.fuzzy import best_match
+from corpgraph.operators.ops import first_per, number, number_or_zero, top_n, truthy
 
 
 def corporate_pacs(committees: DataFrame) -> DataFrame:
@@ -57,12 +58,16 @@ def in_cycles(receipts: DataFrame, cycles: list[int]) -> DataFrame:
     return receipts.where(number(F.col("ELECTION_CYCLE")).isin([float(c) for c in cycles]))
 
 
-def match_receipts(receipts: DataFrame, committees: DataFrame, *, high: float = 95, review: float = 90) -> DataFrame:
-    """Each receipt with the committee of the same normalised name, else the most similar one, and how it was found."""
+def match_receipts(receipts: DataFrame, committees: DataFrame, *, high: float = 95, review: float = 90, scores_below: bool = False) -> DataFrame:
+    """Each receipt with the committee of the same normalised name, else the most similar one, and how it was found.
+
+    fuzzy_score is that of the best committee if it reaches ``review``; with
+    ``scores_below`` it is given however low, which scores far more pairs.
+    """
     receipts = receipts.withColumn("cmte_norm", match_norm(F.col("COMMITTEE_NAME"))).where("cmte_norm <> ''")
     master = first_per(committees.withColumn("cmte_norm", match_norm(F.col("CMTE_NM"))).where("cmte_norm <> ''"), ["cmte_norm"], ["CMTE_ID"]).select("cmte_norm", "CMTE_ID", "CMTE_NM", "CONNECTED_ORG_NM", "CMTE_TP", "ORG_TP")
     residual = receipts.select("cmte_norm").distinct().join(master.select("cmte_norm"), "cmte_norm", "left_anti")
-    best = best_match(residual, master, "cmte_norm", "cmte_norm")
+    best = best_match(residual, master, "cmte_norm", "cmte_norm", at_least=0 if scores_below else review)
     key = F.coalesce(F.when(F.col("fuzzy_score") >= review, F.col("best_norm")), F.col("cmte_norm"))
     joined = receipts.join(best, "cmte_norm", "left").withColumn("key", key).join(master.withColumnRenamed("cmte_norm", "key"), "key", "left")
     method = F.when(F.col("fuzzy_score").isNull() & F.col("CMTE_ID").isNotNull(), "NAME_EXACT").when(F.col("fuzzy_score") >= high, "FUZZY_HIGH").when(F.col("fuzzy_score") >= review, "FUZZY_REVIEW").otherwise("NO_MATCH")

@@ -13,7 +13,7 @@ from corpgraph.functions import companies, people, titles
 from corpgraph.functions.alerts import alert_lines, alert_text
 from corpgraph.functions.common import text_of
 from corpgraph.functions.events import parse_event
-from corpgraph.operators.ops import first_per, frequencies, sorted_set
+from corpgraph.operators.ops import first_per, frequencies, not_done, sorted_set
 from corpgraph.schemas import EVENT_FIELDS
 
 Tagger = Callable[[str], list[tuple[int, int]]]
@@ -63,28 +63,63 @@ def chunks(filings: DataFrame, text: str = "raw_text", size: int = 1_500_000) ->
     return filings.withColumn("chunk_no", F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))).withColumn("chunk", F.substr(F.col(text), F.col("chunk_no") * size + 1, F.lit(size)))
 
 
-def raw_executives(filings: DataFrame, order: str, tagger: Tagger = default_tagger) -> DataFrame:
-    """Each company's first filing: its mentions, one of each name a chunk, the surest first seen."""
+def raw_executives(filings: DataFrame, order: str, tagger: Tagger = default_tagger, *, size: int = 1_500_000, done: DataFrame | None = None) -> DataFrame:
+    """Each company's first filing: its mentions, one of each name a chunk, the surest first seen.
+
+    Companies among ``done`` (an earlier run's output) are left out.
+    """
 
     @F.pandas_udf("array<struct<executive_name string, executive_title string, confidence string>>")
     def extract(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in texts:
             yield t.map(lambda x: mentions_in(x or "", tagger))
 
-    cut = chunks(first_per(filings, ["company_name"], [order]))
+    cut = chunks(first_per(not_done(filings, done, "company_name", "company"), ["company_name"], [order]), size=size)
     found = cut.select(F.col("company_name").alias("company"), F.col("sec_filing_type").alias("filing_type"), "chunk_no", F.posexplode(extract("chunk")).alias("at", "m")).select("company", "filing_type", "chunk_no", "at", "m.*")
     rank = F.array_position(F.array(*[F.lit(c) for c in CONFIDENCE]), F.col("confidence"))
     keyed = found.withColumn("_name", F.lower(F.trim("executive_name"))).withColumn("_rank", rank)
     return first_per(keyed, ["company", "chunk_no", "_name"], ["_rank", "at"]).drop("_name", "_rank")
 
 
-def final_executives(raw: DataFrame) -> DataFrame:
-    """Low-confidence names repaired or dropped, invalid names dropped, one row a name, titles cleaned."""
+def person_names(tagger: Tagger):
+    """A column function: the first person whom the tagger finds in a text, else null."""
+
+    @F.pandas_udf("string")
+    def first(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for t in texts:
+            yield t.map(lambda x: next((x[a:b].strip() for a, b in tagger(x)), None) if x else None)
+
+    return first
+
+
+def clean_names(raw: DataFrame) -> DataFrame:
+    """Low-confidence names repaired; rows whose name then doesn't look like one go."""
     low = F.lower("confidence") == "low"
-    name = people.drop_contact_words(F.when(low, people.best_name(F.col("executive_name"))).otherwise(F.col("executive_name")))
-    named = raw.withColumn("executive_name", name).withColumn("_low", low.cast("int")).where(people.is_valid_name(F.col("executive_name")) & (~low | people.looks_like_name(F.col("executive_name"))))
-    one = first_per(named, ["executive_name"], ["_low", "company", "chunk_no", "at"]).drop("_low")
-    return one.withColumn("executive_title_clean", titles.clean_title(F.col("executive_title")))
+    name = F.when(low, people.best_name(F.col("executive_name"))).otherwise(F.col("executive_name"))
+    return raw.withColumn("executive_name", name).withColumn("_low", low.cast("int")).where(people.looks_like_name(F.col("executive_name")))
+
+
+def tagged_names(rows: DataFrame, tagger: Tagger | None = None) -> DataFrame:
+    """Names as a second tagger pass finds them (none: as they are), without contact words; invalid ones go, and one row a name stays."""
+    name = person_names(tagger)("executive_name") if tagger else F.col("executive_name")
+    named = rows.withColumn("executive_name", people.drop_contact_words(name)).where(people.is_valid_name(F.col("executive_name")))
+    return first_per(named, ["executive_name"], ["_low", "company", "chunk_no", "at"]).drop("_low")
+
+
+def final_executives(raw: DataFrame, tagger: Tagger | None = None) -> DataFrame:
+    """Names cleaned, then tagged; titles cleaned; one row a name and title."""
+    one = tagged_names(clean_names(raw), tagger).withColumn("executive_title_clean", titles.clean_title(F.col("executive_title")))
+    return one.dropDuplicates(["executive_name", "executive_title_clean"])
+
+
+def confidence_counts(execs: DataFrame) -> DataFrame:
+    """confidence, count: most frequent first."""
+    return frequencies(execs, "confidence").orderBy(F.desc("count"), "confidence")
+
+
+def of_company(rows: DataFrame, name: str, column: str = "company") -> DataFrame:
+    """Rows of one company, whatever the case and the blanks around its name."""
+    return rows.where(F.lower(F.trim(column)) == name.strip().lower())
 
 
 def executive_summary(execs: DataFrame) -> DataFrame:
@@ -120,13 +155,19 @@ def baseline_tickers(execs: DataFrame, crosswalk: DataFrame) -> DataFrame:
 
 
 def unmatched(enriched: DataFrame) -> DataFrame:
-    return enriched.where("TICKER is null").select("company", "company_norm").distinct()
+    """Companies without a ticker, in order of their normalised names."""
+    return enriched.where("TICKER is null").select("company", "company_norm").distinct().orderBy("company_norm", "company")
 
 
 def ambiguous(enriched: DataFrame) -> DataFrame:
     return enriched.where("ticker_ambiguous").select("company", "company_norm", F.array_join("ticker_candidates", "|").alias("ticker_candidates_str"), "TICKER_COMMON").distinct()
 
 
+def ambiguous_norms(enriched: DataFrame) -> DataFrame:
+    """The ambiguous log with one row a normalised name, its first company's."""
+    return first_per(ambiguous(enriched), ["company_norm"], ["company"])
+
+
 def triage(lost: DataFrame) -> DataFrame:
     return lost.withColumn("looks_like_fund_or_etf", companies.looks_like_fund(F.col("company_norm")))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,9 +13,32 @@ from pyspark.sql.types import StructType
 from corpgraph.schemas import COMMITTEE
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A CSV with header, quoted fields over several lines allowed; columns by the schema, all text."""
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, *, label: str = "input", infer: bool = False) -> DataFrame:
+    """A CSV with header; quoted fields may hold line ends, and a field of ``NA`` is text.
+
+    Columns are those of the schema; without one, those of the header, all text, or of
+    inferred types. A missing file is an error that names the table.
+    """
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "").option("inferSchema", infer and schema is None)
+    try:
+        return (reader if schema is None else reader.schema(schema)).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"{label}: no file at {path}") from e
+
+
+def if_there(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """An earlier run's CSV, or None where there is none."""
+    try:
+        return read_csv(spark, path, schema)
+    except FileNotFoundError:
+        return None
+
+
+def preview(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first rows that a scan meets."""
+    return df.limit(n)
 
 
 def read_committees(spark: SparkSession, path: str) -> DataFrame:

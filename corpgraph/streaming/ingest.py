@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 from corpgraph.schemas import MESSAGES, strings
 
@@ -86,6 +86,35 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *, files
     return decoded(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def append_batches(stream: DataFrame, out: str, log: str, checkpoint: str, *, key: str = "message_id") -> StreamingQuery:
+    """Appends each micro-batch to the table ``out`` and its ids to the log ``log``, and stops.
+
+    A batch that is run again after a crash writes nothing twice: rows whose id the
+    log has are left out, and each batch's log rows carry its number.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        schema = StructType([batch.schema[key]])
+        spark.createDataFrame([], schema).write.mode("append").parquet(log)
+        new = unseen(batch, spark.read.schema(schema).parquet(log), key).dropDuplicates([key]).persist()
+        new.write.mode("append").parquet(out)
+        new.select(key, F.lit(number).alias("batch")).write.mode("append").parquet(log)
+        new.unpersist()
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def sliding_counts(events: DataFrame, *, time: str = "ts", key: str = "event_type", size: str = "1 hour", slide: str = "15 minutes", late: str = "10 minutes") -> DataFrame:
+    """Counts in windows that start every ``slide``."""
+    return events.withWatermark(time, late).groupBy(F.window(time, size, slide).alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), key, "n")
+
+
+def session_counts(events: DataFrame, *, time: str = "ts", key: str = "user_id", gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+    """Sessions of each key, ended by a gap: start, end, n."""
+    return events.withWatermark(time, late).groupBy(F.session_window(time, gap).alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), key, "n")
+
+
 def windowed_counts(events: DataFrame, *, time: str = "ts", key: str = "event_type", size: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Tumbling-window counts with a watermark, for streams and tables alike."""
     return events.withWatermark(time, late).groupBy(F.window(time, size).alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), key, "n")

@@ -64,10 +64,10 @@ def test_connectors(spark, tmp_path):
         return lambda path, record: pathlib.Path(folder, path.replace("/", "_")).write_text(json.dumps(record))
 
     people = spark.createDataFrame([("Acme", "ann"), ("Acme", "bob"), ("Zed", "cy")], "company string, name string")
-    nested = bundles.bundles(people, people.where("name = 'bob'").withColumnRenamed("name", "sub"))
-    connectors.put_documents(bundles.documents(nested), connect)
+    sides = people, people.where("name = 'bob'").withColumnRenamed("name", "sub")
+    connectors.put_documents(bundles.documents(*sides), connect)
     assert sorted(p.name for p in tmp_path.iterdir()) == ["companies_acme", "companies_acme_contacts_00000", "companies_acme_contacts_00001", "companies_acme_subsidiaries_00000", "companies_zed", "companies_zed_contacts_00000"]
-    lines = connectors.preview(nested, 1)
+    lines = connectors.preview(bundles.summaries(*sides), 1)
     assert lines[0] == "2 bundles" and "Acme" in lines[1] and lines[2] == "1 more"
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpgraph.functions import brands, companies, people, similarity, titles, web
-from corpgraph.functions.alerts import blocks_in, sections_in
+from corpgraph.functions.alerts import events_in
 from corpgraph.plans.bundles import names_in_exhibit
 from corpgraph.streaming.ingest import plain_text
 
@@ -71,6 +71,5 @@ def test_texts():
     assert names_in_exhibit("<p>Acme Inc<br>\nnothing</p>") == ["Acme Inc"]
     assert names_in_exhibit(None) == []
     assert plain_text('{"mimeType":"m","parts":[{"mimeType":"text/html","body":{"data":"eA"}},{"parts":[{"mimeType":"text/plain","body":{"data":"aGk"}}]}]}') == "hi"
-    block = blocks_in("Date: x\nAcme\nSoftware\nSubsidiary of G\nChanges\nA (posted on x).B (posted on y)\n\nView the new org chart of Acme\nrest")
-    assert block == [("Acme", "Software", "G", "Changes\nA (posted on x).B (posted on y)")]
-    assert sections_in(block[0][3]) == [("Changes", "A (posted on x)."), ("Changes", "B (posted on y)")]
+    rows = events_in("Date: x\nAcme\nSoftware\nSubsidiary of G\nChanges\nA (posted on x).B (posted on y)\n\nView the new org chart of Acme\nrest")
+    assert rows == [("Acme", "Software", "G", "Changes", "A (posted on x)."), ("Acme", "Software", "G", "Changes", "B (posted on y)")]

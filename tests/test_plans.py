@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpgraph.operators import ops
+from corpgraph.operators import fuzzy
 from corpgraph.plans import brands, bundles, contacts, pac, people
 from corpgraph.sources import io
 from corpgraph.streaming import ingest
@@ -28,9 +28,10 @@ def test_status_fan_out_and_negative_amounts(spark):
 def test_best_match_in_blocks(spark, monkeypatch):
     left = spark.createDataFrame([("alpha beta",), ("gamma",), ("",)], "k string")
     right = spark.createDataFrame([("beta alpha",), ("gamme",), ("delta",), ("zeta",)], "c string")
-    whole = sorted(map(tuple, ops.best_match(left, right, "k", "c").collect()))
-    monkeypatch.setattr(ops, "BLOCK_CHOICES", 1)
-    assert sorted(map(tuple, ops.best_match(left, right, "k", "c").collect())) == whole
+    whole = sorted(map(tuple, fuzzy.best_match(left, right, "k", "c").collect()))
+    monkeypatch.setattr(fuzzy, "BLOCK_CHOICES", 1)
+    monkeypatch.setattr(fuzzy, "BLOCK_KEYS", 1)
+    assert sorted(map(tuple, fuzzy.best_match(left, right, "k", "c").collect())) == whole
     assert [(k, b) for k, b, _ in whole] == [("alpha beta", "beta alpha"), ("gamma", "gamme")]
 
 
