@@ -65,8 +65,15 @@ def _executives(spark, d):
     return execs.final_executives(execs.raw_executives(filings, "ord", _none))
 
 
-@query(_FOUND)
+@query()
 def exec_mentions(spark, d):
+    """Executives in all texts of documents, each the one filing of a company of its own. Tested against the patterns one by one."""
+    docs = stand_in(spark, d, "SELECT concat('doc ', doc_id) AS company_name, 'doc' AS sec_filing_type, text AS raw_text, lpad(CAST(doc_id AS STRING), 12, '0') AS ord FROM {documents}")
+    return execs.final_executives(execs.raw_executives(docs, "ord"))
+
+
+@query(_FOUND)
+def filing_executives(spark, d):
     """Executives of each company's first filing by the patterns for signatures and titles; the tagger finds nobody."""
     return _executives(spark, d).select("company", "executive_name", "executive_title_clean", "confidence")
 

@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
-from corpgraph import catalog
+from corpgraph.catalog.base import values
 from corpgraph.functions import registry, web
 from corpgraph.plans import bundles, contacts
 from corpgraph.sources import connectors
 from pyspark.sql import functions as F
 
+_SEARCHES = [
+    ("Acme Tools Inc official website", "1", "https://en.wikipedia.org/wiki/Acme"),
+    ("Acme Tools Inc official website", "2", "https://www.acmetools.com/about"),
+    ("Acme Tools Inc homepage", "1", "https://acme.org"),
+    ("Acme Tools Inc investor site:acmetools.com", "1", "https://acmetools.com/investors"),
+    ("Acme Tools Inc help site:acmetools.com", "1", "https://acmetools.com/help"),
+    ("Acme Tools Inc official twitter x", "1", "https://twitter.com/acme/status/1"),
+    ("Acme Tools Inc official twitter x", "2", "https://twitter.com/acme"),
+    ("Acme Tools Inc official bluesky", "1", "https://bsky.app/profile/acme"),
+    ("Globex official website", "1", "https://www.amazon.com/globex"),
+    ("globexinc.com", "3", "https://shop.globexinc.com/"),
+]
+_FETCHED = [("https://acmetools.com/investors", "ask a@acmetools.com or IR@acmetools.com"), ("https://acmetools.com/help", "none")]
+
+
+def searched(spark):
+    names = contacts.unique_companies(values(spark, "company", [("Acme TOOLS INC",), ("Globex",), ("Initech",), ("Globex",)]))
+    return names, values(spark, "query rank url", _SEARCHES).withColumn("rank", F.col("rank").cast("int")), values(spark, "url html", _FETCHED)
+
 
 def test_contact_details(spark):
-    got = {r.company: tuple(r)[1:] for r in catalog.QUERIES["contact_details"](spark, "").collect()}
+    got = {r.company: tuple(r)[1:] for r in contacts.extract_contacts(*searched(spark)).drop("error").collect()}
     assert got == {
         "Acme TOOLS INC": ("Acme Tools Inc", "acmetools.com", "https://acmetools.com/investors", "IR@acmetools.com", "https://acmetools.com/help", None),
         "Globex": ("Globex", "globexinc.com", None, None, None, None),
@@ -19,13 +38,18 @@ def test_contact_details(spark):
 
 
 def test_social_links(spark):
-    got = {r.company_clean: tuple(r)[1:] for r in catalog.QUERIES["social_links"](spark, "").collect()}
+    names, found, _ = searched(spark)
+    links = contacts.social_links(names, found)
+    got = {r.company_clean: tuple(r)[1:] for r in links.collect()}
     assert got == {"Acme Tools Inc": ("https://twitter.com/acme", None, "https://bsky.app/profile/acme"), "Globex": (None, None, None), "Initech": (None, None, None)}
-    assert contacts.complete_social(catalog.QUERIES["social_links"](spark, "")).first().complete == 0
+    assert contacts.complete_social(links).first().complete == 0
 
 
 def test_repair(spark):
-    got = {r.company: tuple(r)[2:] for r in catalog.QUERIES["contacts_repaired"](spark, "").collect()}
+    _, found, pages = searched(spark)
+    names = "company company_clean domain ir_page ir_email cs_page cs_email twitter_url facebook_url bluesky_url"
+    old = [("Acme TOOLS INC", "Acme Tools Inc", "x", None, "old@acme.org", "https://own", "own@acme.org", " ", None, "own"), ("Globex", "Globex", *["kept"] * 8), ("Initech", "Initech", *[None] * 8)]
+    got = {r.company: tuple(r)[2:] for r in contacts.repair(values(spark, names, old), found, pages).collect()}
     assert got["Acme TOOLS INC"] == ("acmetools.com", "https://acmetools.com/investors", "IR@acmetools.com", "https://own", "own@acme.org", "https://twitter.com/acme", None, "own")
     assert got["Globex"] == ("kept",) * 8
     assert got["Initech"] == (None,) * 8
