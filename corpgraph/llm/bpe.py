@@ -1,16 +1,21 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
-A text is cut into chunks where a rolling hash of the last bytes says so, hence at
-the same places in every copy of a passage. Chunks seen before, in whatever
-document, keep their ids; the others are cut again at every space (pieces), and only
-pieces that were never seen go to the tokenizers library, many in one call. Joins are
-then repaired: a cut at a space between two characters that aren't white space cannot
-change the tokens; at any other cut the text on both sides is encoded again as one,
-and so on until the join is such a place or the text's end. Texts with the content of an added token go to the
-library whole.
-
-Chunk and piece tables are bounded: when a table is full it becomes the old
-generation, which hits are copied from, and a new one starts.
+A text is cut into chunks where a rolling hash of the last bytes says so, be it within
+a word, hence at the same places in every copy of a passage. Of a chunk, the part from
+its first to its last safe place is encoded once and kept. At a safe place (a space
+between two characters that aren't white space, or any space where white space only
+parts tokens) no token can span both sides.
+
+Joins are then repaired: what lies between the last safe place of a chunk and the
+first of the next is encoded again as one; where the next chunk has none, the span
+grows over it, and so on until both sides agree on a place or the text ends.
+
+What is new is cut at every safe place (pieces), and only pieces that were never seen
+go to the tokenizers library, many in one call. Texts with the content of an added
+token go to the library whole.
+
+Chunk and piece tables are bounded and live as long as a task: when a table is full it
+becomes the old generation, which hits are copied from, and a new one starts.
 """
 
 from __future__ import annotations
@@ -30,12 +35,14 @@ from corpgraph.llm.work import releasing
 
 #: Entries of the piece and chunk tables of a task, each generation: some 25 MB and 4 MB.
 PIECES, CHUNKS = 120_000, 4_000
-#: Words in a chunk, on average: a candidate cut counts for chunks when these bits of the rolling hash are 0.
-CHUNK_MASK = 0x3F
+#: Bytes in a chunk, on average, less one: a chunk ends where these bits of the rolling hash are 0.
+CHUNK_MASK = 0x1FF
 WINDOW = 16
 _BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
 _FIRST = "\0"
 _CONTROL = re.compile("[\x1c-\x1f]").search
+_SAFE = re.compile(r"(?<=\S) (?=\S)").search
+_SAFE_AT = re.compile(r"\S \S").match
 _LEANING = re.compile(r"\s |\s$| \s|^\s").search
 #: One pre-token of Latin letters, and punctuation that is a pre-token of its own.
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-įıĲ-ɏ]+)([.,;:!?]*)").fullmatch
@@ -93,6 +100,8 @@ class ChunkEncoder:
         self.spaces_stay = spaces_stay
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces, self.chunks = Generations(PIECES), Generations(CHUNKS)
+        #: Chunks found in the table, chunks encoded, and joins repaired so far.
+        self.reused = self.encoded = self.repairs = 0
         self.names: list[str] | None = None
         # The file's own BPE model behind a plain split, for pieces known to be one pre-token.
         self.model = Tokenizer(self.tokenizer.model)
@@ -170,44 +179,77 @@ class ChunkEncoder:
             out[0] = _FIRST + out[0]
         return out
 
+    def opened(self, chunk: str) -> tuple[str, str | None, str]:
+        """A chunk before its first, between, and after its last safe place; without one all is head, and the middle None."""
+        if not self.spaces_stay:
+            first, last = chunk.find(" "), chunk.rfind(" ")
+        else:
+            found = _SAFE(chunk)
+            first = last = found.start() if found else -1
+            if found:
+                last = chunk.rfind(" ")
+                while not _SAFE_AT(chunk, last - 1):
+                    last = chunk.rfind(" ", 0, last)
+        return (chunk, None, "") if first < 0 else (chunk[:first], chunk[first:last], chunk[last:])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         special = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
         plan = [[] if i in special else self.chunked(t) for i, t in enumerate(texts)]
-        self.chunks.trim()
-        self.pieces.trim()
         new = self.chunks.missing(set().union(*plan))
-        cut = [self.cut(c) for c in new]
-        self.learn(self.pieces.missing(set().union(*cut)))
+        self.encoded += len(new)
+        self.reused += sum(map(len, plan)) - len(new)
+        bodies = {}
+        for c in new:
+            head, body, tail = self.opened(c)
+            bodies[c] = None if body is None else self.cut(body) if body else []
+            self.chunks[c] = (head, None, tail)
+        known = self.chunks.__getitem__
+        # Of each text in turn: pieces of a span that is encoded anew, or a chunk whose middle is known.
+        steps: list[list] = []
+        for p in plan:
+            made, open_ = [], ""
+            for k, c in enumerate(p):
+                head, ids, tail = known(c)
+                open_ += head
+                if ids is None and bodies.get(c) is None:
+                    continue
+                self.repairs += k > 0
+                if open_:
+                    made.append(self.cut(open_))
+                made.append(c)
+                open_ = tail
+            if open_:
+                made.append(self.cut(open_))
+            steps.append(made)
+        need = {x for pieces in bodies.values() if pieces for x in pieces}
+        need.update(x for made in steps for step in made if type(step) is list for x in step)
+        self.learn(self.pieces.missing(need))
         get = self.pieces.__getitem__
-        for c, p in zip(new, cut, strict=True):
-            self.chunks[c] = b"".join(map(get, p))
-        whole = self.chunks.__getitem__
-        done = [b"".join(map(whole, p)) for p in plan]
+        for c, pieces in bodies.items():
+            if pieces is not None:
+                head, _, tail = known(c)
+                self.chunks[c] = (head, b"".join(map(get, pieces)), tail)
+        done = [b"".join([b"".join(map(get, x)) if type(x) is list else known(x)[1] for x in made]) for made in steps]
         for i in special:
             done[i] = self.library([texts[i]])[0]
+        self.chunks.trim()
+        self.pieces.trim()
         return done
 
     def chunked(self, text: str) -> list[str]:
-        """Chunks of a text; every join between them is a safe one."""
+        """Chunks of a text, cut where the rolling hash says so and a character begins."""
         raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-        if len(raw) < 4 * CHUNK_MASK:
-            return [text] if text else []
-        at = np.flatnonzero((raw == 32) & (rolling_hash(raw) & np.uint32(CHUNK_MASK) == 0))
+        at = np.flatnonzero((rolling_hash(raw) & np.uint32(CHUNK_MASK) == 0)[:-1]) + 1 if len(raw) > WINDOW else []
         if len(at) == 0:
-            return [text]
+            return [text] if text else []
+        at = at[(raw[at] & 0xC0) != 0x80]
+        if text.isascii():
+            edges = [0, *at.tolist(), len(text)]
+            return [text[a:b] for a, b in zip(edges, edges[1:], strict=False)]
         data = raw.tobytes()
         edges = [0, *at.tolist(), len(data)]
-        parts = [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(edges, edges[1:], strict=False) if a < b]
-        if not self.spaces_stay:
-            return parts
-        out = parts[:1]
-        for p in parts[1:]:  # p starts with a space; repair a join that white space could lean over
-            if len(p) < 2 or p[1] in _BLANKS or out[-1][-1] in _BLANKS:
-                out[-1] += p
-            else:
-                out.append(p)
-        return out
+        return [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip(edges, edges[1:], strict=False)]
 
     def decode(self, ids: np.ndarray) -> str:
         """As ``Tokenizer.decode(ids, skip_special_tokens=False)``; a tokenizer without decoder joins token strings by spaces."""

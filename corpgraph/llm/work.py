@@ -6,10 +6,7 @@ reading it again, so a lost executor costs a few tasks and not the job.
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -17,23 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpgraph.sources.shared import shared_folder
+
 #: A key with more than this share of the rows is hot: there are fewer than 1 / HOT_SHARE of them, so their rows can be broadcast.
 HOT_SHARE = 1 / 2000
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Where that is unset: on one machine a folder of our own, on a cluster an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share (master: {master})")
-        root = tempfile.mkdtemp(prefix="corpgraph-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def delete(spark: SparkSession, path: str) -> None:
     """Removes a folder in whatever file system it lies."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -42,14 +28,14 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def clean(spark: SparkSession) -> None:
     """Removes all work tables of this application; call it when the results that read them are written."""
-    delete(spark, f"{shared_root(spark)}/corpgraph/{spark.sparkContext.applicationId}")
+    delete(spark, f"{shared_folder(spark)}/corpgraph/{spark.sparkContext.applicationId}")
 
 
 class WorkArea:
     """Tables of one run of an operator. ``drop`` removes those that later steps don't read; ``clean`` all."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path = spark, f"{shared_root(spark)}/corpgraph/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.path = spark, f"{shared_folder(spark)}/corpgraph/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         out = f"{self.path}/{name}"

@@ -53,3 +53,22 @@ def test_query_columns(spark):
 
     assert got == {row(1, "Hello there"), row(2, ""), row(None, "x y")}
     assert bpe.encode_decode(df.limit(0), path).count() == 0
+
+
+@pytest.mark.parametrize("name,stay", SETS)
+def test_chunks_are_shared_and_joins_repaired(name, stay):
+    """Passages that many texts share, in Latin letters and without any spaces, at other places each time."""
+    path = public_tokenizers.path(name)
+    tk, enc, r = Tokenizer.from_file(path), bpe.ChunkEncoder(path, stay), random.Random(11)
+    word = lambda: "".join(r.choice("abcdefgé") for _ in range(r.randint(1, 12)))
+    passage = " ".join(word() for _ in range(2000))
+    letters = [chr(c) for c in range(0x4E00, 0x4E60)]
+    dense = "".join(r.choice(letters) for _ in range(3000))
+    rows = [" ".join([word() for _ in range(r.randint(1, 40))]) + " " + (dense if i % 2 else passage) + word() * (i % 3) + " \t " * (i % 4) for i in range(12)]
+    got = enc.encode(rows[:6]) + enc.encode(rows[6:])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tk.encode(t, add_special_tokens=False).ids for t in rows]
+    assert enc.reused > 2 * enc.encoded  # the passages' chunks are cut alike in all texts
+    assert enc.repairs > len(rows)
+    assert any(enc.opened(c)[1] is None for t in rows for c in enc.chunked(t)) and any(enc.opened(c)[1] for t in rows for c in enc.chunked(t))
+    assert all("".join(enc.chunked(t)) == t and "".join(x or "" for c in enc.chunked(t) for x in enc.opened(c)) == t for t in rows + texts())
+    assert max(len(enc.chunks), len(enc.chunks.old)) <= bpe.CHUNKS + len(rows) * 40
