@@ -1,7 +1,11 @@
 """A training-data pipeline of five stages over ``documents``.
 
 Each stage works on all that its predecessor kept. All but the last return the
-columns of documents.
+columns of documents, and other columns too, whatever their names.
+
+Null texts count as empty, null ids and sources are values like others, an empty table
+gives an empty table, and texts of any length are taken whole. What else holds for odd
+rows is said at each stage.
 """
 
 from __future__ import annotations
@@ -14,28 +18,40 @@ from corpgraph.llm.work import WorkArea
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier takes for good and not toxic, fitted on the graded ones among them."""
+    """Documents that the classifier takes for good and not toxic, fitted on the graded ones among them.
+
+    Without two different grades all stay. Each row is judged on its own: repeated rows alike, rows of one id by their texts.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_model.keep_good(docs, quality_model.fit(docs, quality_model.graded(labels)))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of equal texts: that with the smallest doc_id."""
+    """One of each group of equal texts: that with the smallest doc_id.
+
+    A row without an id goes if an equal text has one; rows that repeat id and text of the kept one stay.
+    """
     return exact_dedup.drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component: five words, similarity 0.8."""
+    """One document of each near-duplicate component: five words, similarity 0.8; that with the smallest doc_id.
+
+    Texts without words and rows without an id stay. Rows of one id are one document, which stays or goes as a whole.
+    """
     return near_dedup.keep_one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of the sources takes it."""
+    """Each document as often as the mix of the sources takes it; those without words go.
+
+    Rows that repeat id, source and text are taken equally often.
+    """
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text of every document of the mix."""
+    """Token counts and digests of ids and decoded text of every document of the mix, one row for each time that it is taken."""
     return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), full=False)
 
 

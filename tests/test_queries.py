@@ -33,4 +33,4 @@ def test_query(spark, duck, name):
         assert sorted(got.columns) == sorted(want.columns)
         assert plain(got) == plain(want)
     else:
-        assert len(got) > 0 or name == "exhibit_names"
+        assert name == "exec_mentions" and len(got) > 0  # its own test holds it against brute force
