@@ -28,9 +28,18 @@ from corpgraph.llm.word_table import WordTable
 from corpgraph.llm.work import WorkArea, releasing
 
 BLOCK_TOKENS = 1 << 16
+#: Word tables of this Python worker; of bounded size, they outlive tasks, as learning the words again costs more than the tokens.
+_tables: dict[str, WordTable] = {}
+
+
+def _table(path: str) -> WordTable:
+    if path not in _tables:
+        _tables[path] = WordTable(bpe.ChunkEncoder(path, True))
+    return _tables[path]
+
 
 def _tokenise(rows: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    table, part, pos = WordTable(bpe.ChunkEncoder(path, True)), TaskContext.get().partitionId(), 0
+    table, part, pos = _table(path), TaskContext.get().partitionId(), 0
     for batch in rows:
         for piece, raw, offsets in batches.slices(batch, "text"):
             ids, counts = table.encode(raw, offsets)

@@ -144,16 +144,18 @@ class WordTable:
 
     def _clashes(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray, bare: np.ndarray, slot: np.ndarray) -> np.ndarray:
         """Which words aren't, byte for byte, those of their slots."""
-        size = end - start
-        name, lead = self.name_at[slot].astype(np.int64), bare.astype(np.int64)
-        out = self.name_size[slot] != size + lead
-        out |= bare != (self.names[np.minimum(name, len(self.names) - 1)] == 0)
-        sure = np.flatnonzero(~out)
-        if len(sure):
-            n = size[sure]
-            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            differ = raw[np.repeat(start[sure], n) + step] != self.names[np.repeat(name[sure] + lead[sure], n) + step]
-            out[sure[np.repeat(np.arange(len(sure)), n)[differ]]] = True
+        size, name, lead = (end - start).astype(np.int32), self.name_at[slot], bare.astype(np.int32)
+        out = (self.name_size[slot] != size + lead) | (bare != (self.names[np.minimum(name, len(self.names) - 1)] == 0))
+        if out.any():
+            keep = np.flatnonzero(~out)
+            start, size, name, lead = start[keep], size[keep], name[keep], lead[keep]
+        if len(size):
+            ends = np.cumsum(size, dtype=np.int32)
+            at = np.arange(ends[-1], dtype=np.int32) + np.repeat(start.astype(np.int32) - (ends - size), size)
+            differ = np.flatnonzero(raw[at] != self.names[at + np.repeat(name + lead - start.astype(np.int32), size)])
+            if len(differ):
+                lost = np.unique(np.searchsorted(ends, differ, "right"))
+                out[np.flatnonzero(~out)[lost]] = True
         return out
 
     def _odd(self, raw: np.ndarray, offsets: np.ndarray, w: batches.Words) -> np.ndarray:
