@@ -90,13 +90,13 @@ dp(a, b, l, r, i, row) AS (SELECT DISTINCT a, b, l, r, 0, list_transform(range(0
 lcs AS (SELECT a, b, row[-1] AS c FROM dp WHERE i = len(l)),
 token_set AS (SELECT a, b, CASE WHEN s <> '' AND (l = '' OR r = '') THEN 100.0 ELSE greatest(100 - 100.0 * (len(l) + len(r) - 2 * c) / (n + m), CASE WHEN gap = 1 THEN greatest(100 - 100.0 * (1 + len(l)) / (len(s) + n), 100 - 100.0 * (1 + len(r)) / (len(s) + m)) ELSE 0 END) END AS score FROM sized LEFT JOIN lcs USING (a, b))"""
 #: SQL: whether the characters that two texts have in common allow a score.
-_ALIKE = "200 * list_sum(list_transform(string_split('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789 ', ''), lambda ch: least(len(a) - len(replace(a, ch, '')), len(b) - len(replace(b, ch, ''))))) >= {0} * (len(a) + len(b))"
+_ALIKE = "200 * list_sum(list_transform(string_split('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789 ', ''), lambda ch: least(len({1}) - len(replace({1}, ch, '')), len({2}) - len(replace({2}, ch, ''))))) >= {0} * (len({1}) + len({2}))"
 #: Pairs whose lengths and characters alone allow a score of 90: by the strings, or by one side's shared words.
 _MATCHED = f"""WITH RECURSIVE f0 AS ({duck(_MASTER)}), f AS (SELECT *, {_KEY("CMTE_NM")} AS k FROM f0), master AS (SELECT k, min(CMTE_ID) AS CMTE_ID FROM f WHERE k <> '' GROUP BY 1),
 r0 AS ({duck(_RECEIPTS)}), r AS (SELECT *, {_KEY("COMMITTEE_NAME")} AS k FROM r0), lost AS (SELECT DISTINCT k FROM r WHERE k <> '' AND k NOT IN (SELECT k FROM master)),
 met AS (SELECT lost.k AS a, master.k AS b, list_sort(list_distinct(string_split(lost.k, ' '))) AS x, list_sort(list_distinct(string_split(master.k, ' '))) AS y FROM lost, master),
-bound AS (SELECT a, b, len(array_to_string(x, ' ')) AS n, len(array_to_string(y, ' ')) AS m, len(array_to_string(list_intersect(x, y), ' ')) AS s FROM met),
-pair AS (SELECT a, b FROM bound WHERE 200 * s >= 90 * (s + least(n, m)) OR (200 * least(n, m) >= 90 * (n + m) AND {_ALIKE.format(90)})),
+bound AS (SELECT a, b, array_to_string(x, ' ') AS u, array_to_string(y, ' ') AS v, len(array_to_string(x, ' ')) AS n, len(array_to_string(y, ' ')) AS m, len(array_to_string(list_intersect(x, y), ' ')) AS s FROM met),
+pair AS (SELECT a, b FROM bound WHERE 200 * s >= 90 * (s + least(n, m)) OR (200 * least(n, m) >= 90 * (n + m) AND {_ALIKE.format(90, "u", "v")})),
 {_RATIO},
 best AS (SELECT a, min(struct_pack(s := -score, b := b)) AS z FROM token_set WHERE score >= 90 GROUP BY 1),
 j AS (SELECT r.n, r.k, e.CMTE_ID AS exact_id, best.z.b AS best_norm, -best.z.s AS fuzzy_score, g.CMTE_ID AS fuzzy_id FROM r LEFT JOIN master e ON e.k = r.k LEFT JOIN best ON best.a = r.k LEFT JOIN master g ON g.k = best.z.b WHERE r.k <> ''),
@@ -144,7 +144,7 @@ _ASKED = f"""SELECT s_suppkey AS n, {cases("s_suppkey", f"'Energy ' || {_B} || '
 
 
 @query(f"""WITH RECURSIVE i AS ({duck(_INDEX)}), q AS (SELECT *, trim(replace(replace(lower(company_name), '&', 'and'), ',', '')) AS k FROM ({duck(_ASKED)})),
-pair AS (SELECT a, b FROM (SELECT DISTINCT k AS a, title AS b FROM q, i) WHERE {_ALIKE.format(85)}), {_RATIO},
+pair AS (SELECT a, b FROM (SELECT DISTINCT k AS a, title AS b FROM q, i) WHERE {_ALIKE.format(85, "a", "b")}), {_RATIO},
 w(a, b, p, u, v) AS (SELECT a, b, 'ratio', a, b FROM pair UNION ALL SELECT a, b, 'sorted', array_to_string(list_sort(string_split(a, ' ')), ' '), array_to_string(list_sort(string_split(b, ' ')), ' ') FROM pair),
 d2(a, b, p, u, v, i, row) AS (SELECT a, b, p, u, v, 0, list_transform(range(0, len(v) + 1), lambda j: CAST(0 AS BIGINT)) FROM w
   UNION ALL SELECT a, b, p, u, v, i + 1, list_prepend(CAST(0 AS BIGINT), list_transform(range(1, len(v) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda q: greatest(row[q + 1], CASE WHEN v[q] = u[i + 1] THEN row[q] + 1 ELSE 0 END))))) FROM d2 WHERE i < len(u)),
