@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sizes = crowded.groupBy("bucket").count()
     busy = sizes.join(crowded, "bucket").groupBy("class").agg(F.sum("count").alias("shares"))
     crowded = area.save(crowded.join(busy, "class"), "members")
-    info = area.save(classes.join(busy, "class", "left_semi").select("class", "n", "sketch", "bands"), "info")
+    info = area.save(classes.join(crowded.select("class").distinct(), "class", "left_semi").select("class", "n", "sketch", "bands"), "info")
     area.drop("crowded")
 
     def described(pairs: DataFrame) -> DataFrame:
@@ -225,26 +225,32 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     labels, tried = None, None
     for turn in range(STARS + 1):
-        placed = crowded.withColumn("label", F.col("class")) if labels is None else crowded.join(labels, F.col("class") == F.col("node"), "left").select("bucket", "class", "shares", F.coalesce("label", "class").alias("label"))
-        mixed = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most"), F.max_by("class", F.struct(F.xxhash64("class") if turn else F.col("shares"), "class")).alias("centre")).where("least <> most")
+        # What a turn's plan reads several times is a table, so that plans (which the driver holds, with all their tasks) stay small.
+        placed = crowded.withColumn("label", F.col("class"))
+        if labels is not None:
+            placed = area.save(crowded.join(labels, F.col("class") == F.col("node"), "left").select("bucket", "class", "shares", F.coalesce("label", "class").alias("label")), f"placed-{turn}")
+        centre = F.max_by(F.struct("class", "label"), F.struct(F.xxhash64("class") if turn else F.col("shares"), "class"))
+        mixed = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most"), centre.alias("centre")).where("least <> most")
+        mixed = area.save(mixed.select("bucket", "size", F.col("centre.class").alias("centre"), F.col("centre.label").alias("centre_label")), f"mixed-{turn}")
+        if mixed.isEmpty():
+            break
         if turn < STARS:
-            held = placed.join(mixed.select("bucket", "centre"), "bucket")
-            centre = held.where(F.col("class") == F.col("centre")).select("bucket", F.col("label").alias("centre_label"))
-            pairs = held.join(centre, "bucket").where("label <> centre_label").select(F.col("class").alias("a"), F.col("centre").alias("b")).distinct()
+            pairs = placed.join(mixed, "bucket").where("label <> centre_label").select(F.col("class").alias("a"), F.col("centre").alias("b")).distinct()
             pairs = described(pairs)
         else:
             # Only members outside their bucket's largest component are held against all of it.
             per = placed.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
             slices = mixed.select("bucket", F.ceil(F.col("size") / SLICE_MEMBERS).alias("slices"))
-            full = placed.join(slices, "bucket").join(per, "bucket").join(info, "class").select("bucket", "class", "label", "main", "n", "sketch", "bands", "slices")
+            full = area.save(placed.join(slices, "bucket").join(per, "bucket").join(info, "class").select("bucket", "class", "label", "main", "n", "sketch", "bands", "slices"), f"full-{turn}")
             x = full.withColumn("slice", F.pmod(F.xxhash64("class"), F.col("slices"))).alias("x")
             y = full.where("label <> main").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))).alias("y")
             shared = F.filter(F.zip_with("x.bands", "y.bands", lambda p, q: F.when(p == q, p)), lambda p: p.isNotNull())
             cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.slice") == F.col("y.slice")) & (F.col("x.label") != F.col("y.label")) & _possible("x.", "y.", percent) & (F.element_at(shared, 1) == F.col("x.bucket"))
             pairs = x.join(y, cond).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+            pairs = pairs.join(tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
         pairs = area.save(pairs, f"pairs-{turn}")
+        area.drop(f"placed-{turn}", f"mixed-{turn}", f"full-{turn}")
         if pairs.isEmpty() and turn:
             if turn < STARS:
                 continue

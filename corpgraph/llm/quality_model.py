@@ -8,7 +8,7 @@ and of its share of distinct words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.llm import batches
-from corpgraph.llm.work import releasing
+from corpgraph.llm.work import release, releasing
 
 BUCKETS = 1 << 18
 #: The sample that the model is fitted on: labelled rows by the least hashes of their ids, so many and so many bytes of text at most.
@@ -66,11 +66,19 @@ def _featured(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("grade"), pa.array([numbers[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary())], ["grade", "features"])
 
 
+def _rows_with(features: Iterable[np.ndarray]) -> np.ndarray:
+    """How many rows have each feature; a row's features are distinct. Row by row, as the driver has little room."""
+    out = np.zeros(BUCKETS, np.int64)
+    for x in features:
+        out[x] += 1
+    return out
+
+
 def fit_rows(rows: list[tuple[int, np.ndarray]], grades: int, seed: int = 5) -> OrdinalModel:
     """Fits on (grade, feature numbers) by AdaGrad on the likelihood."""
     y = np.array([g for g, _ in rows], np.int64)
-    seen = np.bincount(np.concatenate([x for _, x in rows]), minlength=BUCKETS).astype(np.float64)
-    low = np.bincount(np.concatenate([x for g, x in rows if g < grades - 1] or [rows[0][1][:0]]), minlength=BUCKETS)
+    seen = _rows_with(x for _, x in rows).astype(np.float64)
+    low = _rows_with(x for g, x in rows if g < grades - 1)
     rate = min(max(float((y < grades - 1).mean()), 1e-6), 1 - 1e-6)
     chi2 = (low - seen * rate) ** 2 / np.maximum(seen * rate * (1 - rate) * (1 - seen / (len(y) + 1)), 1e-9)
     useful = (seen >= LEAST_ROWS) & (chi2 >= LEAST_CHI2)
@@ -130,9 +138,12 @@ def fit(docs: DataFrame, grades: DataFrame, *, id_col: str = "doc_id", text_col:
         found = found.where((F.xxhash64("doc_id") < last.h) | ((F.xxhash64("doc_id") == last.h) & (F.col("doc_id") < last.doc_id)))
     rows = found.select("grade", "text").mapInArrow(releasing(_featured), "grade int, features binary").collect()
     sample = sorted((r.grade, bytes(r.features)) for r in rows)
-    if len({g for g, _ in sample}) < 2:
-        return None
-    return fit_rows([(g, np.frombuffer(x, np.int32)) for g, x in sample], levels)
+    del rows
+    model = fit_rows([(g, np.frombuffer(x, np.int32)) for g, x in sample], levels) if len({g for g, _ in sample}) > 1 else None
+    del sample
+    # The driver's Python shares one budget with its JVM, also in the stages that follow.
+    release()
+    return model
 
 
 SCORES = [("expected_grade", "double"), ("tail_probability", "double"), ("kept", "boolean")]

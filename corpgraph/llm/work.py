@@ -62,6 +62,14 @@ def left_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight: st
     return found.where("_hot").drop("_hot").unionByName(rows.join(F.broadcast(hot.select(*keys)), list(keys), "left_anti").join(cold, list(keys), "left"))
 
 
+def release() -> None:
+    """Gives memory that this process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def releasing(run: Callable, **options) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run(rows, **options)`` for mapInArrow; at the task's end the worker gives freed memory back to the system.
 
@@ -72,9 +80,6 @@ def releasing(run: Callable, **options) -> Callable[[Iterator[pa.RecordBatch]],
         try:
             yield from run(rows, **options)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            release()
 
     return task

@@ -112,3 +112,16 @@ def test_last_turn_finds_links_that_stars_miss(spark, monkeypatch):
     docs = corpus()
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df).collect()} == brute(docs, 5, 80)
+
+
+def test_plans_of_the_turns_stay_small(spark):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    near_dedup.near_duplicates(docs, width=4)
+    run = store.executionsList(before, 1000)
+    plans = [run.apply(i).physicalPlanDescription() for i in range(run.size())]
+    turns = [p.split("== Initial Plan ==")[-1].split("\n\n")[0] for p in plans if re.search(r"Arguments: \S*/near-dedup-\w+/pairs-\d", p)]
+    scans = [p.count("Scan parquet") for p in turns]
+    # The driver holds a plan with all its tasks and broadcasts; a turn's plan reads tables and doesn't make them again.
+    assert len(scans) > 1 and max(scans) <= 6, scans

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 
@@ -109,3 +110,23 @@ def test_sample_is_bounded_in_bytes(spark):
     grades = spark.createDataFrame([(i, g) for i, _, g in rows], "doc_id long, grade int")
     few, same = q.fit(docs, grades, most_bytes=20_000), q.fit(docs.repartition(5), grades, most_bytes=20_000)
     assert np.array_equal(few.weights, same.weights) and not np.array_equal(few.weights, q.fit(docs, grades).weights)
+
+
+def test_fit_needs_little_beside_its_rows():
+    rng = np.random.default_rng(3)
+    # Distinct features of each row, as features() gives them.
+    rows = [(i % 3, (rng.permutation(q.BUCKETS // 64)[:2000] * 64 + i % 64).astype(np.int32)) for i in range(4000)]
+    size = sum(x.nbytes for _, x in rows)
+    tracemalloc.start()
+    q.fit_rows(rows, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * size, (peak, size)
+
+
+def test_fit_releases_the_drivers_memory(spark, monkeypatch):
+    released = []
+    monkeypatch.setattr(q, "release", lambda: released.append(True))
+    docs = spark.createDataFrame([(i, f"w{i}") for i in range(8)], "doc_id long, text string")
+    q.fit(docs, spark.createDataFrame([(i, i % 3) for i in range(8)], "doc_id long, grade int"))
+    assert released
