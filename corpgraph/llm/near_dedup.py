@@ -14,10 +14,17 @@
 * In a band's bucket, members are first held only against one centre (a star), so
   a bucket of n copies costs n checks; the centre is the member that shares most
   buckets, as the original of many copies does. Whoever is still outside the largest
-  component of its bucket is then held against all members of other components, behind
-  the bitmaps and once for each pair (in the first bucket that it shares), so that no
-  link that joins two components is missed. A bucket's members are cut into slices for
-  that, and each slice meets those few.
+  component of its bucket must still meet the members of other components, so that no
+  link that joins two components is missed: in a small bucket all of them, behind the
+  bitmaps and once for each pair (in the first bucket that it shares).
+* In a larger bucket only those that differ alike from a member of that component, the
+  centre. Let D(x) be the symmetric difference of x and the centre. Then |x ^ y| is
+  |D(x)| + |D(y)| - 2 |D(x) & D(y)|, and as x does not link with the centre, every y that
+  links with x shares elements of D(x), a known number of them or more. Elements are
+  ordered by their number in a sample of the bucket, rare ones first; of each D a prefix
+  long enough to hold one of that many is joined by element, and a pair goes on if what
+  follows its element can still make up the number. The order changes the cost, and
+  neither it nor the sample the pairs that link.
 
 Everything up to the last step goes by classes of equal sets, numbered when their
 table is written; documents come in again with the components' smallest doc_id.
@@ -42,8 +49,10 @@ FULL_WORDS = 16
 #: XOR population count up to which a pair is confirmed on full sets: similarity 0.5 as the sketch estimates it.
 MOST_ODD = int(SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** SAMPLES) / 2)
 STARS = 2
-#: Members of a bucket's slice in the last turn.
-SLICE_MEMBERS = 64
+#: Members of a bucket up to which all of them are met in the last turn; beyond it, those that differ alike from a centre.
+SLICE_MEMBERS = 256
+#: Members of a centre, about, whose elements are counted to order them.
+COUNTED_MEMBERS = 64
 _rng = np.random.default_rng(7_2024)
 _XOR = _rng.integers(0, 2**32, SAMPLES, dtype=np.uint32)[:, None]
 _MUL = (_rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -128,6 +137,14 @@ def _confirm(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+def _full_sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, area: WorkArea, name: str, width: int) -> DataFrame:
+    """class, members: the full sets of the classes ``needed``, one row each."""
+    of = area.save(classes.join(needed, "class", "left_semi").select("class", "d1", "d2", "rep"), f"{name}-of")
+    texts = docs.join(of.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    sets = texts.mapInArrow(releasing(_sets, width=width), "d1 long, d2 long, members binary").dropDuplicates(["d1", "d2"])
+    return area.save(sets.join(of.select("d1", "d2", "class"), ["d1", "d2"]).select("class", "members"), f"{name}-sets")
+
+
 def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, area: WorkArea, name: str, width: int, percent: int) -> DataFrame:
     """Those (a, b) of ``pairs`` of classes whose full sets are similar enough; b is the centre in a star.
 
@@ -135,10 +152,7 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, area: Work
     them, so that only its own row is shuffled, whatever the number of its pairs.
     """
     needed = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    of = area.save(classes.join(needed, "class", "left_semi").select("class", "d1", "d2", "rep"), f"{name}-of")
-    texts = docs.join(of.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    sets = texts.mapInArrow(releasing(_sets, width=width), "d1 long, d2 long, members binary").dropDuplicates(["d1", "d2"])
-    members = area.save(sets.join(of.select("d1", "d2", "class"), ["d1", "d2"]).select("class", "members"), f"{name}-sets")
+    members = _full_sets(docs, classes, needed, area, name, width)
     left = members.select(F.col("class").alias("a"), F.col("members").alias("left_members"))
     right = members.select(F.col("class").alias("b"), F.col("members").alias("right_members"))
     links = area.save(pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(releasing(_confirm, percent=percent), "a long, b long"), f"{name}-links")
@@ -146,6 +160,94 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, area: Work
     return links
 
 
+def _counts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Elements that two or more of a centre's counted sets hold, with their numbers, and the number of sets."""
+    for batch in rows:
+        made = []
+        for sets in batch.column("counted"):
+            values, n = np.unique(np.concatenate([np.frombuffer(m.as_buffer(), np.uint64) for m in sets.values]), return_counts=True)
+            made.append((values[n > 1].tobytes(), n[n > 1].astype(np.int64).tobytes(), len(sets.values)))
+        yield pa.RecordBatch.from_arrays([batch.column("b"), *(pa.array([m[i] for m in made], t) for i, t in enumerate((pa.binary(), pa.binary(), pa.int64())))], ["b", "values", "numbers", "counted"])
+
+
+DIFFERENCES = "a long, b long, label long, n long, d long, e long, link boolean, asked array<long>, listed array<long>"
+
+
+def _difference(x: np.ndarray, centre: np.ndarray, values: np.ndarray, numbers: np.ndarray, counted: int) -> np.ndarray:
+    """Elements of one of two sets, those that few differences of the counted sets hold first."""
+    both = np.concatenate([x, centre])
+    both.sort()
+    twice = np.append(False, both[1:] == both[:-1])
+    out = both[~(twice | np.append(twice[1:], False))]
+    if not len(values):
+        return out
+    at = np.minimum(np.searchsorted(values, out), len(values) - 1)
+    held = np.where(values[at] == out, numbers[at], 0)
+    lost = centre[np.minimum(np.searchsorted(centre, out), len(centre) - 1)] == out
+    return out[np.argsort(np.where(lost, counted - held, held), kind="stable")]
+
+
+def prefixes(n: int, d: int, centre: int, percent: int) -> tuple[int, int, int]:
+    """e of a set of ``n`` elements, ``d`` of them and the centre's apart, and the lengths of the prefixes that it asks for and is listed by.
+
+    Sets x, y link when 2 * (100 + percent) * |D(x) & D(y)| >= e(x) + e(y). No e is less
+    than -(100 - percent) * |centre|, and e is above (100 - percent) * |centre| where a
+    set does not link with the centre, as whoever asks. Of linked sets none lacks more
+    than (100 - percent) / percent of its own size.
+    """
+    p, q = 100 + percent, 100 - percent
+    e, most = p * d - q * n, q * n // percent + 1
+    asks, lists = (max(1, -(-need // (2 * p))) for need in (e - q * centre, e + q * centre + 1))
+    return e, max(0, min(d - asks + 1, most)), max(0, min(d - lists + 1, most))
+
+
+def _differences(rows: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in rows:
+        made, asked, listed = [], [], []
+        for r in zip(*(batch.column(k) for k in ("left_members", "right_members", "values", "numbers")), batch.column("counted").to_pylist(), batch.column("outside").to_pylist(), strict=True):
+            x, c, values = (np.frombuffer(v.as_buffer(), np.uint64) if v.is_valid else np.zeros(0, np.uint64) for v in r[:3])
+            numbers = np.frombuffer(r[3].as_buffer(), np.int64) if r[3].is_valid else np.zeros(0, np.int64)
+            diff = _difference(x, c, values, numbers, r[4] or 0)
+            e, asks, lists = prefixes(len(x), len(diff), len(c), percent)
+            like = e <= (100 - percent) * len(c)
+            made.append((len(x), len(diff), e, r[5] and like))
+            asked.append(diff[:asks] if r[5] and not like else None)
+            listed.append(diff[:lists])
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(k) for k in ("a", "b", "label")), *(pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_()))), _lists(asked), _lists(listed)],
+            ["a", "b", "label", "n", "d", "e", "link", "asked", "listed"],
+        )
+
+
+def _alike_apart(docs: DataFrame, classes: DataFrame, placed: DataFrame, area: WorkArea, name: str, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of different labels that share a bucket of ``placed`` (bucket, class, label, main, shares) and may link.
+
+    Where a class links with its bucket's centre, that pair stands for all its pairs with
+    others that do, or that are in the centre's component. A pair may come several times.
+    """
+    centres = placed.where("label = main").groupBy("bucket").agg(F.max_by("class", F.struct("shares", "class")).alias("b"))
+    around = area.save(placed.join(centres, "bucket").where("class <> b").select(F.col("class").alias("a"), "b", "label", (F.col("label") != F.col("main")).alias("outside")).distinct(), f"{name}-around")
+    needed = around.select(F.col("a").alias("class")).union(around.select(F.col("b").alias("class"))).distinct()
+    members = _full_sets(docs, classes, needed, area, name, width)
+    left = members.select(F.col("class").alias("a"), F.col("members").alias("left_members"))
+    right = members.select(F.col("class").alias("b"), F.col("members").alias("right_members"))
+    parts = around.groupBy("b").agg(F.ceil(F.count("*") / COUNTED_MEMBERS).alias("of"))
+    some = around.join(parts, "b").where("pmod(xxhash64(a), of) = 0").select("a", "b").join(left, "a")
+    counts = some.groupBy("b").agg(F.collect_list("left_members").alias("counted")).mapInArrow(releasing(_counts), "b long, values binary, numbers binary, counted long")
+    right = area.save(right.join(around.select("b").distinct(), "b", "left_semi").join(counts, "b", "left"), f"{name}-centres")
+    rows = area.save(around.join(left, "a").join(right, "b").mapInArrow(releasing(_differences, percent=percent), DIFFERENCES), f"{name}-differences")
+
+    def elements(side: str, prefixes: str) -> DataFrame:
+        one = rows.select("b", F.col("a").alias(f"{side}_class"), *(F.col(k).alias(f"{side}_{k}") for k in ("label", "n", "d", "e")), F.posexplode(prefixes).alias("at", "element"))
+        return one.withColumn(f"{side}_left", F.col(f"{side}_d") - F.col("at")).drop("at", f"{side}_d")
+
+    able = (F.col("x_label") != F.col("y_label")) & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+    able &= 2 * (100 + percent) * F.least("x_left", "y_left") >= F.col("x_e") + F.col("y_e")
+    met = elements("x", "asked").join(elements("y", "listed"), ["b", "element"]).where(able).select(F.col("x_class").alias("a"), F.col("y_class").alias("b"))
+    found = met.union(rows.where("link").select("a", "b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def components(links: DataFrame, area: WorkArea, name: str) -> DataFrame:
     """node, label: the smallest node of each node's connected component, for all nodes of ``links`` (a, b).
 
@@ -238,19 +340,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             pairs = placed.join(mixed, "bucket").where("label <> centre_label").select(F.col("class").alias("a"), F.col("centre").alias("b")).distinct()
             pairs = described(pairs)
         else:
-            # Only members outside their bucket's largest component are held against all of it.
+            # Only members outside their bucket's largest component are held against others.
             per = placed.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-            slices = mixed.select("bucket", F.ceil(F.col("size") / SLICE_MEMBERS).alias("slices"))
-            full = area.save(placed.join(slices, "bucket").join(per, "bucket").join(info, "class").select("bucket", "class", "label", "main", "n", "sketch", "bands", "slices"), f"full-{turn}")
-            x = full.withColumn("slice", F.pmod(F.xxhash64("class"), F.col("slices"))).alias("x")
-            y = full.where("label <> main").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1))).alias("y")
+            full = area.save(placed.join(mixed.select("bucket", "size"), "bucket").join(per, "bucket").select("bucket", "class", "shares", "label", "main", "size"), f"full-{turn}")
+            x = full.where(F.col("size") <= SLICE_MEMBERS).join(info, "class").alias("x")
+            y = x.where("label <> main").alias("y")
             shared = F.filter(F.zip_with("x.bands", "y.bands", lambda p, q: F.when(p == q, p)), lambda p: p.isNotNull())
-            cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.slice") == F.col("y.slice")) & (F.col("x.label") != F.col("y.label")) & _possible("x.", "y.", percent) & (F.element_at(shared, 1) == F.col("x.bucket"))
-            pairs = x.join(y, cond).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+            cond = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & _possible("x.", "y.", percent) & (F.element_at(shared, 1) == F.col("x.bucket"))
+            pairs = x.join(y, cond).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
+            large = full.where(F.col("size") > SLICE_MEMBERS)
+            if not large.isEmpty():
+                pairs = pairs.union(area.save(described(_alike_apart(texts, classes, large, area, f"apart-{turn}", width, percent).distinct()), f"apart-{turn}"))
+                area.drop(*(f"apart-{turn}-{k}" for k in ("around", "of", "sets", "centres", "differences")))
+            pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
         pairs = area.save(pairs, f"pairs-{turn}")
-        area.drop(f"placed-{turn}", f"mixed-{turn}", f"full-{turn}")
+        area.drop(f"placed-{turn}", f"mixed-{turn}", f"full-{turn}", f"apart-{turn}")
         if pairs.isEmpty() and turn:
             if turn < STARS:
                 continue

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from corpgraph.llm import near_dedup
@@ -125,3 +126,81 @@ def test_plans_of_the_turns_stay_small(spark):
     scans = [p.count("Scan parquet") for p in turns]
     # The driver holds a plan with all its tasks and broadcasts; a turn's plan reads tables and doesn't make them again.
     assert len(scans) > 1 and max(scans) <= 6, scans
+
+
+def edited(r, base, most):
+    copy = list(base)
+    for _ in range(r.randint(0, most)):
+        copy[r.randrange(len(copy))] = f"r{r.randrange(10**6)}"
+    return copy
+
+
+def test_large_group_of_which_many_are_unlike_its_centre(spark, monkeypatch):
+    """Copies that link with no centre but with one another: edited alike, cut alike, with a passage of their own."""
+    monkeypatch.setattr(near_dedup, "SLICE_MEMBERS", 20)
+    r = random.Random(3)
+    base = [f"b{i}" for i in range(150)]
+    docs = [edited(r, base, 9) for _ in range(250)]
+    for k in range(12):  # pairs that share edits enough to link, most of them away from the others
+        one = edited(r, edited(r, base, 9), 9)
+        docs += [one, edited(r, one, 2)]
+    docs += [base[: 150 - k] for k in range(0, 60, 4)] + [base[: 60 + k] + [f"p{i}" for i in range(40)] + edited(r, base, 3)[60 + k :] for k in range(0, 40, 4)]
+    r.shuffle(docs)
+    rows = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    expected = brute(rows, 4, 80)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for stars in (0, near_dedup.STARS):
+        monkeypatch.setattr(near_dedup, "STARS", stars)
+        assert {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.near_duplicates(df, width=4).collect()} == expected
+
+
+def test_prefixes_meet_for_every_link():
+    r = np.random.default_rng(2)
+    asked = met = 0
+    for percent, size in ((80, 60), (80, 147), (90, 200)):
+        centre = np.arange(1, size + 1, dtype=np.uint64)
+        sets = []
+        for _ in range(60):
+            keep = centre[r.random(size) > r.choice([0.02, 0.1, 0.2])][: r.integers(size // 2, size + 1)]
+            sets.append(np.union1d(keep, r.integers(1000, 1000 + r.choice([20, 2000]), r.integers(0, size // 3)).astype(np.uint64)))
+        for one in list(sets):
+            sets += [one[r.random(len(one)) > 0.05], one[: len(one) * 9 // 10]]
+        values, numbers = np.unique(np.concatenate(sets[:20]), return_counts=True)
+        diffs = [near_dedup._difference(s, centre, values[numbers > 1], numbers[numbers > 1], 20) for s in sets]
+        limits = [near_dedup.prefixes(len(s), len(d), size, percent) for s, d in zip(sets, diffs, strict=True)]
+        for x, dx, (ex, asks, _) in zip(sets, diffs, limits, strict=True):
+            assert set(dx.tolist()) == set(x.tolist()) ^ set(centre.tolist())
+            if 100 * len(np.intersect1d(x, centre)) >= percent * len(np.union1d(x, centre)):
+                continue
+            places = {v: len(dx) - i for i, v in enumerate(dx[:asks].tolist())}
+            for y, dy, (ey, _, lists) in zip(sets, diffs, limits, strict=True):
+                asked += 1
+                if 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y)):
+                    met += 1
+                    assert any(2 * (100 + percent) * min(places[v], len(dy) - i) >= ex + ey for i, v in enumerate(dy[:lists].tolist()) if v in places)
+    assert 500 < met < asked / 4
+
+
+def test_rows_made_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SLICE_MEMBERS", 16)
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def made(n):
+        r = random.Random(1)
+        base = [f"b{i}" for i in range(150)]
+        before = store.executionsCount()
+        near_dedup.near_duplicates(spark.createDataFrame([(i, " ".join(edited(r, base, 8))) for i in range(n)], "doc_id long, text string"), width=4)
+        run, rows = store.executionsList(before, 1000), {}
+        for i in range(run.size()):
+            at = run.apply(i).executionId()
+            nodes, values = store.planGraph(at).allNodes(), store.executionMetrics(at)
+            for node in (nodes.apply(k) for k in range(nodes.size())):
+                for m in (node.metrics().apply(k) for k in range(node.metrics().size())):
+                    if re.search("Generate|Arrow", node.name()) and m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                        key = re.sub(r"#\d+L?", "", node.desc())
+                        rows[key] = rows.get(key, 0) + int(values.apply(m.accumulatorId()).replace(",", ""))
+        return rows
+
+    few, many = made(600), made(1800)
+    grown = {k: (few.get(k, 0), v) for k, v in many.items() if v > max(8000, 5 * few.get(k, 0))}
+    assert len(many) > 5 and not grown, grown
