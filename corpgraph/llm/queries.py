@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpgraph.llm import bpe, chat, exact_dedup, lm, mixing, near_dedup, quality_model, quality_rules, token_store, url_filter
+from corpgraph.llm import align, bpe, chat, divergence, exact_dedup, lm, mixing, near_dedup, quality_model, quality_rules, token_store, url_filter, warc
 from corpgraph.llm.work import WorkArea
 
 #: Host and path rules of op1, and the hosts whose pages are listed one by one.
@@ -64,7 +64,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), full=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_output, op3_exact_dedup, op4_near_dedup, op5_quality_model, op6_quality_rules, op7_lm_scores, op8_chat_repair, op9_mixing, op10_bpe)}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), full=False)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), least_docs=3, top_terms=200)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = WorkArea(spark, "op13").path
+    warc.write_warc(_table(spark, sf_dir, "pages"), archive, least_bytes=0)
+    return warc.read_warc(spark, archive, full=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_ALL = (op1_url_filter, op2_token_output, op3_exact_dedup, op4_near_dedup, op5_quality_model, op6_quality_rules, op7_lm_scores, op8_chat_repair, op9_mixing, op10_bpe, op11_token_alignment, op12_source_divergence, op13_warc)
+QUERIES = {f.__name__: f for f in _ALL}
 
 _RULES = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in URL_RULES)
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -96,6 +111,30 @@ m AS (SELECT node, min(label) AS label FROM r GROUP BY 1)
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, label AS component_id, doc_id = label AS kept FROM s JOIN m ON node = doc_id""",
 }
 
+_TERMS = f"regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '{divergence.TERM}')"
+ORACLES["op12_source_divergence"] = f"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS ts FROM documents),
+o AS (SELECT doc, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS all_n FROM o GROUP BY 1, 2 HAVING count(DISTINCT doc) >= 3),
+c AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(all_n)::HUGEINT AS total FROM k GROUP BY 1),
+s AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(s.total, 0) + l.v) AS p, 1 + (1000000000::HUGEINT * (k.all_n + 1)) // (l.total + l.v) AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN s USING (lang, source) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r) WHERE part = 'pair' OR rank <= 200"""
+_BITS = "array_to_string(list_transform(string_split(sha1(html), ''), lambda x: right(bin(strpos('123456789abcdef', x) + 16), 4)), '')"
+_BASE32 = "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(0, 5), lambda j: CASE WHEN substr(bits, 5 * i + j + 1, 1) = '1' THEN CAST(pow(2, 4 - j) AS BIGINT) ELSE 0 END))::BIGINT, 1)), '')"
+ORACLES["op13_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS keep FROM p GROUP BY 1),
+b AS (SELECT page_id, strlen(html) AS payload_bytes, keep, {_BITS} AS bits FROM p JOIN g USING (html))
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> keep THEN keep END AS refers_to FROM b"""
+
 
 def _rules_sql() -> str:
     """SQL of op6: words, lines and n-grams one row each."""
