@@ -11,9 +11,10 @@ How often each pair of ids is linked is counted over the whole corpus. Tasks hol
 counts of at most ``TABLE_PAIRS`` pairs, the most frequent; those of rarer pairs are joined.
 
 Texts are cut where neither tokenizer has a token that spans the cut: at a space
-between two characters that aren't white space. Pieces are encoded once and kept in
-tables of bounded size. Where a piece's tokens don't give back its bytes, the
-text is encoded whole by both libraries.
+between two characters that aren't white space. Words of texts with single spaces and line
+ends are hashed and looked up in numpy (``PairTable``), other texts piece by piece. Tables
+are bounded; that of words lives as long as its Python worker. Where a word's
+tokens don't give back its bytes, the text is encoded whole by both libraries.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpgraph.llm.bpe import PIECES, ChunkEncoder, Generations, text_slices
+from corpgraph.llm import batches
+from corpgraph.llm.bpe import ChunkEncoder, Generations
+from corpgraph.llm.word_table import SLOTS, WordTable
 from corpgraph.llm.work import WorkArea, releasing
 
 #: Id pairs whose counts a task holds (some 17 bytes each).
 TABLE_PAIRS = 2_000_000
-#: Characters of a piece that is kept in the tables; longer ones are encoded each time.
-LONGEST_PIECE = 200
+#: Pieces of texts with other white space that are kept, each generation; characters of a piece that is kept.
+PIECES, LONGEST_PIECE = 20_000, 200
 _MARK = "▁"
 
 
@@ -117,7 +120,7 @@ class Pair:
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         #: No piece of b has a space inside, and a cuts by the usual pattern: then a safe place of a is one of b.
         self.separable = before.get("use_regex", True) and not any(_MARK in p.lstrip(_MARK) for p in names)
-        self.b_pieces = Generations(PIECES)
+        self.a.pieces, self.b_pieces = Generations(PIECES), Generations(PIECES)
         self.strings = np.array([str(i).encode() + end for side, ends in ((self.a_bytes, b",|"), (self.b_bytes, b",;")) for end in (ends[:1], ends[1:]) for i in range(len(side))], object)
 
     def whole(self, text: str) -> tuple[bytes, bytes] | None:
@@ -129,36 +132,141 @@ class Pair:
             return None
         return np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of both sides of each text as little-endian unsigned 32-bit integers; None: the text has no tokens."""
-        if not self.separable:
-            return [self.whole(t) if t else None for t in texts]
-        cuts = [self.a.cut(" " + t) if t else [] for t in texts]
-        need = set().union(*cuts)
-        self.a.learn(self.a.pieces.missing(need))
-        new = self.b_pieces.missing(need)
-        a, b = self.a.pieces, self.b_pieces
-        for p, ids in zip(new, self.b.encode(new, num_threads=1) if new else [], strict=True):
-            raw, there = (" " + p).encode(), np.frombuffer(a[p], "<u4").tolist()
-            same = b"".join(map(self.b_bytes.__getitem__, ids)) == raw and b"".join(map(self.a_bytes.__getitem__, there)) == raw
-            b[p] = np.array(ids, "<u4").tobytes() if same else None
-        bad = {p for p in need if b[p] is None}
-        out = []
-        for t, c in zip(texts, cuts, strict=True):
-            if not t:
-                out.append(None)
-            elif bad and not bad.isdisjoint(c):
-                out.append(self.whole(t))
-            else:
-                out.append((b"".join(map(a.__getitem__, c)), b"".join(map(b.__getitem__, c))))
-        for p in need:
+    def learn(self, pieces: list[str]) -> tuple[list[bytes], list[bytes], np.ndarray]:
+        """Ids of both sides of pieces, which stand for themselves with a space before them but for those that open with a 0 byte; and whether their bytes come back."""
+        held, self.a.pieces = self.a.pieces, Generations(1 << 62)
+        self.a.learn(pieces)
+        a, self.a.pieces = [self.a.pieces[p] for p in pieces], held
+        after_line = [p[:1] == "\0" for p in pieces]
+        # The model adds a space before every text: behind a line end it is out of the way.
+        b = [ids[2:] if bare else ids for ids, bare in zip(self.b.encode(["\n" + p[1:] if bare else p for p, bare in zip(pieces, after_line, strict=True)], num_threads=1), after_line, strict=True)]
+        raw = [p[1:].encode() if bare else (" " + p).encode() for p, bare in zip(pieces, after_line, strict=True)]
+        want = np.fromiter(map(len, raw), np.int64, len(raw))
+        good, joined = np.ones(len(pieces), bool), b"".join(raw)
+        sides = (([np.frombuffer(x, "<u4") for x in a], self.a_bytes, self.a_size), ([np.array(x, np.int64) for x in b], self.b_bytes, self.b_size))
+        for ids, names, sizes in sides:
+            flat = np.concatenate([np.zeros(0, np.int64), *ids])
+            upto = np.append(0, np.cumsum(sizes[flat.astype(np.int64)]))
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            good &= np.diff(np.append(0, upto[ends])) == want
+            if b"".join(map(names.__getitem__, flat.astype(np.int64).tolist())) != joined:
+                good &= np.array([b"".join(map(names.__getitem__, x.tolist())) == r for x, r in zip(ids, raw, strict=True)], bool)
+        return a, [np.array(x, "<u4").tobytes() for x in b], good
+
+    def encode(self, text: str) -> tuple[bytes, bytes] | None:
+        """Ids of both sides as little-endian unsigned 32-bit integers; None: the text has no tokens."""
+        if not text:
+            return None
+        if not self.separable or "\0" in text:
+            return self.whole(text)
+        a, b, cut = self.a.pieces, self.b_pieces, self.a.cut(" " + text)
+        unseen = b.missing(cut)
+        if unseen:
+            for p, x, y, good in zip(unseen, *self.learn(unseen), strict=True):
+                a[p], b[p] = x, y if good else None
+        a.missing(cut)
+        out = self.whole(text) if any(b[p] is None for p in set(cut)) else (b"".join(map(a.__getitem__, cut)), b"".join(map(b.__getitem__, cut)))
+        for p in unseen:
             if len(p) > LONGEST_PIECE:
                 del a[p], b[p]
-        a.trim()
-        b.trim()
+        if len(b) > b.most:  # both hold the same pieces and turn over together
+            a.most = len(a) - 1
+            a.trim()
+            b.trim()
         return out
 
 
+class PairTable(WordTable):
+    """Word hashes to the ids of both sides: a's, then b's."""
+
+    def __init__(self, both: Pair):
+        super().__init__(both.a)
+        self.both = both
+        sp, marks = both.b, ".,;:!?"
+        letters = [c for c in map(chr, range(128)) if c.isalpha()]
+        apart = {sp.id_to_piece(i) for i in range(sp.get_piece_size())}
+        #: A mark after a letter, and a line end, are tokens of their own in b too.
+        self.usual = self.usual and both.separable and len(sp.encode("\n")) == 2 and not any(x + m in p for p in apart for m in marks for x in letters if m in p)
+        self.newlines = (self.newline[:1], np.array(sp.encode("\n")[1:2], np.uint32))
+        b_tails = np.zeros(256, np.uint32)
+        for m in marks:
+            b_tails[ord(m)] = sp.encode("a" + m)[-1]
+        self.both_tails = (self.tails, b_tails)
+
+    def clear(self) -> None:
+        super().clear()
+        self.a_ids = np.zeros(SLOTS, np.uint16)
+
+    def pair(self, raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each side all ids of a slice of texts, and the number of each text's."""
+        if not self.usual:
+            return self._joined([], [], np.ones(len(offsets) - 1, bool), raw, offsets)
+        w = batches.Words(raw, offsets, lower=False)
+        odd = self._odd(raw, offsets, w)
+        rows = w.rows()
+        good = ~odd[rows]
+        start, end = w.start[good], w.end[good]
+        first = np.zeros(len(w.start), bool)
+        first[w.first[:-1][w.count > 0]] = True
+        bare = ((raw[np.maximum(w.start - 1, 0)] == 10) & ~first)[good]
+        tail = self._tail(raw, start, end)
+        end = end - (tail > 0)
+        key = batches.mix(w.hashes(start, end) + bare.astype(np.uint64)) | np.uint64(1)
+        if self.entries > SLOTS // 2 or max(self.used, self.named) > 1 << 30:
+            self.clear()
+        distinct, where, which = np.unique(key, return_index=True, return_inverse=True)
+        slot = self.find(distinct)
+        unseen = np.flatnonzero(slot < 0)
+        if len(unseen):
+            data, pick = raw.tobytes(), where[unseen]
+            names = [b"\0" * b + data[s:e] for s, e, b in zip(start[pick].tolist(), end[pick].tolist(), bare[pick].tolist(), strict=True)]
+            a, b, fits = self.both.learn([n.decode("utf-8", "surrogatepass") for n in names])
+            # A word whose bytes don't come back has no ids, which is told by its size.
+            values = [x + y if f else b"" for x, y, f in zip(a, b, fits.tolist(), strict=True)]
+            self.put(distinct[unseen], values, names)
+            slot[unseen] = self.find(distinct[unseen])
+            self.a_ids[slot[unseen]] = np.where(fits, np.fromiter(map(len, a), np.int64, len(a)) // 4, 0)
+        lost = self._clashes(raw, start, end, bare, slot[which]) | (self.size[slot] == 0)[which]
+        odd[rows[good][lost]] = True
+        line, close, text = bare.astype(np.int64), (tail > 0).astype(np.int64), rows[good]
+        at, size, a_ids = (x[slot][which].astype(np.int64) for x in (self.at, self.size, self.a_ids))
+        ids, counts = [], []
+        for k, (begin, n) in enumerate(((at, a_ids), (at + a_ids, size - a_ids))):
+            # A line end's own id goes before the word that follows it, a mark's after its word.
+            total = n + line + close
+            ends = np.cumsum(total)
+            out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+            out[(ends - total)[line > 0]] = self.newlines[k][0]
+            out[ends[tail > 0] - 1] = self.both_tails[k][tail[tail > 0]]
+            from_ = ends - total + line
+            place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            out[np.repeat(from_, n) + place] = self.pool[np.repeat(begin, n) + place]
+            ids.append(out)
+            counts.append(np.bincount(text, weights=total, minlength=len(offsets) - 1).astype(np.int64))
+        return self._joined(ids, counts, odd, raw, offsets)
+
+    def _joined(self, ids: list, counts: list, odd: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Puts in the texts that are encoded one by one."""
+        counts = counts or [np.zeros(len(odd), np.int64)] * 2
+        parts = [np.split(x, np.cumsum(n)[:-1]) for x, n in zip(ids, counts, strict=True)] if ids and odd.any() else [[np.zeros(0, np.uint32)] * len(odd)] * 2
+        if not odd.any():
+            return list(zip(ids, counts, strict=True))
+        parts, counts = [list(p) for p in parts], [n.copy() for n in counts]
+        for i in np.flatnonzero(odd):
+            got = self.both.encode(raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "surrogatepass")) or (b"", b"")
+            for k in (0, 1):
+                parts[k][i] = np.frombuffer(got[k], "<u4")
+                counts[k][i] = len(parts[k][i])
+        return [(np.concatenate(p), n) for p, n in zip(parts, counts, strict=True)]
+
+    @staticmethod
+    def _tail(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """One punctuation mark after an ASCII letter, by which words are looked up without it."""
+        last, before = raw[end - 1], raw[np.maximum(end - 2, 0)] | 32
+        marks = np.isin(last, np.frombuffer(b".,;:!?", np.uint8))
+        return np.where(marks & (end - start > 1) & (before >= 97) & (before <= 122), last, 0)
+
+
 def _byte_names() -> dict[int, str]:
     """The character that stands for each byte in byte-level vocabularies: itself where printable, else the next free one from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -166,15 +274,21 @@ def _byte_names() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+#: Word tables of this Python worker; of bounded size, they outlive tasks, as learning the words again costs more than the tokens.
+_tables: dict[tuple[str, str], PairTable] = {}
+
+
 def _align(rows: Iterator[pa.RecordBatch], a_path: str, b_path: str, full: bool) -> Iterator[pa.RecordBatch]:
-    # Tables live as long as the task.
-    both = Pair(a_path, b_path)
+    if (a_path, b_path) not in _tables:
+        _tables[a_path, b_path] = PairTable(Pair(a_path, b_path))
+    table = _tables[a_path, b_path]
+    both = table.both
     n_a_ids, n_b_ids = len(both.a_bytes), len(both.b_bytes)
     for batch in rows:
-        for part, texts in text_slices(batch):
-            made = [x or (b"", b"") for x in both.encode(texts)]
-            flat = [np.frombuffer(b"".join(x[k] for x in made), "<u4").astype(np.int64) for k in (0, 1)]
-            counts = [np.fromiter((len(x[k]) // 4 for x in made), np.int64, len(made)) for k in (0, 1)]
+        for part, raw, offsets in batches.slices(batch, "text"):
+            pair = table.pair(raw, offsets)
+            flat, counts = [x.astype(np.int64) for x, _ in pair], [n for _, n in pair]
+            n_texts = part.num_rows
             got = Aligned(flat[0], both.a_size[flat[0]], flat[1], both.b_size[flat[1]])
             a_ends, b_ends = np.cumsum(counts[0]), np.cumsum(counts[1])
             # A text's last byte is a cut, so groups don't span texts.
@@ -186,15 +300,15 @@ def _align(rows: Iterator[pa.RecordBatch], a_path: str, b_path: str, full: bool)
             digest = ["" if s == e else hashlib.sha256(b"".join(named[s:e])[:-1]).hexdigest() for s, e in zip(edges, edges[1:], strict=False)]
             la, lb = got.links()
             links = (la * n_b_ids + lb).astype("<u8" if n_a_ids * n_b_ids >= 1 << 32 else "<u4")
-            raw, step = links.tobytes(), links.itemsize
+            packed, step = links.tobytes(), links.itemsize
             g_edges = (np.append(0, g_ends) * step).tolist()
             n_groups = np.diff(np.append(0, g_ends))
-            cols = [part.column("doc_id"), *map(pa.array, (*counts, n_groups)), pa.array(digest, pa.string()), pa.array([raw[s:e] for s, e in zip(g_edges, g_edges[1:], strict=False)], pa.binary())]
+            cols = [part.column("doc_id"), *map(pa.array, (*counts, n_groups)), pa.array(digest, pa.string()), pa.array([packed[s:e] for s, e in zip(g_edges, g_edges[1:], strict=False)], pa.binary())]
             names = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links"]
             if full:
                 # Of each group: tokens of both sides and bytes up to its end, counted within the text.
-                row = np.repeat(np.arange(len(made)), n_groups)
-                size = np.bincount(np.repeat(np.arange(len(made)), counts[0]), weights=both.a_size[flat[0]], minlength=len(made)).astype(np.int64)
+                row = np.repeat(np.arange(n_texts), n_groups)
+                size = np.bincount(np.repeat(np.arange(n_texts), counts[0]), weights=both.a_size[flat[0]], minlength=n_texts).astype(np.int64)
                 bounds = pa.array(np.append(0, g_ends).astype(np.int32))
                 within = (got.a_to - (a_ends - counts[0])[row], got.b_to - (b_ends - counts[1])[row], got.cuts + 1 - (np.cumsum(size) - size)[row])
                 cols += [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(c)).astype(np.int32)), pa.array(f.astype(np.int32))) for f, c in zip(flat, counts, strict=True)]
