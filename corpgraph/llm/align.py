@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corpgraph.llm import batches
 from corpgraph.llm.bpe import ChunkEncoder, Generations
-from corpgraph.llm.word_table import SLOTS, WordTable
+from corpgraph.llm.word_table import WordTable
 from corpgraph.llm.work import WorkArea, releasing
 
 #: Id pairs whose counts a task holds (some 17 bytes each).
@@ -179,6 +179,8 @@ class Pair:
 class PairTable(WordTable):
     """Word hashes to the ids of both sides: a's, then b's."""
 
+    slots = 1 << 21
+
     def __init__(self, both: Pair):
         super().__init__(both.a)
         self.both = both
@@ -195,7 +197,7 @@ class PairTable(WordTable):
 
     def clear(self) -> None:
         super().clear()
-        self.a_ids = np.zeros(SLOTS, np.uint16)
+        self.a_ids = np.zeros(self.slots, np.uint16)
 
     def pair(self, raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each side all ids of a slice of texts, and the number of each text's."""
@@ -212,7 +214,7 @@ class PairTable(WordTable):
         tail = self._tail(raw, start, end)
         end = end - (tail > 0)
         key = batches.mix(w.hashes(start, end) + bare.astype(np.uint64)) | np.uint64(1)
-        if self.entries > SLOTS // 2 or max(self.used, self.named) > 1 << 30:
+        if self.entries > self.slots // 2 or max(self.used, self.named) > 1 << 30:
             self.clear()
         distinct, where, which = np.unique(key, return_index=True, return_inverse=True)
         slot = self.find(distinct)

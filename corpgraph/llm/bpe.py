@@ -194,7 +194,8 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        special = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        # A zero character is kept from texts that are cut, as it marks pieces without a space before them.
+        special = {i for i, t in enumerate(texts) if _FIRST in t or any(a in t for a in self.added)}
         plan = [[] if i in special else self.chunked(t) for i, t in enumerate(texts)]
         new = self.chunks.missing(set().union(*plan))
         self.encoded += len(new)

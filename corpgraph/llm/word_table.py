@@ -30,6 +30,8 @@ _TAIL[list(b".,;:!?")] = True
 class WordTable:
     """An open-addressing table from 64-bit word hashes to ids, emptied when half full."""
 
+    slots = SLOTS
+
     def __init__(self, enc: ChunkEncoder):
         self.enc, self.newline = enc, np.frombuffer(enc.library(["\n"])[0], "<u4")
         made = json.loads(enc.tokenizer.to_str())
@@ -41,14 +43,14 @@ class WordTable:
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.at, self.size = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.uint16)
+        self.key, self.at, self.size = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.int32), np.zeros(self.slots, np.uint16)
         self.pool, self.used, self.entries = np.zeros(1 << 20, np.uint32), 0, 0
-        self.name_at, self.name_size = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.uint16)
+        self.name_at, self.name_size = np.zeros(self.slots, np.int32), np.zeros(self.slots, np.uint16)
         self.names, self.named = np.zeros(1 << 20, np.uint8), 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Slots of ``keys``, -1 for those not there."""
-        slot = (keys >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
+        slot = (keys >> np.uint64(40)).astype(np.int64) & (self.slots - 1)
         out = np.full(len(keys), -1)
         todo = np.arange(len(keys))
         while len(todo):
@@ -56,7 +58,7 @@ class WordTable:
             hit = there == keys[todo]
             out[todo[hit]] = slot[todo[hit]]
             todo = todo[~hit & (there != 0)]
-            slot[todo] = slot[todo] + 1 & SLOTS - 1
+            slot[todo] = slot[todo] + 1 & self.slots - 1
         return out
 
     def put(self, keys: np.ndarray, values: list[bytes], names: list[bytes]) -> None:
@@ -76,7 +78,7 @@ class WordTable:
         self.names[self.named : self.named + len(text)] = text
         name_at = self.named + np.cumsum(name_size) - name_size
         self.named += len(text)
-        slot = (keys >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
+        slot = (keys >> np.uint64(40)).astype(np.int64) & (self.slots - 1)
         todo = np.arange(len(keys))
         while len(todo):
             free = self.key[slot[todo]] == 0
@@ -86,7 +88,7 @@ class WordTable:
             self.size[slot[todo[mine]]] = size[todo[mine]]
             self.name_at[slot[todo[mine]]], self.name_size[slot[todo[mine]]] = name_at[todo[mine]], name_size[todo[mine]]
             todo = todo[~mine]
-            slot[todo] = slot[todo] + 1 & SLOTS - 1
+            slot[todo] = slot[todo] + 1 & self.slots - 1
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice of texts (no end tokens) and the number of ids of each text."""
@@ -107,7 +109,7 @@ class WordTable:
         tail = np.where(_TAIL[raw[end - 1]] & (end - start > 1) & _LETTER[raw[np.maximum(end - 2, 0)]], raw[end - 1], 0)
         end = end - (tail > 0)
         key = batches.mix(w.hashes(start, end) + bare.astype(np.uint64)) | np.uint64(1)
-        if self.entries > SLOTS // 2 or max(self.used, self.named) > 1 << 30:
+        if self.entries > self.slots // 2 or max(self.used, self.named) > 1 << 30:
             self.clear()
         distinct, where, which = np.unique(key, return_index=True, return_inverse=True)
         slot = self.find(distinct)

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from corpgraph.llm import bpe
 
 SETS = [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)]
-ODD = ["", " ", "a", "  two  spaces ", "tab\t x\n\n y \r\n z", "it's we'll  don't 'S", "x <|endoftext|> y", "<|startoftext|>", "é ́a ö̈", "日本語の文 章です " * 40, "Σας ΣΑΣ", "a b   c", "123 4,567.89", "#$% && ||", "no" * 3000, "\x1cx \x1d y", "end ", "\n", "🙂 🙂🙂 ‍ x"]
+ODD = ["", " ", "a", "  two  spaces ", "tab\t x\n\n y \r\n z", "it's we'll  don't 'S", "x <|endoftext|> y", "<|startoftext|>", "é ́a ö̈", "日本語の文 章です " * 40, "Σας ΣΑΣ", "a b   c", "123 4,567.89", "#$% && ||", "no" * 3000, "\x1cx \x1d y", "\0a \0b c", "end ", "\n", "🙂 🙂🙂 ‍ x"]
 
 
 def texts():
