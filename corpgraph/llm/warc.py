@@ -31,8 +31,8 @@ from corpgraph.llm.work import WorkArea, left_join, releasing
 SEGMENT_BYTES, CHUNK_BYTES = 16_384, 4_096
 #: Blocks of the filter of repeated payloads (40 bytes a row) up to which it is broadcast.
 BROADCAST_BLOCKS = 200_000
-#: One record after the other: the reader's separator.
-_NEXT = b"\r\n\r\nWARC/1."
+#: The reader's separator: the end of the line ends after a record, and the opening of the next. No part of it is its own beginning.
+_NEXT = b"\nWARC/1."
 _DATE = "1970-01-01T00:00:00Z"
 _VISIBLE = "".join(map(chr, range(33, 127))).replace("%", "") + " "
 
@@ -161,15 +161,40 @@ def decoded(kind: str, block: bytes, digest: str | None) -> dict[str, object]:
         return {"payload": None, "payload_bytes": None, "payload_digest": digest, "problem": str(e)}
 
 
-def _parsed(piece: bytes) -> tuple[dict[str, str], bytes] | None:
-    """Header and block of a record from what follows ``WARC/1.``; None where the block isn't all there."""
-    if b"\r\n\r\n" not in piece:
-        return None
-    fields, rest = _message(piece)
-    length = int(fields.get("content-length", "0"))
-    if length < 0:
-        raise ValueError("negative length")
-    return (fields, rest[:length]) if len(rest) >= length else None
+class _Pieces:
+    """Records out of pieces in order, each piece being what follows ``WARC/1.``; ValueError where that can't be a record."""
+
+    def __init__(self):
+        self.held, self.size, self.need = [], 0, None
+
+    def add(self, piece: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+        if not self.held and not piece.strip():
+            return
+        self.size += len(piece) + (len(_NEXT) if self.held else 0)
+        self.held.append(piece)
+        while self.held:
+            if self.need is None or self.size >= self.need:
+                data = _NEXT.join(self.held)
+                head = data.find(b"\r\n\r\n")
+                if head < 0 and len(data) > 1 << 20:
+                    raise ValueError("no header")
+                if head >= 0:
+                    fields, rest = _message(data[:head] + b"\r\n\r\n")[0], head + 4
+                    length = int(fields.get("content-length", "0"))
+                    if length < 0:
+                        raise ValueError("negative length")
+                    self.need = rest + length
+                self.held = [data]
+            if self.need is None or self.size < self.need:
+                return
+            block, more = data[rest : self.need], data[self.need :]
+            self.held, self.size, self.need = [], 0, None
+            yield fields, block
+            if more.strip(b"\r\n"):
+                gap, found, more = more.partition(_NEXT)
+                if not found or gap.strip(b"\r\n"):
+                    raise ValueError("no record after a record")
+                self.held, self.size = [more], len(more)
 
 
 def _row(file: str, fields: dict[str, str], block: bytes, full: bool) -> dict[str, object]:
@@ -187,32 +212,27 @@ def _row(file: str, fields: dict[str, str], block: bytes, full: bool) -> dict[st
 def _parse(rows: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.RecordBatch]:
     """Records of text pieces, which come in order within a split."""
     schema = pa.schema([(n, {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[t]) for n, t in (c.split() for c in PARSED.split(", "))])
-    held, where = [], None
+    pieces, where = _Pieces(), None
     out: list[dict] = []
     for batch in rows:
         for file, start, piece in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), batch.column("value"), strict=True):
             piece = piece.as_py()
             if where != (file, start):
-                if held:
+                if pieces.held:
                     out.append({"file": where[0], "open": True})
-                held, where = [], (file, start)
+                pieces, where = _Pieces(), (file, start)
                 piece = piece.removeprefix(b"WARC/1.") if start == 0 else piece
-            if not held and not piece.strip():
-                continue
-            held.append(piece)
             try:
-                got = _parsed(_NEXT.join(held))
-                if got is None:
-                    continue
-                if got[0].get("warc-type") in ("response", "resource", "revisit", "continuation"):
-                    out.append(_row(file, *got, full))
-            except ValueError:  # no record's header: the split opens within a payload
+                for fields, block in pieces.add(piece):
+                    if fields.get("warc-type") in ("response", "resource", "revisit", "continuation"):
+                        out.append(_row(file, fields, block, full))
+            except ValueError:  # no record: the split opens within a payload
                 out.append({"file": file, "open": True})
-            held = []
+                pieces = _Pieces()
             if len(out) >= 256:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
                 out = []
-    if held:
+    if pieces.held:
         out.append({"file": where[0], "open": True})
     yield pa.RecordBatch.from_pylist(out, schema=schema)
 

@@ -94,6 +94,18 @@ def test_foreign_archives(spark, tmp_path):
     assert got == [(b"", "a segment is missing"), (b"", "chunk shorter than its size"), (b"", "segments don't add up to the total length"), (b"abc0123456789", ""), (b"plain", "")]
 
 
+def test_any_cut_into_pieces_gives_the_same_records():
+    rng = random.Random(7)
+    blocks = [rng.choice([b"", b"a\r\n", b"\r\nWARC/1.1\r\nContent-Length: 9\r\n\r\nx", b"\n" * 9]) * rng.randint(0, 5) for _ in range(40)]
+    data = b"".join(record({"WARC-Type": "response"}, b) for b in blocks)
+    pieces = data.removeprefix(b"WARC/1.").split(warc._NEXT)
+    for _ in range(20):
+        cuts, reader, got = [0, *sorted(rng.sample(range(1, len(pieces)), 10)), len(pieces)], warc._Pieces(), []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            got += [block for _, block in reader.add(warc._NEXT.join(pieces[a:b]))]
+        assert got == blocks and not reader.held
+
+
 def test_binary_payloads(spark, tmp_path):
     raw = bytes(range(256)) * 10
     pages = spark.createDataFrame([(1, "u", bytearray(raw))], "page_id long, url string, html binary")
