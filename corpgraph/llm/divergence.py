@@ -15,30 +15,61 @@ Sums are decimals of 38 digits, so they are exact at any size.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpgraph.llm.work import WorkArea
+from corpgraph.llm import batches
+from corpgraph.llm.work import WorkArea, releasing
 
 UNIT = 1_000_000_000
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes of text whose terms are counted at once, and rows of a batch that leaves the worker.
+SLICE_BYTES, OUT_ROWS = 8 << 20, 100_000
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 #: Bytes of names and counts of all groups up to which that table is broadcast; beyond it is shuffled.
 BROADCAST_BYTES = 8 << 20
 _SUM = "decimal(38,0)"
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z lower-cased, other letters left; texts of ASCII alone take the quick way."""
-    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
+def _terms(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each slice: terms get codes in Arrow, (group, term) and (text, term) are counted as numbers."""
+    for batch in rows:
+        for part, raw, offsets in batches.slices(batch, "text", SLICE_BYTES):
+            inside = _LETTER[raw]
+            opens = inside.copy()
+            opens[1:] &= ~inside[:-1]
+            filled = offsets[:-1][offsets[:-1] < offsets[1:]]
+            opens[filled] = inside[filled]
+            start = np.flatnonzero(opens)
+            if len(start) == 0:
+                continue
+            upto = np.append(0, np.cumsum(inside))
+            edges = np.append(upto[start], upto[-1]).astype(np.int64)
+            found = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(edges), pa.py_buffer(_LOWER[raw[inside]])]).dictionary_encode()
+            code, k = found.indices.to_numpy().astype(np.int64), len(found.dictionary)
+            text = np.repeat(np.arange(part.num_rows), np.diff(np.searchsorted(start, offsets)))
+            langs, sources = (part.column(c).dictionary_encode() for c in ("lang", "source"))
+            group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+            keys, n = np.unique(group[text] * k + code, return_counts=True)
+            once = np.unique(text * k + code)
+            df = np.unique(group[once // k] * k + once % k, return_counts=True)[1]
+            for at in range(0, len(keys), OUT_ROWS):
+                key = keys[at : at + OUT_ROWS]
+                names = [langs.dictionary.take(pa.array(key // k // len(sources.dictionary))), sources.dictionary.take(pa.array(key // k % len(sources.dictionary))), pc.cast(found.dictionary.take(pa.array(key % k)), pa.string())]
+                yield pa.RecordBatch.from_arrays([*names, pa.array(n[at : at + OUT_ROWS]), pa.array(df[at : at + OUT_ROWS])], ["lang", "source", "term", "n", "df"])
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n, df: occurrences, and documents with the term. One row an occurrence, and one a text's distinct term, are summed before the shuffle."""
-    terms = docs.select("lang", "source", F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(TERM), F.lit(0)).alias("terms"))
-    kind = lambda n, df, found: F.struct(F.lit(n).alias("n"), F.lit(df).alias("df"), found.alias("terms"))
-    both = terms.select("lang", "source", F.inline(F.array(kind(1, 0, F.col("terms")), kind(0, 1, F.array_distinct("terms")))))
-    rows = both.select("lang", "source", "n", "df", F.explode("terms").alias("term"))
+    """lang, source, term, n, df: occurrences, and documents with the term; summed by slice and by task before the shuffle."""
+    rows = docs.select("lang", "source", "text").mapInArrow(releasing(_terms), "lang string, source string, term string, n long, df long")
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
