@@ -1,4 +1,8 @@
-"""Fuzzy best match: every key of one side against every choice of the other, in blocks, pruned by exact upper bounds.
+"""Fuzzy best match and all matches, exact.
+
+From ``candidates.LEAST_SCORE`` on, keys meet the choices that share a signature with them
+(``candidates``). Below it, and for names with too few letters for it, every key
+meets every choice in blocks, pruned by exact upper bounds.
 
 A block's choices are held as numpy arrays: character counts, lengths, and postings
 of their tokens. For a key, an upper bound of its score with each choice comes out of
@@ -16,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.functions.similarity import SCORERS
+from corpgraph.operators import candidates
 
 #: Choices and keys of one block; each block of keys meets each block of choices in one task.
 BLOCK_CHOICES, BLOCK_KEYS = 20_000, 2_000
@@ -127,10 +132,8 @@ class Choices:
         return [(n, s) for n, s in scored if s >= at_least]
 
 
-def _scored(left: DataFrame, right: DataFrame, left_key: str, right_key: str, pick) -> DataFrame:
+def _in_blocks(keys: DataFrame, choices: DataFrame, pick) -> DataFrame:
     """k, best, score: what ``pick(block, key)`` finds for each key in each block of choices."""
-    keys = left.select(F.col(left_key).cast("string").alias("k")).where("k <> ''").distinct()
-    choices = right.select(F.col(right_key).cast("string").alias("k")).where("k <> ''").distinct()
     n_keys, n_choices = keys.count(), choices.count()
     rows, cols = max(1, -(-n_keys // BLOCK_KEYS)), max(1, -(-n_choices // BLOCK_CHOICES))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
@@ -144,24 +147,37 @@ def _scored(left: DataFrame, right: DataFrame, left_key: str, right_key: str, pi
     return asked.groupBy("r", "c").cogroup(held.groupBy("r", "c")).applyInPandas(match, "k string, best string, score double")
 
 
+def _scored(left: DataFrame, right: DataFrame, left_key: str, right_key: str, scorer: str, at_least: float, pick) -> DataFrame:
+    """k, best, score of all pairs of distinct non-blank names that can matter."""
+    keys, choices = candidates.names(left, left_key), candidates.names(right, right_key)
+    if at_least < candidates.LEAST_SCORE:
+        return _in_blocks(keys, choices, pick)
+    shares = candidates.common_words(keys, choices)
+    keys, choices = (candidates.cut(x, at_least, scorer == "weighted", shares).persist() for x in (keys, choices))
+    found = candidates.scored(candidates.candidates(keys.where("cut"), choices, scorer, at_least), scorer, at_least)
+    wide = keys.where("not cut").select("k")
+    return found if wide.isEmpty() else found.unionByName(_in_blocks(wide, choices.select("k"), pick))
+
+
 def all_matches(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *, scorer: str = "token_set", at_least: float) -> DataFrame:
     """left_key, match, fuzzy_score: every pair of distinct non-blank keys that scores ``at_least``."""
-    found = _scored(left, right, left_key, right_key, lambda block, k: block.every(k, scorer, at_least))
+    if scorer == "weighted":
+        raise ValueError("a common word alone matches most pairs by the weighted score: ask for the best match")
+    found = _scored(left, right, left_key, right_key, scorer, at_least, lambda block, k: block.every(k, scorer, at_least))
     return found.select(F.col("k").alias(left_key), F.col("best").alias("match"), F.col("score").alias("fuzzy_score"))
 
 
 def best_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *, scorer: str = "token_set", at_least: float = 0.0) -> DataFrame:
     """left_key, best_norm, fuzzy_score of each distinct non-blank ``left_key`` that has a ``right_key`` scoring ``at_least``; ties go to the first in order.
 
-    With ``at_least`` 0 every key gets its best choice, and hardly anything is pruned.
-    Both sides are dealt to blocks by hash; a task holds one block of each, so neither
-    side has to fit a worker.
+    With ``at_least`` 0 every key gets its best choice, and hardly anything is pruned:
+    both sides are dealt to blocks by hash, and a task holds one block of each.
     """
 
     def pick(block: Choices, key: str) -> list[tuple[str, float]]:
         found = block.best(key, scorer, at_least)
         return [found] if found else []
 
-    scored = _scored(left, right, left_key, right_key, pick)
+    scored = _scored(left, right, left_key, right_key, scorer, at_least, pick)
     best = scored.groupBy("k").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("best").alias("best"))).alias("m"))
     return best.select(F.col("k").alias(left_key), F.col("m.best").alias("best_norm"), (-F.col("m.s")).alias("fuzzy_score"))
