@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpgraph.catalog.base import TITLE_CASE, cases, duck, folder, letters, query, stand_in, t
 from corpgraph.functions import brands as br
 from corpgraph.plans import brands
+from corpgraph.schemas import strings
 from corpgraph.streaming import ingest
 
 _A = letters("o_orderkey")
@@ -124,6 +125,17 @@ def canonical_brands(spark, d):
     return brands.canonical_brands(found).select("message_id", "brand_canonical", "suggested")
 
 
+#: Three spellings of a name for each customer, all alike at 90 and unlike those of other customers.
+_SPELLED = """SELECT o_orderkey AS n, o_custkey AS c, CASE o_orderkey % 3 WHEN 0 THEN upper(md5(CAST(o_custkey AS STRING))) || ' Foods' WHEN 1 THEN 'Foods ' || upper(md5(CAST(o_custkey AS STRING))) ELSE upper(md5(CAST(o_custkey AS STRING))) || 'X Foods' END AS brand FROM {orders}"""
+
+
+@query(f"SELECT arg_min(brand, n) AS name, make_timestamp(CAST((1704103200 + min(n)) * 1000000 AS BIGINT)) AS added FROM ({duck(_SPELLED)}) GROUP BY c")
+def canonical_spellings(spark, d):
+    """Each customer's first spelling, out of three for each customer with orders."""
+    found = stand_in(spark, d, _SPELLED).select(F.format_string("%08d", "n").alias("message_id"), F.lit(0).alias("position"), F.col("brand").alias("brand_clean"), F.timestamp_seconds(F.lit(1_704_103_200) + F.col("n")).alias("date"))
+    return brands.canonical_names(found).select("name", F.col("added.date").cast("timestamp_ntz").alias("added"))
+
+
 _COUNTS = f"SELECT name AS brand_canonical, CAST(count(*) AS BIGINT) AS count, make_timestamp(CAST((1704103200 + min(n)) * 1000000 AS BIGINT)) AS first_seen, make_timestamp(CAST((1704103200 + max(n)) * 1000000 AS BIGINT)) AS last_seen FROM ({_CANONICAL}) GROUP BY 1"
 
 
@@ -161,10 +173,10 @@ def stream_ingest_equals_batch(spark, d):
 def stream_append_once(spark, d):
     """The same files through micro-batches that append rows and log their ids; then all of them again under other file names."""
     base = folder(spark, "append")
-    schema = "message_id string, body string"
+    schema = strings("message_id body")
     m = stand_in(spark, d, _MAIL).select("message_id", "body")
     for name in ("one", "two"):
         m.write.mode("append").json(f"{base}/in/{name}")
         stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).json(f"{base}/in")
         ingest.append_batches(stream, f"{base}/out", f"{base}/log", f"{base}/state").awaitTermination()
-    return spark.read.schema(schema).parquet(f"{base}/out")
+    return ingest.committed(spark, f"{base}/out", schema)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpgraph.functions import brands
-from corpgraph.functions.similarity import token_set_ratio
-from corpgraph.operators.fuzzy import Choices, all_matches
+from corpgraph.operators.fuzzy import all_matches
 from corpgraph.operators.ops import number_or_zero
+from corpgraph.sources.shared import shared_folder
 
 
 def mentions(messages: DataFrame) -> DataFrame:
@@ -22,45 +21,37 @@ def mentions(messages: DataFrame) -> DataFrame:
     return out.withColumn("brand_clean", F.when(brands.clean_candidate(F.col("brand_raw")).isNotNull(), clean)).where("brand_clean is not null")
 
 
-class _Names:
-    """A growing set of names that is searched for one that is similar enough: full blocks with bounds, and a short rest."""
-
-    def __init__(self, block: int = 256):
-        self.block, self.full, self.rest, self.lower = block, [], [], set()
-
-    def add(self, name: str) -> None:
-        self.lower.add(name.lower())
-        self.rest.append(name)
-        if len(self.rest) == self.block:
-            self.full.append(Choices(self.rest))
-            self.rest = []
-        if len(self.full) == 8:  # eight blocks become one of the eightfold size
-            self.full, self.block = [Choices([n for c in self.full for n in c.names])], self.block * 8
-
-    def has_like(self, name: str, least: float) -> bool:
-        return name.lower() in self.lower or any(token_set_ratio(name, n) >= least for n in self.rest) or any(c.best(name, "token_set", least) for c in self.full)
-
-
 def canonical_names(found: DataFrame, *, merge: float = 90) -> DataFrame:
     """name, added: brands that were unlike every canonical name before them, with their first mention (date, message_id, position).
 
-    A name joins the set only at its first mention, so the fold that decides it, in
-    one task by its nature, goes over distinct names alone.
+    Names that are alike (``merge`` or more, or equal but for case) are linked, each to those
+    first mentioned before it. In each round a name becomes canonical when no earlier name
+    that it is linked to is left, and names linked to a new canonical one before them
+    are settled too; that is what going through all names in order gives, in as many
+    rounds as the longest chain of names that wait for each other.
     """
-
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = _Names()
-        for frame in frames:
-            new = []
-            for brand in frame.name:
-                if not names.has_like(brand, merge):
-                    names.add(brand)
-                    new.append(brand)
-            yield pd.DataFrame({"name": new})
-
-    first = found.groupBy(F.col("brand_clean").alias("name")).agg(F.min(F.struct("date", "message_id", "position")).alias("added"))
-    made = first.repartition(1).sortWithinPartitions("added").select("name").mapInPandas(fold, "name string")
-    return first.join(made, "name")
+    spark = found.sparkSession
+    base = f"{shared_folder(spark)}/corpgraph-names/{uuid.uuid4().hex}"
+
+    def saved(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    first = saved(found.groupBy(F.col("brand_clean").alias("name")).agg(F.min(F.struct("date", "message_id", "position")).alias("added")), "first")
+    alike = all_matches(first, first, "name", "name", at_least=merge).select("name", F.col("match").alias("other"))
+    cased = first.select(F.lower("name").alias("low"), "name")
+    same = cased.join(cased.withColumnRenamed("name", "other"), "low").select("name", "other")
+    times = alike.unionByName(same).join(first, "name").join(first.select(F.col("name").alias("other"), F.col("added").alias("before")), "other")
+    links = saved(times.where("before < added").select("name", "other").distinct(), "links")
+    open_, canonical, n = first.select("name"), None, 0
+    while not open_.isEmpty():
+        heads = saved(open_.join(links.select("name").distinct(), "name", "left_anti"), f"heads-{n}")
+        merged = links.join(heads.select(F.col("name").alias("other")), "other", "left_semi").select("name").distinct()
+        canonical = heads if canonical is None else canonical.unionByName(heads)
+        open_ = saved(open_.join(heads.unionByName(merged), "name", "left_anti"), f"open-{n}")
+        rest = links.join(open_, "name", "left_semi")
+        links, n = saved(rest.join(open_.select(F.col("name").alias("other")), "other", "left_semi").select("name", "other"), f"links-{n}"), n + 1
+    return first if canonical is None else first.join(canonical, "name")
 
 
 def canonical_brands(found: DataFrame, *, merge: float = 90, review: float = 80) -> DataFrame:
@@ -68,15 +59,18 @@ def canonical_brands(found: DataFrame, *, merge: float = 90, review: float = 80)
 
     A mention is the canonical name it equals but for case, or the one it is most like
     (``merge`` or more; the first added of equals), or a new one, with a suggestion from
-    ``review`` on. Only names added before it count. Every pair of a brand and a name
-    that is similar enough is found once; a mention then takes the best of its time.
+    ``review`` on. Only names added before it count. Of the names that a brand is like,
+    those count that beat all before them; a mention then takes the last of its time.
     """
     names = canonical_names(found, merge=merge)
     like = all_matches(found, names, "brand_clean", "name", at_least=review).join(names.withColumnRenamed("name", "match"), "match")
-    ranked = like.groupBy("brand_clean").agg(F.array_sort(F.collect_list(F.struct((-F.col("fuzzy_score")).alias("s"), "added", F.col("match").alias("name")))).alias("ranked"))
+    before = Window.partitionBy("brand_clean").orderBy("added").rowsBetween(Window.unboundedPreceding, -1)
+    # Scores rise strictly, so a brand has no more of these than there are scores.
+    records = like.withColumn("most", F.max("fuzzy_score").over(before)).where("most is null or fuzzy_score > most")
+    ranked = records.groupBy("brand_clean").agg(F.array_sort(F.collect_list(F.struct("added", (-F.col("fuzzy_score")).alias("s"), F.col("match").alias("name")))).alias("ranked"))
     equal = names.select(F.lower("name").alias("low"), F.col("name").alias("equal"), F.col("added").alias("equal_added"))
     rows = found.withColumn("at", F.struct("date", "message_id", "position")).withColumn("low", F.lower("brand_clean")).join(ranked, "brand_clean", "left").join(equal, "low", "left")
-    best = F.get(F.filter("ranked", lambda r: r["added"] < F.col("at")), F.lit(0))
+    best = F.try_element_at(F.filter("ranked", lambda r: r["added"] < F.col("at")), F.lit(-1))
     rows = rows.withColumn("best", best).withColumn("same", F.when(F.col("equal_added") < F.col("at"), F.col("equal")))
     hint = F.col("same").isNull() & (F.col("best.s") > -merge)
     name = F.coalesce("same", F.when(F.col("best.s") <= -merge, F.col("best.name")), F.col("brand_clean"))

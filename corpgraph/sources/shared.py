@@ -20,3 +20,20 @@ def shared_folder(spark: SparkSession) -> str:
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
+
+
+def _place(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Makes an empty file, with its folders, in whatever file system it lies; it is there whole or not at all."""
+    fs, p = _place(spark, path)
+    fs.create(p, True).close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where it doesn't exist."""
+    fs, p = _place(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []

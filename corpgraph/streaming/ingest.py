@@ -11,9 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType, TimestampType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from corpgraph.schemas import MESSAGES, strings
+from corpgraph.sources.shared import mark, names_in
 
 PAYLOAD_HEADERS = "struct<headers array<struct<name string, value string>>>"
 
@@ -86,21 +87,59 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *, files
     return decoded(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: Buckets of the seen ids; a batch reads those that its own ids fall in.
+ID_BUCKETS = 64
+
+
+def _reached(step: str) -> None:
+    """Called between the writes of a batch."""
+
+
+def append_batch(batch: DataFrame, name: str, out: str, log: str, key: str) -> None:
+    """Writes the rows with new ids as batch ``name`` of ``out``, their ids to ``log``, then commits both.
+
+    A batch lies in folders of its own, which a repetition overwrites, and counts
+    once the commit is there; a committed batch isn't written again.
+    """
+    spark = batch.sparkSession
+    commits = names_in(spark, f"{out}/_commits")
+    if name in commits:
+        return
+    bucket = F.pmod(F.xxhash64(key), F.lit(ID_BUCKETS)).cast("int")
+    batch = batch.dropDuplicates([key])
+    new, done = batch, [c for c in commits if f"batch={c}" in set(names_in(spark, log))]
+    if done:
+        needed = [r.bucket for r in batch.select(bucket.alias("bucket")).distinct().collect()]
+        schema = StructType([batch.schema[key], StructField("batch", StringType()), StructField("bucket", IntegerType())])
+        seen = spark.read.schema(schema).parquet(log).where(F.col("bucket").isin(needed) & F.col("batch").isin(done))
+        new = unseen(batch, seen.select(key), key)
+    new.write.mode("overwrite").parquet(f"{out}/batch={name}")
+    _reached("rows")
+    written = spark.read.schema(batch.schema).parquet(f"{out}/batch={name}")
+    written.select(key, bucket.alias("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{log}/batch={name}")
+    _reached("ids")
+    mark(spark, f"{out}/_commits/{name}")
+    _reached("commit")
+
+
+def committed(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """Rows of all committed batches of ``out``."""
+    done = names_in(spark, f"{out}/_commits")
+    return spark.read.schema(schema).parquet(*[f"{out}/batch={c}" for c in done]) if done else spark.createDataFrame([], schema)
+
+
 def append_batches(stream: DataFrame, out: str, log: str, checkpoint: str, *, key: str = "message_id") -> StreamingQuery:
-    """Appends each micro-batch to the table ``out`` and its ids to the log ``log``, and stops.
+    """Appends each micro-batch to ``out`` exactly once, leaves out ids that were there before, and stops; read it by ``committed``.
 
-    A batch that is run again after a crash writes nothing twice: rows whose id the
-    log has are left out, and each batch's log rows carry its number.
+    A batch is named by the stream's checkpoint and its number. Where the job ends between
+    any two writes, the batch that runs again overwrites its own rows and ids, which
+    don't count before the commit. A new checkpoint over the same messages appends nothing.
+    Rows with a null id are kept once a batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        schema = StructType([batch.schema[key]])
-        spark.createDataFrame([], schema).write.mode("append").parquet(log)
-        new = unseen(batch, spark.read.schema(schema).parquet(log), key).dropDuplicates([key]).persist()
-        new.write.mode("append").parquet(out)
-        new.select(key, F.lit(number).alias("batch")).write.mode("append").parquet(log)
-        new.unpersist()
+        run = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        append_batch(batch, f"{run}-{number:09d}", out, log, key)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
