@@ -263,7 +263,8 @@ def brand_post_clean(spark, d):
 
 @query("SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}'))), '|') AS emails FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')")
 def email_extract(spark, d):
-    e = t(spark, d, "documents").select("doc_id", web.emails(F.col("text")).alias("e"))
+    # Behind a generator the addresses are extracted once, and not again for the filter.
+    e = t(spark, d, "documents").select("doc_id", F.explode_outer(F.array(web.emails(F.col("text")))).alias("e"))
     return e.where(F.size("e") > 0).select("doc_id", F.array_join("e", "|").alias("emails"))
 
 

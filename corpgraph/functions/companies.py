@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpgraph.functions.common import collapse, sub, text_of, words
+from corpgraph.functions.common import collapse, decomposed, sub, text_of, words
 
 # Words that normalisers drop, and suffixes.
 COMMITTEE_WORDS = "pac|political|action|committee|fund|the|and|of|for|employees"
@@ -18,10 +18,6 @@ DOMAIN = r"(?i)^[A-Za-z0-9\-]+\.(com|org|net|io|co|ai|gov|edu|biz|info)$"
 FUND = r"\b(ETF|TRUST|FUND|PORTFOLIO|ETN)\b"
 PREFERRED = r"(\.PR|\.PRA|\.PRB|\.PRC|\.PRD|\.PRE|\.PRF|\.PRG|\.PRH|\.PRI|\.PRJ|\.PRK|\.PRL)\b|(\-PR[A-Z]?)\b|\b(W|WS|WT|R|RT|U)\b$"
 
-# Latin letters with marks and the letter each decomposes to (its mark becomes a space between words' letters).
-_MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝŸŠŽĀĂĄĆČĎĒĘĚĞĪĹĽŁŃŇŐŔŘŚŞŢŤŪŮŰŹŻ"
-_PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYYSZAAACCDEEEGILL NNORRSSTTUUUZZ"
-
 
 def match_norm(name: Column) -> Column:
     """Upper case A-Z, 0-9 words without stop words: the key of committee matching."""
@@ -38,14 +34,9 @@ def company_words_norm(name: Column) -> Column:
     return collapse(sub(sub(F.lower(text_of(name)), r"[^a-z0-9\s]"), rf"\b({COMPANY_WORDS})\b"))
 
 
-def _decompose(text: Column) -> Column:
-    """Compatibility decomposition of marked Latin capitals: the letter, and the mark as a space."""
-    return F.regexp_replace(F.translate(F.regexp_replace(text, f"([{_MARKED}])", "$1́"), _MARKED, _PLAIN), "́", " ")
-
-
 def crosswalk_norm(name: Column) -> Column:
-    """Upper case, ``&`` as AND, no /XX/ tags or punctuation, and no legal words at the end, however many."""
-    s = F.replace(_decompose(F.trim(F.upper(text_of(name)))), F.lit("&"), F.lit(" AND "))
+    """Upper case and decomposed (marks part words), ``&`` as AND, no /XX/ tags or punctuation, and no legal words at the end, however many."""
+    s = F.replace(decomposed(F.trim(F.upper(text_of(name)))), F.lit("&"), F.lit(" AND "))
     s = collapse(sub(sub(s, "/[A-Z]{2,3}/"), "[^A-Z0-9]+"))
     return sub(s, f"(?: (?:{TRAILING}))+$", "")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpgraph.functions.common import collapse, sub, text_of, words
+from corpgraph.functions.common import collapse, decomposed, sub, text_of, words
 
 # Words of roles, name particles and suffixes, and of what isn't a person.
 ROLE_TERMS = """officer officers president vice-president vicepresident vice chair chairman chairperson
@@ -70,7 +70,8 @@ def drop_contact_words(name: Column) -> Column:
 
 
 def person_norm(name: Column) -> Column:
-    return collapse(text_of(name))
+    """Decomposed, with single spaces."""
+    return collapse(decomposed(text_of(name)))
 
 
 def name_parts(name: Column) -> Column:

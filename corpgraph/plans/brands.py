@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpgraph.functions import brands
+from corpgraph.functions.common import let
 from corpgraph.operators.fuzzy import all_matches
 from corpgraph.operators.ops import number_or_zero
 from corpgraph.sources.shared import shared_folder
@@ -17,8 +18,9 @@ def mentions(messages: DataFrame) -> DataFrame:
     """One row a brand named in a message (message_id, date, subject, body): brand_raw, brand_clean, source, position."""
     out = messages.withColumn("b", brands.brand_block(F.col("body"), F.col("subject")))
     out = out.select("message_id", "date", F.col("b.source").alias("source"), F.posexplode(brands.split_brands("b.block")).alias("position", "brand_raw"))
-    clean = brands.apply_alias(brands.normalize_brand(brands.clean_candidate(F.col("brand_raw"))))
-    return out.withColumn("brand_clean", F.when(brands.clean_candidate(F.col("brand_raw")).isNotNull(), clean)).where("brand_clean is not null")
+    # A generator is a step that the optimizer neither repeats nor pushes the filter through.
+    named = F.array(let(brands.clean_candidate(F.col("brand_raw")), lambda x: brands.apply_alias(brands.normalize_brand(x))))
+    return out.select("*", F.explode_outer(named).alias("brand_clean")).where("brand_clean is not null")
 
 
 def canonical_names(found: DataFrame, *, merge: float = 90) -> DataFrame:
