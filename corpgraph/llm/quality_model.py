@@ -125,17 +125,22 @@ def fit(docs: DataFrame, grades: DataFrame, *, id_col: str = "doc_id", text_col:
     """Fits on a sample of ``grades`` (doc_id, grade from 0 to levels - 1). None where no two grades occur.
 
     The sample holds at most ``most_rows`` rows, and no more than ``most_bytes`` of
-    their texts: the first rows, in order of a hash of the id, that stay within both.
+    their texts: the first rows, in order of a hash of the id (of one id by length), that
+    stay within both, also where ids repeat.
     """
     picked = grades.where(F.col("grade").between(0, levels - 1)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "grade", "text")
-    # At most most_rows rows of three numbers; their order is that of the ids' hashes.
-    sizes = found.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).orderBy("h", "doc_id", "n").limit(most_rows).collect()
-    ends = np.cumsum([r.n for r in sizes])
-    if len(ends) and ends[-1] > most_bytes:
-        last = sizes[int(np.searchsorted(ends, most_bytes, "right"))]
-        found = found.where((F.xxhash64("doc_id") < last.h) | ((F.xxhash64("doc_id") == last.h) & (F.col("doc_id") < last.doc_id)))
+    # Rows of three numbers, one more than may count; their order is that of the ids' hashes.
+    hashed, size = F.xxhash64("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0))
+    sizes = found.select(hashed.alias("h"), "doc_id", size.alias("n")).orderBy("h", "doc_id", "n").limit(most_rows + 1).collect()
+    fit_in = min(most_rows, int(np.searchsorted(np.cumsum([r.n for r in sizes]), most_bytes, "right")))
+    if fit_in < len(sizes):
+        # The first row beyond: ids before its id count whole, and of its own id the rows before it.
+        last = sizes[fit_in]
+        own = sum(r.doc_id == last.doc_id for r in sizes[:fit_in])
+        before = found.where((hashed < last.h) | ((hashed == last.h) & (F.col("doc_id") < last.doc_id)))
+        found = before.unionByName(found.where(F.col("doc_id") == last.doc_id).orderBy(size, F.xxhash64("text"), "text", "grade").limit(own)) if own else before
     rows = found.select("grade", "text").mapInArrow(releasing(_featured), "grade int, features binary").collect()
     sample = sorted((r.grade, bytes(r.features)) for r in rows)
     del rows
