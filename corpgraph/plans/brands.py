@@ -19,7 +19,7 @@ def mentions(messages: DataFrame) -> DataFrame:
     out = messages.withColumn("b", brands.brand_block(F.col("body"), F.col("subject")))
     out = out.select("message_id", "date", F.col("b.source").alias("source"), F.posexplode(brands.split_brands("b.block")).alias("position", "brand_raw"))
     # A generator is a step that the optimizer neither repeats nor pushes the filter through.
-    named = F.array(let(brands.clean_candidate(F.col("brand_raw")), lambda x: brands.apply_alias(brands.normalize_brand(x))))
+    named = F.array(let(brands.clean_candidate(F.col("brand_raw")), lambda x: F.when(x.isNotNull(), brands.apply_alias(brands.normalize_brand(x)))))
     return out.select("*", F.explode_outer(named).alias("brand_clean")).where("brand_clean is not null")
 
 
