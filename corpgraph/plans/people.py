@@ -92,6 +92,17 @@ def person_names(tagger: Tagger):
     return first
 
 
+def people_in(tagger: Tagger):
+    """A column function: all people whom the tagger finds in a text, in their order; none for null."""
+
+    @F.pandas_udf("array<string>")
+    def every(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for t in texts:
+            yield t.map(lambda x: [x[a:b] for a, b in tagger(x)] if x else [])
+
+    return every
+
+
 def clean_names(raw: DataFrame) -> DataFrame:
     """Low-confidence names repaired; rows whose name then doesn't look like one go."""
     low = F.lower("confidence") == "low"
