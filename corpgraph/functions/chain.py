@@ -8,7 +8,7 @@ labels of each run are the best labels of the text.
 from __future__ import annotations
 
 import re
-import zlib
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,31 +18,42 @@ from corpgraph.functions.people import PARTICLES, ROLE_TERMS, SUFFIXES
 
 Window = tuple[str, list[tuple[int, int]]]
 OUT, FIRST, NEXT = range(3)
-SIZE = 1 << 13
+#: Shapes, endings and words that fewer windows have get no weights of their own.
+SEEN = 3
 OFFSETS = (-2, -1, 0, 1, 2)
 SLOTS = 4
+TOGETHER = 1_000_000
 TOKEN = re.compile(r"[^\W\d_]\.|[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+|\n|[^\w\s]|_")
 _PARTICLES = set(PARTICLES.replace("|", " ").split())
 _CLASSES = dict.fromkeys(ROLE_TERMS, "role") | dict.fromkeys(_PARTICLES, "particle") | dict.fromkeys(SUFFIXES, "suffix")
 
 
-def _slots(word: str) -> list[int]:
-    """Shape, class, ending and the word itself, as rows of the weights; row 0 is beyond the text."""
+def _slots(word: str) -> tuple[str, str, str, str]:
+    """Shape, class, ending and the word itself."""
     low = word.lower()
     shape = re.sub(r"(.)\1+", r"\1", "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word))
-    return [1 + zlib.crc32(x.encode()) % (SIZE - 1) for x in (shape, _CLASSES.get(low.rstrip("."), "none"), low[-3:], low)]
+    return f"shape {shape}", f"class {_CLASSES.get(low.rstrip('.'), 'none')}", f"ending {low[-3:]}", f"word {low}"
 
 
-def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(spans, features, whether it may be in a name) of each token; features of equal words are found once."""
+def tokens(text: str, rows: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(spans, rows of the weights, whether it may be in a name) of each token; equal words are looked up once.
+
+    Row 0 stands for what is beyond the text, row 1 for what isn't among ``rows``.
+    """
     found = list(TOKEN.finditer(text))
     ids: dict[str, int] = {}
     at = np.fromiter((ids.setdefault(m[0], len(ids)) for m in found), np.int64, len(found))
-    table = np.array([_slots(w) for w in ids], np.int64).reshape(-1, SLOTS)
+    table = np.array([[rows.get(x, 1) for x in _slots(w)] for w in ids], np.int64).reshape(-1, SLOTS)
     able = np.array([w[0].isupper() or w.lower() in _PARTICLES for w in ids], bool)
     return np.array([m.span() for m in found], np.int64).reshape(-1, 2), table[at], able[at]
 
 
+def vocabulary(texts: Sequence[str]) -> dict[str, int]:
+    """Rows of what at least ``SEEN`` texts have."""
+    counts = Counter(x for t in texts for x in {x for w in set(TOKEN.findall(t)) for x in _slots(w)})
+    return {x: i + 2 for i, x in enumerate(sorted(x for x, n in counts.items() if n >= SEEN))}
+
+
 def neighbours(features: np.ndarray) -> np.ndarray:
     """(tokens, offsets, slots): each token's features and those around it."""
     edge = max(OFFSETS)
@@ -83,8 +94,9 @@ def best_labels(emitted: np.ndarray, moves: np.ndarray, starts: np.ndarray, leng
 class ChainTagger:
     """Spans of names in a text. Called with an empty text it finds none."""
 
-    weights: np.ndarray  # (offsets, slots, SIZE, labels)
+    weights: np.ndarray  # (offsets, slots, rows, labels)
     moves: np.ndarray  # (from, to)
+    rows: dict[str, int]
 
     def emitted(self, around: np.ndarray) -> np.ndarray:
         out = np.zeros((len(around), 3), np.float32)
@@ -100,18 +112,35 @@ class ChainTagger:
         return best_labels(emitted, self.moves, *runs(able))
 
     def __call__(self, text: str) -> list[tuple[int, int]]:
-        spans, features, able = tokens(text)
-        if not able.any():
-            return []
+        return self.many([text])[0]
+
+    def many(self, texts: Sequence[str]) -> list[list[tuple[int, int]]]:
+        """The spans of each of several texts, labelled together, up to ``TOGETHER`` characters or one text at a time."""
+        out: list[list[tuple[int, int]]] = []
+        size, part = 0, []
+        for t in texts:
+            if part and size + len(t) > TOGETHER:
+                out += self._tag(part)
+                size, part = 0, []
+            part.append(t)
+            size += len(t)
+        return out + (self._tag(part) if part else [])
+
+    def _tag(self, texts: Sequence[str]) -> list[list[tuple[int, int]]]:
+        """Texts lie one after the other, with tokens between them that are beyond each text."""
+        cut = [tokens(t, self.rows) for t in texts]
+        edge = max(OFFSETS)
+        apart = np.zeros((edge, SLOTS), np.int64), np.zeros(edge, bool)
+        features, able = (np.concatenate([x for c in cut for x in (c[i + 1], apart[i])]) for i in range(2))
         labels = self.label(features, able)
-        begin = np.flatnonzero(labels == FIRST)
-        inside = np.append(labels == NEXT, False)
-        out = []
-        for b in begin:
-            e = b
-            while inside[e + 1]:
-                e += 1
-            out.append((int(spans[b, 0]), int(spans[e, 1])))
+        out, at = [], 0
+        for spans, _, _ in cut:
+            own = labels[at : at + len(spans)]
+            begin = np.flatnonzero(own == FIRST)
+            stops = np.append(np.flatnonzero(own != NEXT), len(own))
+            ends = stops[np.searchsorted(stops, begin, side="right")] - 1
+            out.append([(int(a), int(b)) for a, b in zip(spans[begin, 0], spans[ends, 1], strict=True)])
+            at += len(spans) + edge
         return out
 
 
@@ -128,17 +157,20 @@ def gold(spans: np.ndarray, able: np.ndarray, named: Sequence[tuple[int, int]])
 
 
 def fit(windows: Sequence[Window], passes: int = 6) -> ChainTagger:
-    """Averaged perceptron over labelled windows, in their order. Windows without a possible labelling are left out."""
-    shape = (len(OFFSETS), SLOTS, SIZE, 3)
-    model = ChainTagger(np.zeros(shape, np.float32), np.zeros((3, 3), np.float32))
+    """Averaged perceptron over labelled windows, in their order, until a pass has no error. Windows without a possible labelling are left out."""
+    rows = vocabulary([text for text, _ in windows])
+    shape = (len(OFFSETS), SLOTS, len(rows) + 2, 3)
+    model = ChainTagger(np.zeros(shape, np.float32), np.zeros((3, 3), np.float32), rows)
     model.moves[OUT, NEXT] = -1e9
     summed, summed_moves, turn = np.zeros(shape), np.zeros((3, 3)), 1
-    cut = [(f, a, g) for s, f, a, named in ((*tokens(text), named) for text, named in windows) if len(s) and (g := gold(s, a, named)) is not None]
+    cut = [(f, a, g) for s, f, a, named in ((*tokens(text, rows), named) for text, named in windows) if len(s) and (g := gold(s, a, named)) is not None]
     places = np.arange(len(OFFSETS))[None, :, None], np.arange(SLOTS)[None, None, :]
     for _ in range(passes):
+        errors = 0
         for features, able, right in cut:
             got = model.label(features, able)
             wrong = np.flatnonzero(got != right)
+            errors += len(wrong)
             if len(wrong):
                 around = neighbours(features)[wrong]
                 for labels, by in ((right, 1), (got, -1)):
@@ -150,6 +182,8 @@ def fit(windows: Sequence[Window], passes: int = 6) -> ChainTagger:
                     model.moves += steps
                     summed_moves += turn * steps
             turn += 1
+        if not errors:
+            break
     moves = model.moves - (summed_moves / turn).astype(np.float32)
     moves[OUT, NEXT] = -1e9
-    return ChainTagger(model.weights - (summed / turn).astype(np.float32), moves)
+    return ChainTagger(model.weights - (summed / turn).astype(np.float32), moves, rows)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -34,6 +34,12 @@ def default_tagger(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in DEFAULT_NAME.finditer(text)]
 
 
+def spans_in(tagger: Tagger, texts: Sequence[str]) -> list[list[tuple[int, int]]]:
+    """Spans of each text, all at once where the tagger can (``many``)."""
+    many = getattr(tagger, "many", None)
+    return many(texts) if many else [tagger(x) for x in texts]
+
+
 def mentions_in(text: str, tagger: Tagger) -> list[tuple[str, str, str]]:
     """(name, title, confidence) in order of the rules: signed, inline, labelled, tagged."""
     two = lambda s: len(s.split()) > 1
@@ -72,7 +78,9 @@ def raw_executives(filings: DataFrame, order: str, tagger: Tagger = default_tagg
     @F.pandas_udf("array<struct<executive_name string, executive_title string, confidence string>>")
     def extract(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in texts:
-            yield t.map(lambda x: mentions_in(x or "", tagger))
+            whole = [x or "" for x in t]
+            spans = spans_in(tagger, [x.replace("\xa0", " ") for x in whole])
+            yield pd.Series([mentions_in(x, lambda _, s=s: s) for x, s in zip(whole, spans, strict=True)], dtype=object)
 
     cut = chunks(first_per(not_done(filings, done, "company_name", "company"), ["company_name"], [order]), size=size)
     found = cut.select(F.col("company_name").alias("company"), F.col("sec_filing_type").alias("filing_type"), "chunk_no", F.posexplode(extract("chunk")).alias("at", "m")).select("company", "filing_type", "chunk_no", "at", "m.*")
@@ -87,7 +95,8 @@ def person_names(tagger: Tagger):
     @F.pandas_udf("string")
     def first(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in texts:
-            yield t.map(lambda x: next((x[a:b].strip() for a, b in tagger(x)), None) if x else None)
+            whole = [x or "" for x in t]
+            yield pd.Series([next((x[a:b].strip() for a, b in s), None) for x, s in zip(whole, spans_in(tagger, whole), strict=True)], dtype=object)
 
     return first
 
@@ -98,7 +107,8 @@ def people_in(tagger: Tagger):
     @F.pandas_udf("array<string>")
     def every(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in texts:
-            yield t.map(lambda x: [x[a:b] for a, b in tagger(x)] if x else [])
+            whole = [x or "" for x in t]
+            yield pd.Series([[x[a:b] for a, b in s] for x, s in zip(whole, spans_in(tagger, whole), strict=True)], dtype=object)
 
     return every
 

@@ -66,6 +66,15 @@ def test_without_labels_it_finds_nobody(spark):
     assert model("Jane Roe was here.") == []
 
 
+def test_texts_together_equal_texts_alone(monkeypatch):
+    model = chain.fit([(c.format(n=f"{f} Stone"), [(c.index("{n}"), c.index("{n}") + len(f) + 6)]) for f in FIRSTS for c in CONTEXTS])
+    texts = ["", "Jane", "Jane Roe", *[c.format(n=f"{f} {x}") for f in FIRSTS for x in LASTS for c in CONTEXTS], "", " \n"]
+    alone = [model(t) for t in texts]
+    assert model.many(texts) == alone and model.many([]) == [] and sum(map(len, alone)) > 100
+    monkeypatch.setattr(chain, "TOGETHER", 100)
+    assert model.many(texts) == alone
+
+
 def test_a_long_run_is_one_chain():
-    model = chain.fit([("By Jane Roe now", [(3, 11)])])
-    assert isinstance(model("Word " * 20_000), list)
+    model = chain.fit([("By Jane Roe now", [(3, 11)])] * 3)
+    assert model("By Jane Roe now") == [(3, 11)] and isinstance(model("Word " * 20_000), list)
