@@ -1,13 +1,14 @@
-"""Queries on time: as-of and overlap joins, and the trained tagger over texts."""
+"""Queries on time (as-of and overlap joins), the trained tagger over texts, and the Python data sources."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpgraph.catalog.base import cases, duck, letters, query, stand_in
+from corpgraph.catalog.base import cases, duck, folder, letters, query, stand_in
 from corpgraph.operators.temporal import asof_join, overlap_join
 from corpgraph.plans import people as execs
 from corpgraph.plans.tagger import fit_tagger
+from corpgraph.sources import mailbox
 
 # --- change events with the last state before them; every third user is one and the same key ---------
 
@@ -69,3 +70,41 @@ def trained_people(spark, d):
     model = fit_tagger(stand_in(spark, d, _SIGNED))
     texts = stand_in(spark, d, f"SELECT doc_id, {_IN_DOC} AS person, coalesce(text, '') || '\\n\\n' || {_said('doc_id', _IN_DOC)} AS text FROM {{documents}}")
     return texts.select("doc_id", "person", F.array_contains(execs.people_in(model)("text"), F.col("person")).alias("found"))
+
+
+# --- a mailbox of all documents, and a store of documents ------------------------------------------------
+
+
+def _mail(spark, d, path: str, rest: int, of: int = 2) -> None:
+    """Every other document as a message, in pages of about 100 messages, behind those that are there."""
+    made = stand_in(spark, d, "SELECT CAST(doc_id AS STRING) AS id, CAST(n_chars AS STRING) AS internalDate, named_struct('body', named_struct('data', text)) AS payload, doc_id FROM {documents}")
+    have, pages = mailbox.FolderMailbox(path).pages(), made.count() // (100 * of) + 1
+    made.where(F.pmod("doc_id", F.lit(of)) == rest).withColumn("page", have + F.pmod(F.xxhash64("id"), F.lit(pages))).drop("doc_id").write.mode("append").partitionBy("page").json(path)
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS message_id, CAST(n_chars AS VARCHAR) AS sent, md5(coalesce(text, '')) AS body_md5, CAST(1 AS BIGINT) AS times FROM documents")
+def mailbox_stream(spark, d):
+    """All documents as messages of a paged mailbox, read as a stream that stops half-way and goes on from its offset when more pages are there."""
+    mailbox.register(spark)
+    base = folder(spark, "mailbox")
+    for rest in range(2):
+        _mail(spark, d, f"{base}/box", rest)
+        run = spark.readStream.format("mailbox").option("path", f"{base}/box").load().writeStream.format("parquet").option("checkpointLocation", f"{base}/state").start(f"{base}/out")
+        run.processAllAvailable()
+        run.stop()
+    got = spark.read.parquet(f"{base}/out").withColumn("body", F.coalesce(F.get_json_object("payload_json", "$.body.data"), F.lit("")))
+    return got.groupBy("message_id", F.col("internal_date_ms").alias("sent"), F.md5("body").alias("body_md5")).agg(F.count("*").alias("times"))
+
+
+_CUSTOMER = "SELECT concat('companies/', c_custkey) AS path, to_json(struct(c_name AS name, {}) ) AS json FROM {{customer}}"
+
+
+@query("SELECT 'companies/' || c_custkey AS path, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE 'old' END AS state FROM customer")
+def stored_documents(spark, d):
+    """Customers put into the document store, and a third of them again: each path shows its last commit's document."""
+    mailbox.register(spark)
+    base = folder(spark, "store")
+    put = lambda rows: rows.write.format("documentstore").mode("append").option("path", base).save()
+    put(stand_in(spark, d, _CUSTOMER.format("'old' AS state")))
+    put(stand_in(spark, d, _CUSTOMER.format("'new' AS state") + " WHERE c_custkey % 3 = 0"))
+    return mailbox.stored(spark, base).select("path", F.get_json_object("json", "$.name").alias("name"), F.get_json_object("json", "$.state").alias("state"))
