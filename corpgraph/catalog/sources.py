@@ -222,27 +222,7 @@ def slugs_and_ciks(spark, d):
     return c.select(F.col("c_custkey").alias("n"), companies.slug(F.col("c_name")).alias("slug"), companies.ten_digit_cik(F.col("c_custkey")).alias("cik"))
 
 
-# --- streams over events -------------------------------------------------------------------
-
-
-def _events(spark, d, name):
-    """All events as a stream of files."""
-    base = folder(spark, name)
-    e = t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    e.write.parquet(f"{base}/in")
-    return base, spark.readStream.schema(e.schema).parquet(f"{base}/in")
-
-
-def _drained(spark, counts, base):
-    """What a stream's complete result is when all files are read."""
-    counts.writeStream.format("memory").queryName(f"q{abs(hash(base))}").outputMode("complete").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(f"q{abs(hash(base))}")
-
-
-@query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
-def stream_tumbling_counts(spark, d):
-    base, events = _events(spark, d, "tumbling")
-    return _drained(spark, ingest.windowed_counts(events), base).withColumn("start", F.col("start").cast("timestamp_ntz"))
+# --- windows over events ---------------------------------------------------------------------
 
 
 @query("SELECT date_trunc('hour', ts) + to_minutes(CAST(15 * (minute(ts) // 15 - k) AS INTEGER)) AS start, event_type, CAST(count(*) AS BIGINT) AS n FROM events, range(0, 4) r(k) GROUP BY 1, 2")

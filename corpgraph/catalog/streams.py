@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpgraph.catalog.base import ORACLES, folder, query, t
-from corpgraph.streaming import ingest, joins
+from corpgraph.streaming import ingest, joins, state
 
 _NTZ = "timestamp_ntz"
 
@@ -27,6 +27,12 @@ def _appended(spark, d, name, change):
     return spark.read.parquet(f"{base}/out")
 
 
+@query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
+def stream_tumbling_counts(spark, d):
+    out = _appended(spark, d, "tumbling", lambda s: ingest.windowed_counts(s()))
+    return out.withColumn("start", F.col("start").cast(_NTZ))
+
+
 @query(ORACLES["sliding_counts"])
 def stream_sliding_counts(spark, d):
     out = _appended(spark, d, "sliding", lambda s: ingest.sliding_counts(s()))
@@ -56,3 +62,16 @@ def stream_late_rows(spark, d):
         e.where(F.col("event_id") % 2 == odd).write.mode("append").parquet(f"{base}/in")
         joins.split_late(spark.readStream.schema(e.schema).parquet(f"{base}/in"), f"{base}/out", f"{base}/state", late="10 days").awaitTermination()
     return spark.read.parquet(f"{base}/out/rows").select("event_id", "event_type", "is_late")
+
+
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS n, min(ts) AS first_seen, max(ts) AS last_seen FROM events GROUP BY 1")
+def stream_seen(spark, d):
+    """How often, first and last each user was seen, kept over two runs with half of the events each, and given when a third run's event, a year later, lets the state expire."""
+    base, e = folder(spark, "seen"), _in(spark, d)
+    last = e.agg((F.max("ts") + F.expr("INTERVAL 365 DAYS")).alias("ts")).select(F.lit(-1).cast("long").alias("user_id"), "ts")
+    rows = e.select("user_id", "ts")
+    for part in (rows.where(e["event_id"] % 2 == 0), rows.where(e["event_id"] % 2 == 1), last):
+        part.write.mode("append").parquet(f"{base}/in")
+        seen = state.seen(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), "user_id", forget="200 days", late="60 days")
+        state.append(seen, f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("user_id", "n", *[F.col(c).cast(_NTZ).alias(c) for c in ("first_seen", "last_seen")])
