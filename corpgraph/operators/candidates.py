@@ -155,19 +155,36 @@ def _unlike(short: str, long_: str) -> Column:
     return (2 * high >= 3 * low) & (high <= 8 * low)
 
 
-def candidates(left: DataFrame, right: DataFrame, scorer: str, least: float) -> DataFrame:
-    """a, b, sure: distinct pairs of names (of ``cut``) among which are all that score ``least``; the first choice only of those that a common word alone brings there."""
+def by_rare_words(left: DataFrame, right: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """a, b: names (of ``cut``) of alike length that share a word which isn't common (``shares``)."""
+    rare = lambda df: df.select("k", "n", "j", F.explode("words").alias("sig")).where(~F.col("sig").isin(list(shares)))
+    there = rare(right)
+    return _meet(rare(left).join(there.groupBy("sig").agg(F.count("*").alias("f")), "sig"), there, ~_unlike("n", "m"))
+
+
+def _of_unlike(asking: DataFrame, holding: DataFrame) -> DataFrame:
+    """Names to which some name of the other side is unlike in length."""
+    lengths = holding.select(F.col("n").alias("m")).distinct()
+    able = asking.select("n").distinct().join(lengths, _unlike("n", "m"), "left_semi")
+    return asking.join(F.broadcast(able), "n")
+
+
+def candidates(left: DataFrame, right: DataFrame, scorer: str, least: float, *, near_too: bool = True) -> DataFrame:
+    """a, b, sure: distinct pairs of names (of ``cut``) among which are all that score ``least``; the first choice only of those that a common word alone brings there.
+
+    Without ``near_too``, pairs of alike length that share no word's part in the score are left out.
+    """
     weighted, alike = scorer == "weighted", ~_unlike("n", "m")
     c = 1 - least / 100
     near = (F.abs(F.col("n") - F.col("m")) <= c * (F.col("n") + F.col("m")) + _EPS) | (F.abs(F.col("j") - F.col("i")) <= c * (F.col("j") + F.col("i")) + _EPS)
-    found = [_by_pieces(left, right, "near_pieces", near & (alike if weighted else F.lit(True))).withColumn("sure", F.lit(False))]
+    found = [_by_pieces(left, right, "near_pieces", near & (alike if weighted else F.lit(True))).withColumn("sure", F.lit(False))] if near_too else []
     sure = []
     if scorer != "ratio":
         at = least / 0.95 if weighted else least
         here = alike if weighted else F.lit(True)
         sure += [_by_words(left, right, at, here), _swapped(_by_words(right, left, at, here))]
     if weighted:
-        sure += [_by_pieces(left, right, "part_pieces", _unlike("n", "m")), _swapped(_by_pieces(right, left, "part_pieces", _unlike("n", "m")))]
+        sure += [_by_pieces(_of_unlike(left, right), right, "part_pieces", _unlike("n", "m")), _swapped(_by_pieces(_of_unlike(right, left), left, "part_pieces", _unlike("n", "m")))]
         if least <= COMMON_WORD + _EPS:
             there = right.select(F.explode("words").alias("w"), F.col("n").alias("m"), "k").groupBy("w", "m").agg(F.min("k").alias("b"))
             shared = left.select(F.col("k").alias("a"), "n", F.explode("words").alias("w")).join(there, "w").where(_unlike("n", "m"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpgraph.functions.similarity import SCORERS
-from corpgraph.operators import candidates
+from corpgraph.operators import candidates, walk
 
 #: Choices and keys of one block; each block of keys meets each block of choices in one task.
 BLOCK_CHOICES, BLOCK_KEYS = 20_000, 2_000
@@ -159,6 +159,25 @@ def _scored(left: DataFrame, right: DataFrame, left_key: str, right_key: str, sc
     return found if wide.isEmpty() else found.unionByName(_in_blocks(wide, choices.select("k"), pick))
 
 
+def _weighted(left: DataFrame, right: DataFrame, left_key: str, right_key: str, at_least: float, pick) -> DataFrame:
+    """k, best, score of each key's best choices: equal ones (only they score 100), else those by words, then what ``walk`` finds beyond."""
+    keys, choices = candidates.names(left, left_key), candidates.names(right, right_key)
+    equal = keys.join(choices, "k", "left_semi").select("k", F.col("k").alias("best"), F.lit(100.0).alias("score"))
+    shares = candidates.common_words(keys, choices)
+    keys = keys.join(choices, "k", "left_anti")
+    keys, choices = (candidates.cut(x, at_least, True, shares).persist() for x in (keys, choices))
+    few = keys.where("cut")
+    pairs = candidates.candidates(few, choices, "weighted", at_least, near_too=False).select("a", "b")
+    pairs = pairs.unionByName(candidates.by_rare_words(few, choices, shares)).distinct().withColumn("sure", F.lit(True))
+    found = candidates.scored(pairs, "weighted", at_least).persist()
+    floors = few.select("k").join(found.groupBy("k").agg(F.max("score").alias("floor")), "k", "left")
+    out = equal.unionByName(found).unionByName(walk.near_best(floors, choices.select("k"), shares, at_least))
+    wide, long_ = keys.where("not cut").select("k").unionByName(walk.too_many(few.select("k"), shares)).distinct(), walk.too_many(choices.select("k"), shares)
+    if not wide.isEmpty():
+        out = out.unionByName(_in_blocks(wide, choices.select("k"), pick))
+    return out if long_.isEmpty() else out.unionByName(_in_blocks(keys.select("k"), long_, pick))
+
+
 def all_matches(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *, scorer: str = "token_set", at_least: float) -> DataFrame:
     """left_key, match, fuzzy_score: every pair of distinct non-blank keys that scores ``at_least``."""
     if scorer == "weighted":
@@ -178,6 +197,9 @@ def best_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
         found = block.best(key, scorer, at_least)
         return [found] if found else []
 
-    scored = _scored(left, right, left_key, right_key, scorer, at_least, pick)
+    if scorer == "weighted" and at_least >= candidates.LEAST_SCORE:
+        scored = _weighted(left, right, left_key, right_key, at_least, pick)
+    else:
+        scored = _scored(left, right, left_key, right_key, scorer, at_least, pick)
     best = scored.groupBy("k").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("best").alias("best"))).alias("m"))
     return best.select(F.col("k").alias(left_key), F.col("m.best").alias("best_norm"), (-F.col("m.s")).alias("fuzzy_score"))
