@@ -76,8 +76,7 @@ def cycle_filter(spark, d):
 @query("SELECT avg(CASE WHEN s_nationkey IS NULL THEN 1.0 ELSE 0.0 END) AS null_rate, CAST(count(*) AS BIGINT) AS n FROM customer LEFT JOIN (SELECT s_nationkey FROM supplier) ON s_nationkey = c_nationkey")
 def baseline_match_rate(spark, d):
     cross = t(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("COMPANY_NAME"), F.lit("x").alias("TICKER"))
-    j = execs.baseline_tickers(t(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("company")), cross)
-    return j.agg(ops.share_where(F.col("TICKER").isNull()).alias("null_rate"), F.count("*").alias("n"))
+    return execs.baseline_rate(t(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("company")), cross)
 
 
 @query("SELECT p_name AS committee_name, CAST(count(*) AS BIGINT) AS rows FROM part WHERE p_size > 10 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50")

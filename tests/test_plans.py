@@ -62,3 +62,16 @@ def test_message_errors_are_values(spark):
     m = spark.createDataFrame([("m1", "1000", "{bad"), ("m2", "x", None)], "message_id string, internal_date_ms string, payload_json string")
     rows = {r.message_id: r for r in ingest.decoded(m.withColumn("payload_json", F.when(F.col("message_id") == "m1", F.lit('{"body": {"data": 5}}')))).collect()}
     assert rows["m1"].error and rows["m2"].error is None and rows["m2"].date is None
+
+
+def test_baseline_rate_counts_the_joined_rows_without_making_them(spark):
+    from corpgraph.operators.ops import share_where
+    from corpgraph.plans import people
+
+    execs = spark.createDataFrame([("a",), (" A ",), ("b",), (None,), ("c",)], "company string")
+    cross = spark.createDataFrame([("a", "T"), ("A", None), ("a ", "U"), ("b", None), ("z", "Z")], "COMPANY_NAME string, TICKER string")
+    rows = people.baseline_tickers(execs, cross)
+    assert people.baseline_rate(execs, cross).first() == rows.agg(share_where(rows["TICKER"].isNull()).alias("null_rate"), F.count("*").alias("n")).first()
+    many = spark.range(300_000).selectExpr("'x' AS company", "'X' AS COMPANY_NAME", "'T' AS TICKER")
+    assert tuple(people.baseline_rate(many, many).first()) == (0.0, 300_000**2)
+    assert tuple(people.baseline_rate(execs.limit(0), cross).first()) == (None, 0)
