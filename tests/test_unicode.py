@@ -6,7 +6,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from corpgraph.catalog import QUERIES
-from corpgraph.functions import companies, people
+from corpgraph.functions import common, companies, people
 from corpgraph.functions.common import decomposed
 
 
@@ -29,3 +29,8 @@ def test_patterns_stand_once_in_the_plans(spark):
     for name, mark, most in (("email_extract", "A-Za-z0-9._%+", 1), ("brand_mentions", "website", 1)):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count(mark) <= most, name
+
+
+def test_a_character_looks_through_a_short_part_of_the_table():
+    parts = common._decompositions()[0].split("\x02")
+    assert len(parts) > 1000 and max(map(len, parts)) < 2000
