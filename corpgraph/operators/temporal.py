@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SLICES = 1024
 #: Each coarser level of the overlap join has buckets so many times as wide.
 BASE = 8
+#: Keys with more left rows than this meet in buckets; the others' rows all meet, so a right row meets so many at most.
+FEW = 256
 
 
 def instant(df: DataFrame, column: str) -> Column:
@@ -61,31 +63,40 @@ def _borders(points: DataFrame, slices: int) -> list[float]:
     return [-math.inf, *sorted(set(found)), math.inf]
 
 
-def overlap_join(left: DataFrame, right: DataFrame, key: str, left_span: tuple[str, str], right_span: tuple[str, str], *, prefix: str = "right_", base: int = BASE) -> DataFrame:
+def overlap_join(left: DataFrame, right: DataFrame, key: str, left_span: tuple[str, str], right_span: tuple[str, str], *, prefix: str = "right_", base: int = BASE, few: int = FEW) -> DataFrame:
     """Pairs of rows of one key whose closed spans (start, end) have an instant in common, each once.
 
     Rows with a null key, start or end, or an end before the start, pair with nothing. Columns of
     the right that the left has too get ``prefix``; the right's key is left out.
 
-    Time is cut into buckets, of a width from the median length of all spans and ``base`` times as
+    Rows of a key with at most ``few`` left rows meet by the key alone, once each. For the other
+    keys, time is cut into buckets, of a width from the median length of all spans and ``base`` times as
     wide at each level. A span lies in at most two buckets of its own level and of each coarser
     one. Two spans meet at the coarser of their two levels, and are reported in the first bucket
     that both have, so it is a join by equal key, level and bucket.
     """
     a, b = _spanned(left, key, left_span, "_a"), _spanned(right, key, right_span, "_b")
+    names = {c: prefix + c if c in left.columns else c for c in right.columns if c != key}
+    overlap = (F.col("_a_start") <= F.col("_b_end")) & (F.col("_b_start") <= F.col("_a_end"))
+    out = [F.col(f"`{c}`") for c in [*left.columns, *names.values()]]
+    hot = a.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("n")).where(F.col("n") > few).select("_hot").persist()
+    cold = lambda df: df.join(hot, F.col(key) == F.col("_hot"), "left_anti")
+    once = lambda df: df.withColumnsRenamed(names | {key: "_bkey"})
+    if hot.isEmpty():
+        return a.join(once(b), (F.col(key) == F.col("_bkey")) & overlap).select(*out)
+    met = cold(a).join(once(cold(b)), (F.col(key) == F.col("_bkey")) & overlap).select(*out)
+    a, b = (df.join(hot, F.col(key) == F.col("_hot"), "left_semi") for df in (a, b))
     length = lambda df, p: df.select((F.col(f"{p}_end") - F.col(f"{p}_start")).alias("n"))
     row = length(a, "_a").unionByName(length(b, "_b")).agg(F.percentile_approx("n", 0.5).alias("mid"), F.max("n").alias("most")).first()
     widths = [max(1, row.mid or 0)]
     while widths[-1] < (row.most or 0):
         widths.append(widths[-1] * base)
     a, b = _bucketed(a, "_a", widths), _bucketed(b, "_b", widths)
-    names = {c: prefix + c if c in left.columns else c for c in right.columns if c != key}
     b = b.withColumnsRenamed(names | {key: "_bkey", "_level": "_blevel", "_bucket": "_bbucket"})
     start = F.greatest("_a_start", "_b_start")
     same = (F.col(key) == F.col("_bkey")) & (F.col("_level") == F.col("_blevel")) & (F.col("_bucket") == F.col("_bbucket"))
-    overlap = (F.col("_a_start") <= F.col("_b_end")) & (F.col("_b_start") <= F.col("_a_end"))
     meets = (F.greatest("_a_own", "_b_own") == F.col("_level")) & (_bucket(start, _width(widths, F.col("_level"))) == F.col("_bucket"))
-    return a.join(b, same & overlap & meets).select(*[F.col(f"`{c}`") for c in [*left.columns, *names.values()]])
+    return met.unionByName(a.join(b, same & overlap & meets).select(*out))
 
 
 def _spanned(df: DataFrame, key: str, span: tuple[str, str], p: str) -> DataFrame:

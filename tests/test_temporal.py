@@ -65,3 +65,12 @@ def test_overlaps_of_empty_tables_and_points(spark):
     assert overlap_join(point, point, "k", ("s", "e"), ("s", "e")).count() == 4
     assert overlap_join(point, point.limit(0), "k", ("s", "e"), ("s", "e")).count() == 0
     assert overlap_join(point.limit(0), point.limit(0), "k", ("s", "e"), ("s", "e")).count() == 0
+
+
+def test_keys_with_few_rows_meet_without_buckets(spark):
+    rows = lambda n, m: spark.range(n).selectExpr(f"id % {m} AS k", "id AS i", "id * 7 % 1000 AS s", "id * 7 % 1000 + id % 90 AS e")
+    a, b = rows(400, 9).where("k < 8 or i < 50"), rows(700, 9)
+    pairs = lambda few: sorted(map(tuple, overlap_join(a, b, "k", ("s", "e"), ("s", "e"), few=few).select("i", "right_i").collect()))
+    assert pairs(0) == pairs(20) == pairs(1000) and len(pairs(0)) > 1000
+    plan = overlap_join(a, b, "k", ("s", "e"), ("s", "e"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
