@@ -197,6 +197,8 @@ def best_match(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
         found = block.best(key, scorer, at_least)
         return [found] if found else []
 
+    if at_least > 100:  # no score is
+        return left.select(F.col(left_key).cast("string").alias(left_key), F.lit(None).cast("string").alias("best_norm"), F.lit(None).cast("double").alias("fuzzy_score")).where("false")
     if scorer == "weighted" and at_least >= candidates.LEAST_SCORE:
         scored = _weighted(left, right, left_key, right_key, at_least, pick)
     else:

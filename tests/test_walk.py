@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from corpgraph.functions.similarity import common_subsequence, weighted_ratio
-from corpgraph.operators import walk
+from corpgraph.operators import fuzzy, walk
 
 
 def test_near_equals_comparing_all():
@@ -27,3 +27,10 @@ def test_names_that_differ_in_one_rare_word_are_not_all_scored(monkeypatch):
     got = [block.best(k, k, 85) for k in keys]
     assert got == [(f"energy {letters(12_345)} partners", weighted_ratio(keys[0], f"energy {letters(12_345)} partners")), None]
     assert len(scored) < 30
+
+
+def test_a_score_beyond_100_needs_no_pairs(spark):
+    df = spark.range(50).selectExpr("concat('NAME ', id) AS k")
+    best = fuzzy.best_match(df, df, "k", "k", at_least=101)
+    assert best.columns == ["k", "best_norm", "fuzzy_score"] and best.count() == 0
+    assert "InPandas" not in best._jdf.queryExecution().toString()
