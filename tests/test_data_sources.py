@@ -75,3 +75,14 @@ def test_attempts_that_die_and_jobs_that_fail_show_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no"):
         bad.write.format("documentstore").mode("append").option("path", path).save()
     assert sorted(r.path for r in mailbox.stored(spark, path).collect()) == ["x", "y"]
+
+
+def test_a_mailbox_page_is_one_file(spark, tmp_path):
+    from corpgraph.catalog.temporal import _mail
+
+    docs = tmp_path / "in" / "documents.parquet"
+    spark.range(900).selectExpr("id AS doc_id", "5 AS n_chars", "'hello' AS text").repartition(6).write.parquet(str(docs))
+    for rest in range(2):
+        _mail(spark, str(tmp_path / "in"), str(tmp_path / "box"), rest)
+    files = [len(list(p.glob("part-*"))) for p in (tmp_path / "box").glob("page=*")]
+    assert len(files) > 6 and max(files) == 1
