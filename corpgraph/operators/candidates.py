@@ -5,11 +5,12 @@ A pair that scores ``at_least`` shares one of these, so a join by signature miss
 * Words. If the words in common decide the score, they make up a known share of one
   side's characters. Of that side's words, rarest first, a prefix that outweighs the rest
   can't lie outside the common ones altogether: a word of it is on the other side.
-* Pieces. If the strings differ in few characters, say d insertions and deletions, then of any
-  d + 1 pieces of one side that lie in words and don't overlap, one is whole in a word of the
-  other side. Names are cut into d + 1 pieces, long ones in rare words, and lengths must
-  agree within d. The same holds for a stretch of the longer side that the shorter one
-  resembles.
+* Parts. If the strings differ in few characters, say d insertions and deletions, then of any
+  d // 2 + 1 parts of the longer side one is in the other but for one letter (``parts``).
+* Pieces, where a name has too few letters for parts: of any d + 1 pieces of one side that lie
+  in words and don't overlap, one is whole in a word of the other side. Names are cut into d + 1
+  pieces, long ones in rare words, and lengths must agree within d. The same holds for a
+  stretch of the longer side that the shorter one resembles.
 * A common word of sides of unlike length gives the weighted score a fixed value. Of the
   choices with it, only the first in order can win, so they are grouped by word and length.
 
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpgraph.functions.similarity import SCORERS
+from corpgraph.operators import parts
 
 #: Below this score pieces get so short that nearly all pairs meet.
 LEAST_SCORE = 85
@@ -80,11 +82,12 @@ def _cut(frames: Iterator[pd.DataFrame], least: float, weighted: bool, shares: d
             words = sorted(set(k.split()))
             near = edits(len(k), least) + 1
             part = stretch_edits(len(k), least / 0.9) + 1 if weighted else 0
-            rows.append((k, len(k), len(" ".join(words)), words, pieces(words, near, shares), pieces(words, part, shares) if weighted else [], sum(map(len, words)) >= near))
-        yield pd.DataFrame(rows, columns=["k", "n", "j", "words", "near_pieces", "part_pieces", "cut"])
+            near_parts = [] if weighted else parts.parts(words, stretch_edits(len(k), least) // 2 + 1, shares)
+            rows.append((k, len(k), len(" ".join(words)), words, pieces(words, near, shares), near_parts, pieces(words, part, shares) if weighted else [], sum(map(len, words)) >= near))
+        yield pd.DataFrame(rows, columns=["k", "n", "j", "words", "near_pieces", "near_parts", "part_pieces", "cut"])
 
 
-CUT = "k string, n int, j int, words array<string>, near_pieces array<string>, part_pieces array<string>, cut boolean"
+CUT = "k string, n int, j int, words array<string>, near_pieces array<string>, near_parts array<string>, part_pieces array<string>, cut boolean"
 
 
 def names(df: DataFrame, column: str) -> DataFrame:
@@ -169,15 +172,30 @@ def _of_unlike(asking: DataFrame, holding: DataFrame) -> DataFrame:
     return asking.join(F.broadcast(able), "n")
 
 
-def candidates(left: DataFrame, right: DataFrame, scorer: str, least: float, *, near_too: bool = True) -> DataFrame:
+def _near(left: DataFrame, right: DataFrame, scorer: str, least: float, where: Column, same: bool) -> list[DataFrame]:
+    """Pairs that are alike as strings: by parts of the longer one, by pieces of the left one where either has no parts."""
+    cut_up = F.size("near_parts") > 0
+    whole, short = left.where(cut_up), right.where(~cut_up)
+    size, other = F.col("size"), F.col("other")
+    if same:
+        once = parts.near(whole, whole, scorer, least, (size > other) | ((size == other) & (F.col("a") <= F.col("b"))))
+        found = [once, _swapped(once)]
+    else:
+        found = [parts.near(whole, right.where(cut_up), scorer, least, size >= other), _swapped(parts.near(right.where(cut_up), whole, scorer, least, size > other))]
+    few = left.where(~cut_up)
+    found += [] if few.isEmpty() else [_by_pieces(few, right, "near_pieces", where)]
+    return found if short.isEmpty() else [*found, _by_pieces(whole, short, "near_pieces", where)]
+
+
+def candidates(left: DataFrame, right: DataFrame, scorer: str, least: float, *, near_too: bool = True, same: bool = False) -> DataFrame:
     """a, b, sure: distinct pairs of names (of ``cut``) among which are all that score ``least``; the first choice only of those that a common word alone brings there.
 
-    Without ``near_too``, pairs of alike length that share no word's part in the score are left out.
+    Without ``near_too``, pairs of alike length that share no word's part in the score are left out. With ``same``, ``left`` and ``right`` hold the same names.
     """
     weighted, alike = scorer == "weighted", ~_unlike("n", "m")
     c = 1 - least / 100
     near = (F.abs(F.col("n") - F.col("m")) <= c * (F.col("n") + F.col("m")) + _EPS) | (F.abs(F.col("j") - F.col("i")) <= c * (F.col("j") + F.col("i")) + _EPS)
-    found = [_by_pieces(left, right, "near_pieces", near & (alike if weighted else F.lit(True))).withColumn("sure", F.lit(False))] if near_too else []
+    found = [p.withColumn("sure", F.lit(False)) for p in _near(left, right, scorer, least, near, same)] if near_too else []
     sure = []
     if scorer != "ratio":
         at = least / 0.95 if weighted else least

@@ -154,8 +154,9 @@ def _scored(left: DataFrame, right: DataFrame, left_key: str, right_key: str, sc
         return _in_blocks(keys, choices, pick)
     shares = candidates.common_words(keys, choices)
     keys, choices = (candidates.cut(x, at_least, scorer == "weighted", shares).persist() for x in (keys, choices))
-    found = candidates.scored(candidates.candidates(keys.where("cut"), choices, scorer, at_least), scorer, at_least)
     wide = keys.where("not cut").select("k")
+    same = left is right and left_key == right_key and wide.isEmpty()
+    found = candidates.scored(candidates.candidates(keys.where("cut"), choices, scorer, at_least, same=same), scorer, at_least)
     return found if wide.isEmpty() else found.unionByName(_in_blocks(wide, choices.select("k"), pick))
 
 
