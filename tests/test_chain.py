@@ -78,3 +78,20 @@ def test_texts_together_equal_texts_alone(monkeypatch):
 def test_a_long_run_is_one_chain():
     model = chain.fit([("By Jane Roe now", [(3, 11)])] * 3)
     assert model("By Jane Roe now") == [(3, 11)] and isinstance(model("Word " * 20_000), list)
+
+
+def test_tokens_are_those_of_the_pattern():
+    rng = np.random.default_rng(8)
+    texts = ["", "A.", "A.B. O'Hara-Smith's -x- U.S. 3M's x_y\n\nde la Cruz’s d'", *("".join(rng.choice(list("aB.'’-_ 1²é\n\t中İK,"), 40)) for _ in range(300))]
+    for t in texts:
+        codes = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+        starts, ends = chain.spans(codes, chain._kinds(codes))
+        assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == [m.span() for m in chain.TOKEN.finditer(t)], t
+
+
+def test_only_words_by_a_name_are_looked_up(monkeypatch):
+    model, asked, slots = chain.fit([("led by Ada Stone today", [(7, 16)])] * 4), [], chain._slots
+    monkeypatch.setattr(chain, "_slots", lambda w: asked.append(w) or slots(w))
+    texts = ["it grew well and was led by Ada Stone today as all had said", "nobody was here", "and van Ada"]
+    assert [[t[a:b] for a, b in s][:1] for t, s in zip(texts, model.many(texts), strict=True)][0] == ["Ada Stone"]
+    assert set(asked) == {"led", "by", "Ada", "Stone", "today", "as", "and", "van"}
