@@ -95,3 +95,18 @@ def test_only_words_by_a_name_are_looked_up(monkeypatch):
     texts = ["it grew well and was led by Ada Stone today as all had said", "nobody was here", "and van Ada"]
     assert [[t[a:b] for a, b in s][:1] for t, s in zip(texts, model.many(texts), strict=True)][0] == ["Ada Stone"]
     assert set(asked) == {"led", "by", "Ada", "Stone", "today", "as", "and", "van"}
+
+
+def test_equal_filings_are_cut_once_and_in_more_than_one_task(spark):
+    name = "Ada Stone"
+    one = spark.createDataFrame([(filing(name, c) + str(i // 2),) for i in range(40) for c in CONTEXTS], "raw_text string").coalesce(1)
+    cut = tagger.labelled_windows(one)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [text") < plan.index("ArrowEvalPython") < plan.index("Aggregate [raw_text")
+    assert cut.count() == one.distinct().select("raw_text").rdd.flatMap(lambda r: [w for w, _ in tagger.windows(r.raw_text)]).distinct().count()
+
+
+def test_mentions_are_those_of_all_patterns():
+    none = lambda _: []
+    assert people.mentions_in("it was ADA STONE ,  vice\n president", none) == [] and people.mentions_in("Ada Stone, Vice\nPresident", none) == [("Ada Stone", "Vice\nPresident", "low")]
+    assert [m[2] for m in people.mentions_in(filing("Ada Stone", CONTEXTS[0]), none)] == ["high", "high"]
