@@ -152,6 +152,7 @@ def _scored(left: DataFrame, right: DataFrame, left_key: str, right_key: str, sc
     keys, choices = candidates.names(left, left_key), candidates.names(right, right_key)
     if at_least < candidates.LEAST_SCORE:
         return _in_blocks(keys, choices, pick)
+    keys, choices = keys.persist(), choices.persist()  # each is read three times
     shares = candidates.common_words(keys, choices)
     keys, choices = (candidates.cut(x, at_least, scorer == "weighted", shares).persist() for x in (keys, choices))
     wide = keys.where("not cut").select("k")

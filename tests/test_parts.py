@@ -44,3 +44,16 @@ def test_one_turn_after_the_other_and_shared_numbers(spark, monkeypatch):
     df = spark.createDataFrame([(x,) for x in names], "k string")
     got = sorted((r.k, r.match) for r in fuzzy.all_matches(df, df.select("k"), "k", "k", at_least=90).collect())
     assert got == sorted((a, b) for a in names for b in names if token_set_ratio(a, b) >= 90)
+
+
+def test_names_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            made.add(len(f))
+            yield f
+
+    df = spark.createDataFrame([(f"ACME {x}",) for x in "ABCDEFGH"], "k string")
+    fuzzy.best_match(df.mapInPandas(count, "k string"), df, "k", "k", at_least=90).collect()
+    assert made.value == 8
