@@ -19,6 +19,7 @@ A signature that very many choices have is dealt to several tasks.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -59,22 +60,30 @@ def pieces(words: list[str], number: int, shares: dict[str, float]) -> list[str]
     often as its word is common (``shares``, of all names) or as short pieces are by chance.
     """
 
-    def cost(word: str, parts: int) -> float:
-        return parts * shares.get(word, 0.0) + sum(CHANCE ** -(len(word) // parts + (i < len(word) % parts)) for i in range(parts)) if parts else 0.0
-
-    parts = dict.fromkeys(words, 0)
-    for _ in range(number):
-        open_ = [w for w in words if parts[w] < len(w)]
-        if not open_:
-            break
-        parts[min(open_, key=lambda w: (cost(w, parts[w] + 1) - cost(w, parts[w]), w))] += 1
     out = []
-    for w, n in parts.items():
+    for w, n in zip(words, _dealt(tuple((len(w), shares.get(w, 0.0)) for w in words), number), strict=True):
         edges = [len(w) * i // n for i in range(n + 1)] if n else []
         out += [w[a:b] for a, b in zip(edges, edges[1:], strict=False)]
     return out
 
 
+@functools.lru_cache(maxsize=100_000)
+def _dealt(words: tuple[tuple[int, float], ...], number: int) -> list[int]:
+    """How many pieces each word (letters, share) gets."""
+
+    def cost(i: int, n: int) -> float:
+        letters, share = words[i]
+        return n * share + sum(CHANCE ** -(letters // n + (j < letters % n)) for j in range(n)) if n else 0.0
+
+    made = [0] * len(words)
+    for _ in range(number):
+        open_ = [i for i, (letters, _) in enumerate(words) if made[i] < letters]
+        if not open_:
+            break
+        made[min(open_, key=lambda i: cost(i, made[i] + 1) - cost(i, made[i]))] += 1
+    return made
+
+
 def _cut(frames: Iterator[pd.DataFrame], least: float, weighted: bool, shares: dict[str, float]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
@@ -178,8 +187,7 @@ def _near(left: DataFrame, right: DataFrame, scorer: str, least: float, where: C
     whole, short = left.where(cut_up), right.where(~cut_up)
     size, other = F.col("size"), F.col("other")
     if same:
-        once = parts.near(whole, whole, scorer, least, (size > other) | ((size == other) & (F.col("a") <= F.col("b"))))
-        found = [once, _swapped(once)]
+        found = [parts.near(whole, whole, scorer, least, (size > other) | ((size == other) & (F.col("a") < F.col("b"))))]
     else:
         found = [parts.near(whole, right.where(cut_up), scorer, least, size >= other), _swapped(parts.near(right.where(cut_up), whole, scorer, least, size > other))]
     few = left.where(~cut_up)
@@ -190,7 +198,7 @@ def _near(left: DataFrame, right: DataFrame, scorer: str, least: float, where: C
 def candidates(left: DataFrame, right: DataFrame, scorer: str, least: float, *, near_too: bool = True, same: bool = False) -> DataFrame:
     """a, b, sure: distinct pairs of names (of ``cut``) among which are all that score ``least``; the first choice only of those that a common word alone brings there.
 
-    Without ``near_too``, pairs of alike length that share no word's part in the score are left out. With ``same``, ``left`` and ``right`` hold the same names.
+    Without ``near_too``, pairs of alike length that share no word's part in the score are left out. With ``same``, ``left`` and ``right`` hold the same names: a pair comes once, a before b, a name and itself not at all.
     """
     weighted, alike = scorer == "weighted", ~_unlike("n", "m")
     c = 1 - least / 100
@@ -199,8 +207,8 @@ def candidates(left: DataFrame, right: DataFrame, scorer: str, least: float, *,
     sure = []
     if scorer != "ratio":
         at = least / 0.95 if weighted else least
-        here = alike if weighted else F.lit(True)
-        sure += [_by_words(left, right, at, here), _swapped(_by_words(right, left, at, here))]
+        here = alike if weighted else F.col("a") != F.col("b") if same else F.lit(True)
+        sure += [_by_words(left, right, at, here)] if same else [_by_words(left, right, at, here), _swapped(_by_words(right, left, at, here))]
     if weighted:
         sure += [_by_pieces(_of_unlike(left, right), right, "part_pieces", _unlike("n", "m")), _swapped(_by_pieces(_of_unlike(right, left), left, "part_pieces", _unlike("n", "m")))]
         if least <= COMMON_WORD + _EPS:
@@ -211,15 +219,16 @@ def candidates(left: DataFrame, right: DataFrame, scorer: str, least: float, *,
     pairs = found[0]
     for p in found[1:]:
         pairs = pairs.unionByName(p)
+    if same:
+        pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure")
     return pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
 def _bags(texts: Iterable[str], counters: int = 48) -> np.ndarray:
     texts = list(texts)
-    out = np.zeros((len(texts), counters), np.int16)
     rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    np.add.at(out, (rows, np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) % counters), 1)
-    return out
+    places = rows * counters + np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) % counters
+    return np.bincount(places, minlength=len(texts) * counters).reshape(len(texts), counters)
 
 
 def scored(pairs: DataFrame, scorer: str, least: float) -> DataFrame:

@@ -156,9 +156,14 @@ def _scored(left: DataFrame, right: DataFrame, left_key: str, right_key: str, sc
     shares = candidates.common_words(keys, choices)
     keys, choices = (candidates.cut(x, at_least, scorer == "weighted", shares).persist() for x in (keys, choices))
     wide = keys.where("not cut").select("k")
-    same = left is right and left_key == right_key and wide.isEmpty()
-    found = candidates.scored(candidates.candidates(keys.where("cut"), choices, scorer, at_least, same=same), scorer, at_least)
-    return found if wide.isEmpty() else found.unionByName(_in_blocks(wide, choices.select("k"), pick))
+    none = wide.isEmpty()
+    if none and left is right and left_key == right_key and scorer != "weighted":
+        once = candidates.scored(candidates.candidates(keys, keys, scorer, at_least, same=True), scorer, at_least)
+        both = F.explode(F.array(F.struct("k", "best", "score"), F.struct(F.col("best").alias("k"), F.col("k").alias("best"), "score")))
+        itself = keys.select("k", F.col("k").alias("best"), F.lit(100.0).alias("score")).where(F.col("score") >= at_least)
+        return once.select(both.alias("m")).select("m.*").unionByName(itself)
+    found = candidates.scored(candidates.candidates(keys.where("cut"), choices, scorer, at_least), scorer, at_least)
+    return found if none else found.unionByName(_in_blocks(wide, choices.select("k"), pick))
 
 
 def _weighted(left: DataFrame, right: DataFrame, left_key: str, right_key: str, at_least: float, pick) -> DataFrame:

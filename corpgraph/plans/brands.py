@@ -31,6 +31,9 @@ def canonical_names(found: DataFrame, *, merge: float = 90) -> DataFrame:
     that it is linked to is left, and names linked to a new canonical one before them
     are settled too; that is what going through all names in order gives, in as many
     rounds as the longest chain of names that wait for each other.
+
+    Names of the same words are like the same names, so only the first of them can become canonical,
+    unless one of them has a twin: a name that differs from it in case alone.
     """
     spark = found.sparkSession
     base = f"{shared_folder(spark)}/corpgraph-names/{uuid.uuid4().hex}"
@@ -39,10 +42,17 @@ def canonical_names(found: DataFrame, *, merge: float = 90) -> DataFrame:
         df.write.parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
-    first = saved(found.groupBy(F.col("brand_clean").alias("name")).agg(F.min(F.struct("date", "message_id", "position")).alias("added")), "first")
-    alike = all_matches(first, first, "name", "name", at_least=merge).select("name", F.col("match").alias("other"))
-    cased = first.select(F.lower("name").alias("low"), "name")
+    every = found.groupBy(F.col("brand_clean").alias("name")).agg(F.min(F.struct("date", "message_id", "position")).alias("added"))
+    every = every.withColumn("twin", F.count("*").over(Window.partitionBy(F.lower("name"))) > 1)
+    # Blanks are told apart in more ways than here, but a letter or digit is none; names of blanks alone are like nothing.
+    words = F.when(F.col("name").rlike(r"[\p{L}\p{N}]") & F.lit(merge <= 100), F.array_sort(F.array_distinct(F.split(F.trim("name"), r"\s+"))))
+    alone = Window.partitionBy(F.coalesce(words, F.array(F.lit(""), "name")))
+    kept = every.select("*", F.min("added").over(alone).alias("earliest"), F.bool_or("twin").over(alone).alias("twins"))
+    first = saved(kept.where(F.col("twins") | F.col("added").eqNullSafe(F.col("earliest"))).select("name", "added", "twin"), "first")
+    alike = all_matches(first, first, "name", "name", at_least=merge).where("name <> match").select("name", F.col("match").alias("other"))
+    cased = first.where("twin").select(F.lower("name").alias("low"), "name")
     same = cased.join(cased.withColumnRenamed("name", "other"), "low").select("name", "other")
+    first = first.drop("twin")
     times = alike.unionByName(same).join(first, "name").join(first.select(F.col("name").alias("other"), F.col("added").alias("before")), "other")
     links = saved(times.where("before < added").select("name", "other").distinct(), "links")
     open_, canonical, n = first.select("name"), None, 0
